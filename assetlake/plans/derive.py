@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from assetlake import schemas as S
 from assetlake.functions import png
@@ -30,9 +31,8 @@ def map_payloads(
     ``keep_failed``, then they stay with their ``error``.
     """
     names = textures.columns
-    schema = textures.withColumns(
-        {"length": F.lit(0).cast("long"), "error": F.lit("").cast("string")}
-    ).schema
+    fields = [f for f in textures.schema.fields if f.name not in ("payload", "length")]
+    schema = StructType(fields).add("payload", "binary").add("length", "long").add("error", "string")
     out = schema.names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,9 +14,9 @@ from assetlake.session import small
 Paths = str | list[str]
 
 
-def read_index(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Index entries of all given files: JSON arrays, one file per source."""
-    return spark.read.json(paths, schema=S.INDEX_SCHEMA, multiLine=True)
+def read_index(spark: SparkSession, paths: Paths, multi_line: bool = True) -> DataFrame:
+    """Index entries of all given files: JSON arrays, or one entry per line (splittable)."""
+    return spark.read.json(paths, schema=S.INDEX_SCHEMA, multiLine=multi_line)
 
 
 def read_index_table(spark: SparkSession, path: str) -> DataFrame:
