@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlake.functions.names import asset_name
+from assetlake.functions.names import asset_name, bundle_pattern, rowmap_pattern
 from assetlake.functions.payload import sha256, size
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -294,15 +294,15 @@ VIEW_SQL = {
         FROM (SELECT lang, source || '-' || {sql_pick(["1k", "ktx2-1k", "2k"], _m)} || '-' ||
           {sql_pick(CATEGORY_OF_NO, _m)} || '-' || (n_chars // 4000 + 1) AS s FROM documents)
         UNION ALL SELECT list_extract(string_split(url, '/'), -1) FROM pages)""",
-    "parsed": """
-      SELECT file_name, kind, m.source, m.tier, m.category,
+    "parsed": " UNION ALL ".join(
+        f"""
+      SELECT file_name, '{kind}' AS kind, m.source, m.tier, m.category,
         CAST(nullif(m.chunk, '') AS INTEGER) AS chunk
-      FROM (SELECT file_name, kind, regexp_extract(file_name, pat,
-              ['source', 'tier', 'category', 'chunk']) AS m
-            FROM asset_names, (VALUES
-              ('bundle', '^assetlake-(\\w+)-(ktx2-\\w+|mtlx(?:-\\w+)?|\\w+)-(ceramic|concrete|fabric|glass|metal|organic|other|plastic|stone|wood)(?:-(\\d+))?\\.parquet$'),
-              ('rowmap', '^(\\w+)-(ktx2-\\w+|mtlx(?:-\\w+)?|\\w+)-(ceramic|concrete|fabric|glass|metal|organic|other|plastic|stone|wood)(?:-(\\d+))?-rowmap\\.json$')
-            ) k(kind, pat) WHERE regexp_matches(file_name, pat))""",
+      FROM (SELECT file_name, regexp_extract(file_name, '{pattern}',
+          ['source', 'tier', 'category', 'chunk']) AS m
+        FROM asset_names WHERE regexp_matches(file_name, '{pattern}'))"""
+        for kind, pattern in (("bundle", bundle_pattern()), ("rowmap", rowmap_pattern()))
+    ),
     "snap_old": f"""
       SELECT {sql_pick(SOURCE_OF_NO, _m)} AS source, CAST({_m} AS VARCHAR) AS id,
         {sql_pick(CHANNEL_OF_NO, "doc_id")} AS channel, sha256(text) AS sha256
