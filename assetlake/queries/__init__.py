@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assetlake.queries.registry import QUERIES, SQL
 
-MODULES = ["index", "textures", "chunks", "ranges", "releases", "exports", "usage"]
+MODULES = ["index", "textures", "chunks", "ranges", "bakes", "releases", "exports", "usage", "streams"]
 
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:

@@ -183,7 +183,8 @@ def asset_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(old, new) hashed textures: low quality ones are new, toxic ones removed, digits changed."""
+    """(old, new) hashed textures: materials with a toxic document are removed, those with two poor
+    ones are new, and digits of the texts were blanked in between."""
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     m = F.floor(F.col("doc_id") / 4)
 
@@ -195,12 +196,12 @@ def snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
             sha256(F.encode(text, "UTF-8")).alias("sha256"),
         )
 
-    poor = labels.filter("quality = 0").select("doc_id")
-    toxic = labels.filter("toxic = 1").select("doc_id")
-    old = hashed(docs.join(poor, "doc_id", "left_anti"), F.col("text"))
-    new = hashed(
-        docs.join(toxic, "doc_id", "left_anti"), F.regexp_replace("text", "[0-9]", "#")
-    )
+    def without(test: str, at_least: int) -> DataFrame:
+        bad = labels.filter(test).groupBy(m.alias("m")).count().filter(F.col("count") >= at_least)
+        return docs.withColumn("m", m).join(bad, "m", "left_anti")
+
+    old = hashed(without("quality = 0", 2), F.col("text"))
+    new = hashed(without("toxic = 1", 1), F.regexp_replace("text", "[0-9]", "#"))
     return old, new
 
 
@@ -306,12 +307,13 @@ VIEW_SQL = {
     "snap_old": f"""
       SELECT {sql_pick(SOURCE_OF_NO, _m)} AS source, CAST({_m} AS VARCHAR) AS id,
         {sql_pick(CHANNEL_OF_NO, "doc_id")} AS channel, sha256(text) AS sha256
-      FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)""",
+      FROM documents WHERE doc_id // 4 NOT IN (SELECT doc_id // 4 FROM labels WHERE quality = 0
+        GROUP BY 1 HAVING count(*) >= 2)""",
     "snap_new": f"""
       SELECT {sql_pick(SOURCE_OF_NO, _m)} AS source, CAST({_m} AS VARCHAR) AS id,
         {sql_pick(CHANNEL_OF_NO, "doc_id")} AS channel,
         sha256(regexp_replace(text, '[0-9]', '#', 'g')) AS sha256
-      FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+      FROM documents WHERE doc_id // 4 NOT IN (SELECT doc_id // 4 FROM labels WHERE toxic = 1)""",
     "diff": """
       SELECT source, id, CASE WHEN count(old_hash) = 0 THEN 'new'
           WHEN count(new_hash) = 0 THEN 'removed'
