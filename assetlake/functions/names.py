@@ -86,8 +86,8 @@ def rowmap_name(bundle: Column | str, prefix: str = S.ASSET_PREFIX) -> Column:
 
 def category_of_rowmap(name: Column | str) -> Column:
     """Category at the end of a rowmap file name, null if the name has none."""
-    hit = F.regexp_extract(_c(name), r"-([a-z]+)(?:-\d+)?-rowmap\.json$", 1)
-    return F.nullif(hit, F.lit(""))
+    pattern = r"-([a-z]+)(?:-\d+)?-rowmap\.json$"
+    return F.get(F.regexp_extract_all(_c(name), F.lit(pattern), F.lit(1)), F.lit(0))
 
 
 def material_id_of_document(path: Column | str) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,16 +12,12 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def lookup(key: Column, mapping: dict[str, str]) -> Column:
-    """Dictionary look-up by one hash-set test per distinct value; null when absent."""
-    by_value: dict[str, list[str]] = {}
-    for k, v in mapping.items():
-        by_value.setdefault(v, []).append(k)
-    cases = [(key.isin(keys), F.lit(v)) for v, keys in by_value.items()]
-    if not cases:
+def lookup(key: Column, mapping: dict) -> Column:
+    """Dictionary look-up; null when absent. The key is evaluated once, whatever its cost."""
+    if not mapping:
         return F.lit(None).cast("string")
-    first, *rest = cases
-    return reduce(lambda acc, c: acc.when(*c), rest, F.when(*first))
+    pairs = [F.lit(x) for item in mapping.items() for x in item]
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
 def strip(x: Column) -> Column:
@@ -53,16 +47,21 @@ def channel_alias(raw: Column | str) -> Column:
 def normalize_channel(
     source: Column | str, raw: Column | str, words: dict[tuple[str, str], str] | None = None
 ) -> Column:
-    """Canonical channel of a source's map name; null means the map is skipped."""
+    """Canonical channel of a source's map name; null means the map is skipped.
+
+    ``source`` is a column, or the name of a source that all rows belong to.
+    """
     words = S.channel_dictionary() if words is None else words
+    if isinstance(source, str) and source in {s for s, _ in words}:
+        return lookup(channel_alias(raw), {a: c for (s, a), c in words.items() if s == source})
     flat = {f"{s}:{a}": c for (s, a), c in words.items()}
     return lookup(F.concat(_c(source), F.lit(":"), channel_alias(raw)), flat)
 
 
 def channel_from_member(name: Column | str) -> Column:
     """Raw map name in front of the extension of an archive member, null if there is none."""
-    hit = F.regexp_extract(_c(name), r"(?i)_([A-Za-z]+)\.(png|jpg)$", 1)
-    return F.nullif(hit, F.lit(""))
+    pattern = r"(?i)_([A-Za-z]+)\.(png|jpg)$"
+    return F.get(F.regexp_extract_all(_c(name), F.lit(pattern), F.lit(1)), F.lit(0))
 
 
 def channel_from_tokens(
@@ -76,7 +75,7 @@ def channel_from_tokens(
     known = F.filter(
         F.transform(
             F.reverse(F.split(stem, r"[_\-]")),
-            lambda t: normalize_channel(F.lit(source), t, words),
+            lambda t: normalize_channel(source, t, words),
         ),
         lambda c: c.isNotNull(),
     )
@@ -162,18 +161,13 @@ def hex_to_rgba(color: Column | str) -> Column:
 
 def tier_px(tier: Column | str) -> Column:
     """Edge length of a tier in pixels; an encoding prefix such as ``ktx2-`` is ignored."""
-    base = F.regexp_replace(_c(tier), "^ktx2-", "")
-    return lookup(base, {t: str(px) for t, px in S.TIER_PX.items()}).cast("int")
+    return lookup(F.regexp_replace(_c(tier), "^ktx2-", ""), S.TIER_PX)
 
 
 def upstream_url(source: Column | str, material_id: Column | str) -> Column:
-    source, material_id = _c(source), _c(material_id)
-    cases = [
-        (source == s, F.format_string(u, material_id) if "%s" in u else F.lit(u))
-        for s, u in S.UPSTREAM_PAGE.items()
-    ]
-    first, *rest = cases
-    return reduce(lambda acc, c: acc.when(*c), rest, F.when(*first))
+    """Page of a material at its source."""
+    template = lookup(_c(source), S.UPSTREAM_PAGE)
+    return F.replace(template, F.lit("%s"), _c(material_id))
 
 
 def release_tag_ok(tag: Column | str) -> Column:

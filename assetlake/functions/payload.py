@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from assetlake import schemas as S
-from assetlake.functions.normalize import _c
+from assetlake.functions.normalize import _c, lookup
 
 UNITS = ["B", "KB", "MB", "GB", "TB"]
 
@@ -63,17 +63,12 @@ def png_dimensions(payload: Column | str) -> Column:
 def parse_size(text: Column | str) -> Column:
     """Bytes of ``5GB``, ``500 MB``, ``12``; 0 for an empty text, null when unreadable."""
     s = F.upper(F.trim(_c(text)))
-    number = F.regexp_extract(s, r"^([0-9]*\.?[0-9]+)\s*(TB|GB|MB|KB|B)$", 1)
-    unit = F.regexp_extract(s, r"(TB|GB|MB|KB|B)$", 1)
-    factor = reduce(
-        lambda acc, u: acc.when(unit == u[1], F.lit(float(1024 ** u[0]))),
-        list(enumerate(UNITS))[1:],
-        F.when(unit == "B", F.lit(1.0)),
-    )
-    return (
-        F.when(s.isin("", "0"), F.lit(0).cast("long"))
-        .when(number != "", (F.nullif(number, F.lit("")).cast("double") * factor).cast("long"))
-        .otherwise(s.try_cast("long"))
+    unit = F.regexp_extract(s, r"[KMGT]?B$", 0)
+    number = F.rtrim(F.substr(s, F.lit(1), F.length(s) - F.length(unit)))
+    factor = lookup(unit, {u: float(1024**i) for i, u in enumerate(UNITS)})
+    plain = F.when(s == "", F.lit(0).cast("long")).otherwise(s.try_cast("long"))
+    return F.when(unit == "", plain).otherwise(
+        (number.try_cast("double") * factor).try_cast("long")
     )
 
 

@@ -112,9 +112,8 @@ def needs_bake(has_document: Column | str, n_textures: Column | str) -> Column:
 
 def with_hashes(textures: DataFrame) -> DataFrame:
     """Long rows with sha256 and byte length of the payload; the payload column goes."""
-    return textures.withColumns({"sha256": sha256("payload"), "length": size("payload")}).drop(
-        "payload"
-    )
+    hashed = textures.withColumns({"sha256": sha256("payload"), "length": size("payload")})
+    return hashed.drop("payload")
 
 
 def texture_hashes(hashed: DataFrame, keys: list[str]) -> DataFrame:
@@ -126,20 +125,24 @@ def texture_hashes(hashed: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def hashed_textures(textures: DataFrame, valid: Column | None = None) -> DataFrame:
+    """Long rows with ``sha256``, ``length`` and ``valid``: all later steps do without the payload."""
+    ok = png_ok("payload") if valid is None else valid
+    return textures.withColumns(
+        {"sha256": sha256("payload"), "length": size("payload"), "valid": F.coalesce(ok, F.lit(False))}
+    )
+
+
 def drop_invalid_channels(
-    records: DataFrame, textures: DataFrame, valid: Column | None = None
+    records: DataFrame, hashed: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """(records, textures) without invalid payloads.
+    """(records, textures) without invalid textures; works on ``hashed_textures`` rows.
 
     A record left without a texture, or one that needs baking, is failed; ``maps`` and
-    ``texture_hashes`` are those of the textures that stay. The payload is read once to test and
-    hash it and does not take part in the join.
+    ``texture_hashes`` are those of the textures that stay.
     """
-    ok = png_ok("payload") if valid is None else valid
-    good = textures.filter(ok & ~F.startswith("channel", F.lit("_")))
-    per_id = texture_hashes(
-        with_hashes(good.select("source", "id", "channel", "payload")), ["source", "id"]
-    )
+    good = hashed.filter(F.col("valid") & ~F.startswith("channel", F.lit("_"))).drop("valid")
+    per_id = texture_hashes(good, ["source", "id"])
     rest = records.drop("maps", "texture_hashes")
     bake = F.col("needs_mtlx_bake") if "needs_mtlx_bake" in records.columns else F.lit(False)
     joined = rest.join(per_id, ["source", "id"], "left")

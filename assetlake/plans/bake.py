@@ -15,7 +15,7 @@ from assetlake.operators import rowmap as M
 from assetlake.operators import select as P
 from assetlake.operators.quality import require_success, safe_members
 from assetlake.plans.derive import Resampler, resized, rowmap_of
-from assetlake.session import run_dir
+from assetlake.session import cut, run_dir
 from assetlake.sinks.bundles import only_ok, write_partitioned_bundle
 from assetlake.sinks.documents import write_index
 from assetlake.sinks.files import write_files
@@ -26,21 +26,27 @@ def member_channel(source: str, member: Column | str) -> Column:
     """Canonical channel of an archive member by the naming habit of its source."""
     if source == "gpuopen":
         return N.channel_from_tokens(member, source)
-    return N.normalize_channel(F.lit(source), N.channel_from_member(member))
+    return N.normalize_channel(source, N.channel_from_member(member))
 
 
-def archive_textures(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """(source, id, channel, member, payload) of all safe archives ``<id>.zip`` below ``path``.
+def archive_textures(
+    spark: SparkSession, path: str, source: str, records: DataFrame | None = None
+) -> DataFrame:
+    """(source, id, [category,] channel, member, payload) of the safe archives ``<id>.zip``.
 
     Directories of the archives are read first; only members that become a texture are inflated.
+    With ``records`` only their materials are read, and the category comes along.
     """
     members = archive_members(list_files(spark, path, "*.zip"))
     chosen = chosen_members(safe_members(members, check_paths=False), source)
-    data = read_members(chosen.select("archive", "member_no", "member"))
-    return data.join(chosen.select("archive", "member_no", "id", "channel"),
-                     ["archive", "member_no"]).select(
-        F.lit(source).alias("source"), "id", "channel", "member", "payload"
-    )
+    extra = []
+    if records is not None:
+        cells = records.filter(F.col("source") == source).select("id", "category")
+        chosen, extra = chosen.join(cells, "id"), ["category"]
+    cols = ["archive", "member_no", "member", "id", "channel", *extra]
+    return read_members(chosen.select(*cols)).select(
+        F.lit(source).alias("source"), "id", *extra, "channel", "member", "payload"
+    )
 
 
 def chosen_members(members: DataFrame, source: str) -> DataFrame:
@@ -83,33 +89,34 @@ def bake(
 ) -> Release:
     """Validate, hash, pack and publish the textures of one tier below ``path``.
 
-    Payloads are resampled and written once to a scratch table; everything after that plans on
-    its lengths and hashes.
+    ``textures``: (source, id, category, channel, payload). Payloads are read, resampled, hashed
+    and written to a scratch table in one pass and packed in a second one; everything between and
+    after plans on lengths and hashes. Without a category the textures are joined with the records
+    first, which shuffles them.
     """
     spark = records.sparkSession
     records = P.by_category(records, category)
-    fitted = textures.select("source", "id", "channel", "payload")
+    keys = ["source", "id", "category", "channel"]
+    if "category" not in textures.columns:
+        textures = textures.join(records.select("source", "id", "category"), ["source", "id"])
+    fitted = P.by_category(textures, category).select(*keys, "payload")
     if resampler is not None:
         fitted = resized(fitted, S.TIER_PX[tier], resampler).drop("length")
     scratch = run_dir(spark, "bake")
-    cells = records.select("source", "id", "category")
-    fitted.write.parquet(scratch)
+    fitted.transform(P.hashed_textures).withColumn("tier", F.lit(tier)).write.parquet(scratch)
     stored = spark.read.parquet(scratch)
 
-    checked, good = P.drop_invalid_channels(records, stored)
+    checked, good = P.drop_invalid_channels(records, stored.drop("payload"))
+    checked = cut(checked)
     require_success(checked, min_success)
     ok = only_ok(checked)
-    rows = (
-        good.withColumns({"tier": F.lit(tier), "length": F.octet_length("payload").cast("long")})
-        .join(cells.join(ok.select("source", "id"), ["source", "id"], "left_semi"),
-              ["source", "id"])
-        .select("source", "tier", "category", "id", "channel", "payload", "length")
-    )
+    planned = good.join(ok.select("source", "id"), ["source", "id"], "left_semi")
     bundle_path = f"{path}/bundles"
     chunks, bundles = write_partitioned_bundle(
-        rows, ok, bundle_path, baker_version, baked_at, max_bytes, rotate, prefix
-    )
-    located = rowmap_of(spark, bundle_path, rows.drop("payload"), chunks, bundles)
+        stored.filter("valid"), ok, bundle_path, baker_version, baked_at, max_bytes, rotate,
+        prefix, planned=planned,
+    )
+    located = rowmap_of(spark, bundle_path, planned, chunks, bundles)
     rowmap_path = f"{path}/rowmap"
     located.withColumn("release_tag", F.lit(release_tag)).write.parquet(rowmap_path)
     rowmap = spark.read.parquet(rowmap_path)

@@ -24,7 +24,7 @@ LINE = [*ORDER, "line"]
 
 
 def source_order(order: list[str]) -> Column:
-    return lookup(F.col("source"), {s: str(i) for i, s in enumerate(order)}).cast("int")
+    return lookup(F.col("source"), {s: i for i, s in enumerate(order)})
 
 
 def texture_entries(index: DataFrame, thumbnails: DataFrame) -> DataFrame:

@@ -108,21 +108,21 @@ def publish_tier(
 ) -> tuple[DataFrame, DataFrame]:
     """Write derived rows as bundles; returns (rowmap, index entries of the new tier).
 
-    Materials without any payload left are not in the result. ``derived`` is read twice, so hand
-    over a table or a checkpoint, not an expensive plan.
+    Materials without any payload left are not in the result. ``derived`` is read twice, once for
+    its lengths, so hand over a written table. Rows without a category get that of the index,
+    which shuffles them.
     """
     spark = derived.sparkSession
-    rows = enrich(derived.drop("category"), index)
+    rows = derived if "category" in derived.columns else enrich(derived, index)
     chunks, bundles = write_partitioned_bundle(
-        rows, rows.select("source", "id", "source_url", "source_license").distinct(), path,
-        baker_version, baked_at, max_bytes, prefix=prefix,
-    )
+        rows, index, path, baker_version, baked_at, max_bytes, prefix=prefix
+    )
     rowmap = rowmap_of(spark, path, rows.drop("payload"), chunks, bundles)
     meta = rows.groupBy("source", "id", "tier").agg(
         F.array_sort(F.collect_set("channel")).alias("maps")
     )
-    entries = index.drop("maps", "available_tiers", "texture_hashes", "status").join(
-        meta, ["source", "id"], "right"
+    entries = enrich(meta, index).join(
+        index.select("source", "id", "tags", "last_updated"), ["source", "id"], "left"
     )
     new_index = index_projection(entries.withColumn("available_tiers", F.array("tier")))
     return rowmap, new_index

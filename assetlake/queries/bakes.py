@@ -113,9 +113,10 @@ def records(spark, d):
 
 def baked(spark, d) -> tuple[str, D.Release]:
     path = run_dir(spark, "release")
-    textures = D.archive_textures(spark, archive_path(spark, d), "ambientcg")
+    rows = records(spark, d)
+    textures = D.archive_textures(spark, archive_path(spark, d), "ambientcg", rows)
     release = D.bake(
-        records(spark, d), textures, "1k", path, "v2026.04.0", "https://example.org/r/",
+        rows, textures, "1k", path, "v2026.04.0", "https://example.org/r/",
         "2026-04-18T00:00:00+00:00", max_bytes=100_000,
     )
     return path, release

@@ -140,7 +140,7 @@ def channel_from_member(spark, d):
     raw = N.channel_from_member("member")
     return members(spark, d).select(
         "archive", "member_no", "member",
-        N.normalize_channel(F.lit("ambientcg"), raw).alias("channel"),
+        N.normalize_channel("ambientcg", raw).alias("channel"),
     )
 
 
@@ -457,7 +457,8 @@ def parse_size(spark, d):
       WHEN n < 1048576 THEN printf('%.1f KB', n / 1024.0::DOUBLE)
       WHEN n < 1073741824 THEN printf('%.1f MB', n / 1048576.0::DOUBLE)
       WHEN n < 1099511627776 THEN printf('%.1f GB', n / 1073741824.0::DOUBLE)
-      ELSE printf('%.1f TB', n / 1099511627776.0::DOUBLE) END AS size
+      WHEN n < 1125899906842624 THEN printf('%.1f TB', n / 1099511627776.0::DOUBLE)
+      ELSE printf('%.1f PB', n / 1125899906842624.0::DOUBLE) END AS size
     FROM (SELECT o_orderkey, o_custkey * o_custkey * (o_orderkey % 1000) *
       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 700 ELSE 60000 END AS n FROM orders)""",
 )

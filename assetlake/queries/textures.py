@@ -127,9 +127,8 @@ def png_dimensions(spark, d):
 )
 def drop_invalid_channels(spark, d):
     letter = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
-    records, _ = P.drop_invalid_channels(
-        mat(spark, d), tex(spark, d, payload=True), letter.between("A", "M")
-    )
+    hashed = P.hashed_textures(tex(spark, d, payload=True), letter.between("A", "M"))
+    records, _ = P.drop_invalid_channels(mat(spark, d), hashed.drop("payload"))
     return records.select("source", "id", F.array_join("maps", ",").alias("maps"), "status")
 
 

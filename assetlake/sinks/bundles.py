@@ -121,15 +121,20 @@ def write_partitioned_bundle(
     rotate: str = "count",
     prefix: str = S.ASSET_PREFIX,
     mode: str = "errorifexists",
+    planned: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Write long texture rows as size-bounded bundles; returns (chunks, bundles).
 
     ``textures``: (source, tier, category, id, channel, payload, length); ``records``: (source, id,
-    source_url, source_license). Files are ``<path>/bundle=<name>/…``, rows sorted by id. Payloads
-    are shuffled once, to the task that writes their file; the metadata travels as one more row.
+    source_url, source_license); ``planned``: the textures without payload that are to be written,
+    all of them by default. Files are ``<path>/bundle=<name>/…``, rows sorted by id.
+
+    Payloads are shuffled once, to the task that writes their file. The metadata of a material
+    travels as one more row, and only materials that have such a row are written.
     """
     spark = textures.sparkSession
-    chunks, bundles = plan_bundles(textures.drop("payload"), max_bytes, rotate, prefix)
+    planned = textures.drop("payload") if planned is None else planned
+    chunks, bundles = plan_bundles(planned, max_bytes, rotate, prefix)
     n_bundles = bundles.count()
     if n_bundles == 0:
         raise ValueError("no successful records to write")
@@ -138,7 +143,7 @@ def write_partitioned_bundle(
     )
     rows = with_bundle(
         textures.select(*C.GROUP, "id", "channel", "payload").unionByName(
-            meta, allowMissingColumns=True
+            meta.withColumn("planned", F.lit(True)), allowMissingColumns=True
         ),
         chunks,
         bundles,
@@ -153,7 +158,9 @@ def write_partitioned_bundle(
             *_channel_columns("payload"),
             F.max("source_url").alias("source_url"),
             F.max("source_license").alias("source_license"),
+            F.max("planned").alias("planned"),
         )
+        .filter("planned")
     )
     px = F.coalesce(tier_px("tier"), F.lit(0))
     out = bundle_projection(wide, px, baker_version, baked_at, "bundle")

@@ -14,6 +14,7 @@ import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from assetlake import schemas as S
 from assetlake.functions.names import material_id_of_document
@@ -109,24 +110,25 @@ def archive_members(files: DataFrame) -> DataFrame:
 
 
 def read_members(members: DataFrame) -> DataFrame:
-    """``members`` with their payload. Pass only members of archives that were found safe."""
-    cols = ["archive", "member_no", "member"]
+    """``members`` (archive, member_no, …) plus their payload.
+
+    All columns travel along, so nothing has to be joined to payload rows afterwards. Pass only
+    members of archives that were found safe.
+    """
+    schema = StructType([*members.schema.fields, StructField("payload", BinaryType())])
+    out = schema.names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, group in batch.groupby("archive", sort=False):
                 with open_path(path) as fh, zipfile.ZipFile(fh) as zf:
                     infos = zf.infolist()
-                    for no, name in zip(group["member_no"], group["member"], strict=True):
-                        data = zf.read(infos[int(no)])
-                        yield pd.DataFrame(
-                            [(path, int(no), name, data)], columns=[*cols, "payload"]
-                        )
-
-    spread = members.select(*cols).repartition(n_tasks(members.sparkSession), "archive")
-    return spread.sortWithinPartitions("archive", "member_no").mapInPandas(
-        run, "archive string, member_no int, member string, payload binary"
-    )
+                    for i, no in enumerate(group["member_no"]):
+                        row = group.iloc[i : i + 1]
+                        yield row.assign(payload=[zf.read(infos[int(no)])])[out]
+
+    spread = members.repartition(n_tasks(members.sparkSession), "archive")
+    return spread.sortWithinPartitions("archive", "member_no").mapInPandas(run, schema)
 
 
 def read_archives(spark: SparkSession, path: Paths) -> DataFrame:

@@ -68,7 +68,7 @@ def map_urls(tree: DataFrame, key: str, tier: str, source: str = "polyhaven") ->
     url = N.pick_format("formats")
     rows = (
         tree.filter(F.col("tier") == S.FILE_TIER.get(tier, ""))
-        .select(key, "map_no", N.normalize_channel(F.lit(source), "map_name").alias("channel"),
+        .select(key, "map_no", N.normalize_channel(source, "map_name").alias("channel"),
                 url.alias("url"))
         .filter(F.col("channel").isNotNull() & F.col("url").isNotNull())
     )
