@@ -70,16 +70,12 @@ def channel_from_tokens(
     words: dict[tuple[str, str], str] | None = None,
 ) -> Column:
     """Channel of an image file: the last token of its stem that is a known map name."""
-    base = F.lower(F.substring_index(_c(name), "/", -1))
-    stem = F.regexp_replace(base, r"\.[^.]*$", "")
-    known = F.filter(
-        F.transform(
-            F.reverse(F.split(stem, r"[_\-]")),
-            lambda t: normalize_channel(source, t, words),
-        ),
-        lambda c: c.isNotNull(),
-    )
-    return F.when(base.rlike(r"\.(png|jpg|jpeg|tif|tiff|exr)$"), F.get(known, F.lit(0)))
+    words = S.channel_dictionary() if words is None else words
+    known = {a: c for (s, a), c in words.items() if s == source}
+    base = F.translate(F.lower(F.substring_index(_c(name), "/", -1)), " ", "")
+    # The greedy start makes the regex find the last token; one match replaces a loop over tokens.
+    pattern = rf"^(?:.*[_\-])?({'|'.join(known)})(?:[_\-].*)?\.(?:png|jpg|jpeg|tif|tiff|exr)$"
+    return lookup(F.regexp_extract(base, pattern, 1), known)
 
 
 def first_category(raw: Column | str) -> Column:

@@ -180,7 +180,8 @@ def escapes_root(member: Column) -> Column:
         ),
         lambda a: a["low"],
     )
-    return F.startswith(member, F.lit("/")) | (depth < 0)
+    climbs = F.contains(member, F.lit("..")) & (depth < 0)
+    return F.startswith(member, F.lit("/")) | climbs
 
 
 def archive_safety(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from assetlake import schemas as S
@@ -16,7 +17,7 @@ from assetlake.operators.lookup import enrich
 from assetlake.operators.rowmap import build_rowmap, collector
 from assetlake.operators.select import index_projection
 from assetlake.sinks.bundles import with_bundle, write_partitioned_bundle
-from assetlake.sources.bundles import footers, list_files
+from assetlake.sources.bundles import footers, list_files, record_batches
 
 Resampler = Callable[[bytes, int], bytes]
 Encoder = Callable[[bytes, str], bytes]
@@ -30,26 +31,25 @@ def map_payloads(
     ``mode`` is that of the channel: normal, srgb or linear. Failed rows drop unless
     ``keep_failed``, then they stay with their ``error``.
     """
-    names = textures.columns
-    fields = [f for f in textures.schema.fields if f.name not in ("payload", "length")]
-    schema = StructType(fields).add("payload", "binary").add("length", "long").add("error", "string")
-    out = schema.names
+    kept = [f for f in textures.schema.fields if f.name not in ("payload", "length")]
+    schema = StructType(list(kept)).add("length", "long").add("error", "string").add("payload", "binary")
+    arrow = to_arrow_schema(schema)
+    names = [f.name for f in kept]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            payloads, errors = [], []
-            for data, channel in zip(batch["payload"], batch["channel"], strict=True):
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            for i in range(batch.num_rows):
+                row = [columns[n][i].as_py() for n in names]
+                mode = channel_mode(columns["channel"][i].as_py())
                 try:
-                    payloads.append(change(bytes(data), channel_mode(channel)))
-                    errors.append(None)
+                    data, error = change(columns["payload"][i].as_py(), mode), None
                 except Exception as exc:
-                    payloads.append(None)
-                    errors.append(f"{type(exc).__name__}: {exc}")
-            lengths = pd.array([None if p is None else len(p) for p in payloads], dtype="Int64")
-            yield batch[names].assign(payload=payloads, length=lengths, error=errors)[out]
+                    data, error = None, f"{type(exc).__name__}: {exc}"
+                yield (*row, None if data is None else len(data), error, data)
 
-    rows = textures.mapInPandas(run, schema)
-    return rows if keep_failed else rows.filter("payload is not null").drop("error")
+    out = textures.mapInArrow(lambda batches: record_batches(rows(batches), arrow), schema)
+    return out if keep_failed else out.filter("payload is not null").drop("error")
 
 
 def channel_mode(channel: str) -> str:

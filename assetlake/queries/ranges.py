@@ -21,7 +21,7 @@ from assetlake.queries.registry import (
     table,
     tex,
 )
-from assetlake.session import run_dir
+from assetlake.session import cut, run_dir
 from assetlake.sinks.bundles import write_partitioned_bundle
 from assetlake.sinks.files import inventory, write_files
 from assetlake.sources import bundles as R
@@ -226,7 +226,7 @@ def written(spark, d):
 
 def bundle_rowmap(spark, d):
     path, rows, chunks, bundles = written(spark, d)
-    located = D.rowmap_of(spark, path, rows, chunks, bundles)
+    located = cut(D.rowmap_of(spark, path, rows, chunks, bundles))
     files = R.list_files(spark, path, "*.parquet").select(
         F.concat(F.regexp_extract("path", r"/bundle=([^/]+)/", 1), F.lit(".parquet"))
         .alias("parquet_file"),

@@ -10,10 +10,12 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from assetlake import schemas as S
@@ -22,6 +24,7 @@ from assetlake.functions.payload import length_ok, size
 
 Paths = str | list[str]
 SLAB = 256 * 1024 * 1024
+BATCH_BYTES = 32 * 1024 * 1024
 
 
 def open_path(path: str):
@@ -29,6 +32,26 @@ def open_path(path: str):
     return fs.open_input_file(inner)
 
 
+def record_batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of rows that carry a payload, closed after so many payload bytes."""
+    at = schema.get_field_index("payload")
+    pending, size = [], 0
+    for row in rows:
+        pending.append(row)
+        size += len(row[at] or b"")
+        if size >= BATCH_BYTES:
+            yield _record_batch(pending, schema)
+            pending, size = [], 0
+    if pending:
+        yield _record_batch(pending, schema)
+
+
+def _record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
 def n_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -116,19 +139,22 @@ def read_members(members: DataFrame) -> DataFrame:
     members of archives that were found safe.
     """
     schema = StructType([*members.schema.fields, StructField("payload", BinaryType())])
-    out = schema.names
+    arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        path = zf = None
         for batch in batches:
-            for path, group in batch.groupby("archive", sort=False):
-                with open_path(path) as fh, zipfile.ZipFile(fh) as zf:
+            for row in batch.to_pylist():
+                if row["archive"] != path:
+                    path = row["archive"]
+                    zf = zipfile.ZipFile(open_path(path))
                     infos = zf.infolist()
-                    for i, no in enumerate(group["member_no"]):
-                        row = group.iloc[i : i + 1]
-                        yield row.assign(payload=[zf.read(infos[int(no)])])[out]
+                yield (*row.values(), zf.read(infos[row["member_no"]]))
 
     spread = members.repartition(n_tasks(members.sparkSession), "archive")
-    return spread.sortWithinPartitions("archive", "member_no").mapInPandas(run, schema)
+    return spread.sortWithinPartitions("archive", "member_no").mapInArrow(
+        lambda batches: record_batches(rows(batches), arrow), schema
+    )
 
 
 def read_archives(spark: SparkSession, path: Paths) -> DataFrame:
@@ -264,36 +290,36 @@ def fetch_ranges(
     plan = located.withColumn("error_kind", error).withColumn(
         "slab", F.floor(F.col("offset") / SLAB)
     )
-    out = [*RANGE_KEYS, "parquet_file", "offset", "length", "payload", "error_kind"]
     schema = (
         "source string, tier string, id string, channel string, parquet_file string, "
-        "offset bigint, length bigint, payload binary, error_kind string"
+        "offset bigint, length bigint, error_kind string, payload binary"
     )
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    names = arrow.names[:-1]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        path = fh = None
         for batch in batches:
-            batch = batch.astype(object).where(batch.notna(), None)
-            known = batch["error_kind"].notna()
-            if known.any():
-                yield batch[known].assign(payload=None)[out]
-            for path, group in batch[~known].groupby("path", sort=False):
-                with open_path(path) as fh:
-                    for row in group.to_dict("records"):
-                        fh.seek(int(row["offset"]))
-                        data = fh.read(int(row["length"]))
-                        row["payload"] = data
-                        if len(data) != row["length"]:
-                            row["payload"], row["error_kind"] = None, "short_read"
-                        elif magics and not data.startswith(magics):
-                            row["payload"], row["error_kind"] = None, "bad_magic"
-                        yield pd.DataFrame([row])[out]
+            for row in batch.to_pylist():
+                data = None
+                if row["error_kind"] is None:
+                    if row["path"] != path:
+                        path = row["path"]
+                        fh = open_path(path)
+                    fh.seek(row["offset"])
+                    data = fh.read(row["length"])
+                    if len(data) != row["length"]:
+                        row["error_kind"], data = "short_read", None
+                    elif magics and not data.startswith(magics):
+                        row["error_kind"], data = "bad_magic", None
+                yield (*[row[n] for n in names], data)
 
     # Rows that need no read have no slab; they spread over the tasks by their id.
     spread = F.coalesce("slab", F.pmod(F.hash("id"), F.lit(1024)).cast("long"))
     return (
         plan.repartition(n_tasks(spark), F.col("path"), spread)
         .sortWithinPartitions("path", "offset")
-        .mapInPandas(run, schema)
+        .mapInArrow(lambda batches: record_batches(rows(batches), arrow), schema)
     )
 
 

@@ -15,6 +15,7 @@ def spark() -> SparkSession:
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.streaming.stateStore.maintenanceInterval": "3600s",
         },
     )
