@@ -35,20 +35,19 @@ def lookup_texture(
     alternatives are the rows of ``materials(rowmap)``.
     """
     levels = manifest_files.select("tier", "source").distinct()
-    tiers = levels.select(F.col("tier").alias("_t")).distinct()
-    all_tiers = tiers.agg(F.array_sort(F.collect_list("_t")).alias("all_tiers"))
-    per_tier = levels.groupBy("tier").agg(F.array_sort(F.collect_list("source")).alias("sources"))
+    all_tiers = levels.agg(F.array_sort(F.collect_set("tier"))).scalar()
+    per_tier = levels.groupBy("tier").agg(F.array_sort(F.collect_set("source")).alias("sources"))
 
     key = ["source", "tier", "id"]
     wanted = requests.select(*key).distinct()
-    ranges = F.map_from_entries(
-        F.array_sort(
-            F.collect_set(F.struct("channel", F.struct("offset", "length", "parquet_file")))
-        )
-    )
-    entries = (
-        rowmap.join(wanted, key, "left_semi").groupBy(*key).agg(ranges.alias("ranges"))
+    place = F.struct("offset", "length", "parquet_file")
+    ranges = (
+        rowmap.join(wanted, key, "left_semi")
+        .groupBy(*key, "channel")
+        .agg(F.max_by(place, "parquet_file").alias("range"))
     )
+    by_channel = F.map_from_entries(F.array_sort(F.collect_list(F.struct("channel", "range"))))
+    entries = ranges.groupBy(*key).agg(by_channel.alias("ranges"))
     hit = F.try_element_at("ranges", F.col("channel"))
     error = (
         F.when(F.col("sources").isNull(), "tier")
@@ -59,12 +58,11 @@ def lookup_texture(
     joined = (
         requests.join(small(per_tier), "tier", "left")
         .join(entries, key, "left")
-        .crossJoin(F.broadcast(all_tiers))
         .withColumn("error_kind", error)
         .withColumn("hit", hit)
     )
     available = (
-        F.when(F.col("error_kind") == "tier", F.col("all_tiers"))
+        F.when(F.col("error_kind") == "tier", all_tiers)
         .when(F.col("error_kind") == "source", F.col("sources"))
         .when(F.col("error_kind") == "channel", F.array_sort(F.map_keys("ranges")))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -45,32 +46,39 @@ def manifest_rollup(names: DataFrame, prefix: str = S.ASSET_PREFIX, categories=N
 def unpartitioned_assets(
     names: DataFrame, sources: list[str], tiers: list[str], prefix: str = S.ASSET_PREFIX
 ) -> DataFrame:
-    """(tier, source, parquet_files, rowmap_files) of one bake output, by file name prefix.
+    """(tier, source, parquet_files, rowmap_files) of a bake output, for the given sources and tiers.
 
-    The single unpartitioned file of a kind is used only where no partitioned one exists.
+    Any category counts. The single unpartitioned file of a kind is used only where no partitioned
+    one exists.
     """
-    spark = names.sparkSession
-    cells = spark.createDataFrame([(t, s) for t in tiers for s in sources], "tier string, source string")
-    stem = F.concat_ws("-", "source", "tier")
-    bundle = F.concat(F.lit(f"{prefix}-"), stem)
-    name = F.col("file_name")
-    part = F.startswith(name, F.concat(bundle, F.lit("-"))) & F.endswith(name, F.lit(".parquet"))
-    single = name == F.concat(bundle, F.lit(".parquet"))
-    rpart = F.startswith(name, F.concat(stem, F.lit("-"))) & F.endswith(
-        name, F.lit("-rowmap.json")
-    )
-    rsingle = name == F.concat(stem, F.lit("-rowmap.json"))
-    # "a-b-rowmap.json" starts with "a-b-" too, so the single name is taken out of the parted ones.
-    rpart = rpart & ~rsingle
 
-    def files(parted, one):
-        many = F.array_sort(F.collect_list(F.when(parted, name)))
-        alone = F.array_sort(F.collect_list(F.when(one, name)))
-        return F.when(F.size(many) > 0, many).otherwise(alone)
+    def alternatives(values: list[str]) -> str:
+        return "|".join(re.escape(v) for v in sorted(values, key=len, reverse=True))
+
+    cell = rf"({alternatives(sources)})-({alternatives(tiers)})(-.+)?"
+    bundle = rf"^{re.escape(prefix)}-{cell}\.parquet$"
+    rowmap = rf"^{cell}-rowmap\.json$"
+    is_bundle = F.col("file_name").rlike(bundle)
+
+    def group(i: int):
+        return F.when(is_bundle, F.regexp_extract("file_name", bundle, i)).otherwise(
+            F.regexp_extract("file_name", rowmap, i)
+        )
+
+    matched = names.filter(is_bundle | F.col("file_name").rlike(rowmap)).select(
+        "file_name", is_bundle.alias("bundle"), group(1).alias("source"), group(2).alias("tier"),
+        (group(3) != "").alias("parted"),
+    )
+
+    def files(kind):
+        def of(parted):
+            return F.array_sort(F.collect_list(F.when(kind & parted, F.col("file_name"))))
+
+        many = of(F.col("parted"))
+        return F.when(F.size(many) > 0, many).otherwise(of(~F.col("parted")))
 
-    matched = names.join(F.broadcast(cells), part | single | rpart | rsingle)
     out = matched.groupBy("tier", "source").agg(
-        files(part, single).alias("parquet_files"), files(rpart, rsingle).alias("rowmap_files")
+        files(F.col("bundle")).alias("parquet_files"), files(~F.col("bundle")).alias("rowmap_files")
     )
     return out.filter(F.size("parquet_files") > 0)
 
@@ -79,7 +87,6 @@ def manifest_document(
     rollup: DataFrame, release_tag: str, base_url: str, schema_version: int = 1
 ) -> DataFrame:
     """One row: the nested manifest as JSON (``content``). A tier is there only with a source."""
-    spark = rollup.sparkSession
     sources = rollup.groupBy("tier").agg(
         F.map_from_entries(
             F.array_sort(
@@ -88,14 +95,12 @@ def manifest_document(
         ).alias("sources")
     )
     tier = F.struct("tier", F.struct(F.lit(base_url).alias("base_url"), "sources"))
-    # Maps cannot be sorted, so the tiers are keyed before they are gathered.
+    # An aggregate without keys has one row even when there is no tier at all.
     tiers = sources.agg(F.map_from_entries(F.collect_list(tier)).alias("tiers"))
-    head = spark.range(1).select(
-        F.lit(schema_version).alias("schema_version"), F.lit(release_tag).alias("release_tag")
-    )
-    return head.join(tiers).select(
+    head = [F.lit(schema_version).alias("schema_version"), F.lit(release_tag).alias("release_tag")]
+    return tiers.select(
         F.lit("release-manifest.json").alias("file"),
-        F.to_json(F.struct("schema_version", "release_tag", "tiers")).alias("content"),
+        F.to_json(F.struct(*head, "tiers")).alias("content"),
     )
 
 

@@ -93,13 +93,23 @@ def rowmap_stats(rowmap: DataFrame, by: list[str]) -> DataFrame:
 
 
 def rowmap_documents(
-    rowmap: DataFrame, files: DataFrame, release_tag: str, prefix: str = S.ASSET_PREFIX
+    rowmap: DataFrame,
+    files: DataFrame,
+    release_tag: str,
+    prefix: str = S.ASSET_PREFIX,
+    max_materials: int = 500_000,
 ) -> DataFrame:
     """(file, content): one JSON rowmap per bundle of ``files``, also for an empty bundle.
 
-    ``files``: (parquet_file, source, tier). A rowmap describes one bundle, whose size is bounded
-    when it is written, so its entries are gathered per file.
+    ``files``: (parquet_file, source, tier). A document is gathered per bundle, whose bytes are
+    bounded when it is written; one with more than ``max_materials`` is refused.
     """
+    big = rowmap_stats(rowmap, ["parquet_file"]).filter(F.col("materials") > max_materials).take(1)
+    if big:
+        raise ValueError(
+            f"{big[0]['parquet_file']} has {big[0]['materials']} materials, more than one JSON "
+            "document should hold; keep its rowmap as a table"
+        )
     ranges = F.array_sort(F.collect_list(F.struct("channel", F.struct("offset", "length"))))
     per_id = rowmap.groupBy("parquet_file", "id").agg(ranges.alias("ranges"))
     entry = F.concat(_json_text(F.col("id")), F.lit(":"), F.to_json(F.map_from_entries("ranges")))

@@ -116,11 +116,24 @@ def with_hashes(textures: DataFrame) -> DataFrame:
     return hashed.drop("payload")
 
 
-def texture_hashes(hashed: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, maps, texture_hashes) from hashed long rows, channels sorted."""
-    entry = F.struct("channel", F.struct("sha256", F.col("length").alias("size")))
-    entries = F.array_sort(F.collect_list(entry))
-    return hashed.groupBy(*keys).agg(F.map_from_entries(entries).alias("texture_hashes")).select(
+def texture_hashes(
+    hashed: DataFrame, keys: list[str], channels: list[str] | None = None
+) -> DataFrame:
+    """(keys, maps, texture_hashes) from hashed long rows, channels sorted.
+
+    One aggregate per channel, so nothing is gathered and repeated rows are combined early.
+    """
+    names = sorted(channels or S.CHANNELS)
+    entry = F.struct("sha256", F.col("length").alias("size"))
+    per_channel = [
+        F.max(F.when(F.col("channel") == c, entry)).alias(f"_{i}") for i, c in enumerate(names)
+    ]
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("key"), F.col(f"_{i}").alias("value"))
+          for i, c in enumerate(names)]
+    )
+    present = F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+    return hashed.groupBy(*keys).agg(*per_channel).select(*keys, present.alias("texture_hashes")).select(
         *keys, F.map_keys("texture_hashes").alias("maps"), "texture_hashes"
     )
 

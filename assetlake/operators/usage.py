@@ -129,10 +129,11 @@ def tier_union(index: DataFrame) -> DataFrame:
 
 def catalog_totals(index: DataFrame, manifest_files: DataFrame) -> DataFrame:
     """One row (materials, sources, tiers)."""
-    left = index.agg(
+    tiers = manifest_files.agg(F.countDistinct("tier")).scalar()
+    totals = index.agg(
         F.count(F.lit(1)).alias("materials"), F.countDistinct("source").alias("sources")
     )
-    return left.join(manifest_files.agg(F.countDistinct("tier").alias("tiers")))
+    return totals.withColumn("tiers", tiers)
 
 
 def coverage_matrix(files: DataFrame, tiers: list[str]) -> DataFrame:

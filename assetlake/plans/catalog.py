@@ -146,7 +146,7 @@ def header(index: DataFrame, manifest_files: DataFrame, tag: str, date: str) ->
         F.count(F.lit(1)).cast("string").alias("n_sources"),
         F.array_sort(F.collect_list(F.struct("source", link.alias("link")))).alias("links"),
     )
-    n_tiers = manifest_files.agg(F.countDistinct("tier").cast("string").alias("n_tiers"))
+    n_tiers = manifest_files.agg(F.countDistinct("tier").cast("string")).scalar()
     lines = [
         F.lit("<!-- generated, do not edit -->"),
         F.lit(f"<!-- Source: release {tag} | Generated: {date} -->"),
@@ -163,7 +163,7 @@ def header(index: DataFrame, manifest_files: DataFrame, tag: str, date: str) ->
     ]
     rows = F.array(*[F.struct(F.lit(i).alias("line_no"), c.alias("line"))
                      for i, c in enumerate(lines)])
-    return per.join(n_tiers).select(
+    return per.withColumn("n_tiers", n_tiers).select(
         F.lit(-1).alias("source_no"), F.lit("").alias("category"), F.lit(0).alias("part"),
         F.lit("").alias("id"), F.explode(rows).alias("r"),
     ).select("source_no", "category", "part", "id", "r.*")

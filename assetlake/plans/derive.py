@@ -16,6 +16,7 @@ from assetlake.functions.payload import has_magic
 from assetlake.operators.lookup import enrich
 from assetlake.operators.rowmap import build_rowmap, collector
 from assetlake.operators.select import index_projection
+from assetlake.session import small
 from assetlake.sinks.bundles import with_bundle, write_partitioned_bundle
 from assetlake.sources.bundles import footers, list_files, record_batches
 
@@ -90,11 +91,11 @@ def thumbnails(
     """(source, id, channel, file, content) of thumbnails that are not there yet."""
     rows = textures
     if existing is not None:
-        have = existing.select("source", "id", "channel")
-        rows = rows.join(have, ["source", "id", "channel"], "left_anti")
-    small = resized(rows, px, resampler)
+        have = existing.select("source", "id", "channel").distinct()
+        rows = rows.join(have.transform(small), ["source", "id", "channel"], "left_anti")
+    thumbs = resized(rows, px, resampler)
     file = F.concat_ws("/", "source", "id", F.concat("channel", F.lit("_thumb.png")))
-    return small.select("source", "id", "channel", file.alias("file"), F.col("payload").alias("content"))
+    return thumbs.select("source", "id", "channel", file.alias("file"), F.col("payload").alias("content"))
 
 
 def publish_tier(

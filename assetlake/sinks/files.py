@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,37 +19,38 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     fs, inner = pafs.FileSystem.from_uri(root)
     if fs.get_file_info(inner).type != pafs.FileType.Directory:
         return spark.createDataFrame([], "file string, length bigint")
-    tail = "/" + inner.rstrip("/").rsplit("/", 1)[-1] + "/"
-    files = list_files(spark, root)
-    at = F.locate(tail, "path") + F.lit(len(tail))
-    return files.select(F.substr("path", at).alias("file"), "length")
+    folder = inner.rstrip("/") + "/"
+    at = F.locate(folder, "path") + F.lit(len(folder))
+    return list_files(spark, root).select(F.substr("path", at).alias("file"), "length")
 
 
 def write_files(files: DataFrame, root: str, skip_existing: bool = False) -> tuple[int, int]:
     """Write ``content`` (text or binary) of each row to ``<root>/<file>``; (files, bytes) written.
 
-    Each file appears under its name only when complete, so a repeated task does no harm.
+    Each file appears under its name only when complete, so a repeated task does no harm. Existing
+    files are looked up by the task that would write them; contents are not shuffled.
     """
-    spark = files.sparkSession
-    if skip_existing:
-        files = files.join(inventory(spark, root).select("file"), "file", "left_anti")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, inner = pafs.FileSystem.from_uri(root)
+        n = total = 0
         for batch in batches:
-            n = total = 0
-            for name, content in zip(batch["file"], batch["content"], strict=True):
-                data = content.encode() if isinstance(content, str) else bytes(content)
-                target = f"{inner}/{name}"
+            targets = [f"{inner}/{name.as_py()}" for name in batch.column(0)]
+            known = fs.get_file_info(targets) if skip_existing else [None] * len(targets)
+            for i, (target, info) in enumerate(zip(targets, known, strict=True)):
+                if info is not None and info.type == pafs.FileType.File:
+                    continue
+                content = batch.column(1)[i].as_py()
+                data = content.encode() if isinstance(content, str) else content
                 fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 part = f"{target}.{uuid.uuid4().hex}.part"
                 with fs.open_output_stream(part) as out:
                     out.write(data)
                 fs.move(part, target)
                 n, total = n + 1, total + len(data)
-            yield pd.DataFrame({"n": [n], "bytes": [total]})
+        yield pa.RecordBatch.from_pydict({"n": [n], "bytes": [total]})
 
-    done = files.select("file", "content").mapInPandas(run, "n bigint, bytes bigint")
+    done = files.select("file", "content").mapInArrow(run, "n bigint, bytes bigint")
     row = done.agg(F.sum("n"), F.sum("bytes")).first()
     return row[0] or 0, row[1] or 0
 

@@ -21,6 +21,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from assetlake import schemas as S
 from assetlake.functions.names import material_id_of_document
 from assetlake.functions.payload import length_ok, size
+from assetlake.session import small
 
 Paths = str | list[str]
 SLAB = 256 * 1024 * 1024
@@ -142,12 +143,15 @@ def read_members(members: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        path = zf = None
+        path = fh = zf = None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["archive"] != path:
+                    if fh:
+                        fh.close()
                     path = row["archive"]
-                    zf = zipfile.ZipFile(open_path(path))
+                    fh = open_path(path)
+                    zf = zipfile.ZipFile(fh)
                     infos = zf.infolist()
                 yield (*row.values(), zf.read(infos[row["member_no"]]))
 
@@ -281,7 +285,7 @@ def fetch_ranges(
     wanted = requests.select(*RANGE_KEYS).distinct()
     located = wanted.join(rowmap.select(*RANGE_KEYS, "parquet_file", "offset", "length"),
                           RANGE_KEYS, "left")
-    located = located.join(files.select("parquet_file", "path"), "parquet_file", "left")
+    located = located.join(small(files.select("parquet_file", "path")), "parquet_file", "left")
     error = (
         F.when(F.col("offset").isNull(), "not_in_rowmap")
         .when(~length_ok("length", cap), "bad_length")
@@ -304,6 +308,8 @@ def fetch_ranges(
                 data = None
                 if row["error_kind"] is None:
                     if row["path"] != path:
+                        if fh:
+                            fh.close()
                         path = row["path"]
                         fh = open_path(path)
                     fh.seek(row["offset"])
