@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from assetlake import schemas as S
 from assetlake.functions.names import category_of_rowmap, parse_asset_name, rowmap_name
+from assetlake.session import cut
 
 MATERIAL = ["source", "id"]
 MAX_CHAIN = 99
@@ -207,7 +208,8 @@ def release_chain(releases: DataFrame, tag: str, max_depth: int = MAX_CHAIN) ->
         SELECT release_tag, depth FROM chain
         """,
         {"tag": tag, "max_depth": max_depth},
-        releases=releases.select("release_tag", "base_release"),
+        # Every level of the recursion reads the releases again.
+        releases=cut(releases.select("release_tag", "base_release")),
     )
     rows = chain.groupBy("release_tag").agg(
         F.min("depth").alias("depth"), F.max("depth").alias("deepest")
@@ -223,7 +225,7 @@ def release_chain(releases: DataFrame, tag: str, max_depth: int = MAX_CHAIN) ->
 
 def resolve_overlay(releases: DataFrame, files: DataFrame, tag: str) -> DataFrame:
     """(tier, source, file_name, from): every file seen from ``tag``, nearest release first."""
-    chain = release_chain(releases, tag)
+    chain = cut(release_chain(releases, tag))
     return (
         files.join(F.broadcast(chain), "release_tag")
         .groupBy("tier", "source", "file_name")
@@ -239,7 +241,7 @@ def flatten_release(
     ``rows`` and ``removed`` carry ``release_tag``. A tombstone hides versions of its own and of
     deeper releases; a nearer release may bring the material back.
     """
-    chain = F.broadcast(release_chain(releases, tag))
+    chain = F.broadcast(cut(release_chain(releases, tag)))
     nearest = rows.join(chain, "release_tag")
     gone = (
         removed.join(chain, "release_tag")
@@ -314,60 +316,81 @@ def validate_release(
     footers: DataFrame | None = None,
     prefix: str = S.ASSET_PREFIX,
 ) -> DataFrame:
-    """(check, subject) for every breach between manifest, rowmaps, index and bundle footers."""
+    """(check, subject) for every breach between manifest, rowmaps, index and bundle footers.
+
+    Index and rowmap meet in one aggregate per material and tier; files are compared by name.
+    """
     bundles = manifest_files.filter("kind = 'bundle'").select("file_name")
     rowmaps = manifest_files.filter("kind = 'rowmap'").select("file_name")
-    files = rowmap.select("parquet_file").distinct()
+    wanted = bundles.withColumn("rowmap_file", rowmap_name("file_name", prefix))
+    known = rowmap.select(F.col("parquet_file").alias("file_name")).distinct()
 
-    def report(df: DataFrame, check: str, subject) -> DataFrame:
-        return df.select(F.lit(check).alias("check"), subject.alias("subject"))
+    def report(df: DataFrame, check: str, subject: str) -> DataFrame:
+        return df.select(F.lit(check).alias("check"), F.col(subject).alias("subject"))
 
-    wanted = bundles.withColumn("rowmap_file", rowmap_name("file_name", prefix))
-    material = F.concat_ws("/", "source", "tier", "id")
-    # An id twice in a tier means two files: only then more than one name is counted.
-    twice = (
-        rowmap.groupBy("source", "tier", "id")
-        .agg(F.min("parquet_file").alias("lo"), F.max("parquet_file").alias("hi"))
-        .filter("lo <> hi")
-    )
-    tiers = index.select("source", "id", F.explode("available_tiers").alias("tier"))
-    mapped = index.select("source", "id", F.explode("maps").alias("channel"), "available_tiers")
-    parity = mapped.select(
-        "source", "id", "channel", F.explode("available_tiers").alias("tier")
-    )
     checks = [
         report(
-            wanted.join(rowmaps.withColumnRenamed("file_name", "rowmap_file"), "rowmap_file",
-                        "left_anti"),
-            "bundle_without_rowmap", F.col("file_name"),
-        ),
-        report(
-            files.join(bundles.withColumnRenamed("file_name", "parquet_file"), "parquet_file",
-                       "left_anti"),
-            "rowmap_of_unknown_bundle", F.col("parquet_file"),
-        ),
-        report(twice, "id_in_two_bundles", material),
-        report(
-            tiers.join(rowmap.select("source", "tier", "id").distinct(), ["source", "tier", "id"],
-                       "left_anti"),
-            "index_tier_without_range", material,
-        ),
-        report(
-            rowmap.select("source", "id").distinct().join(index, MATERIAL, "left_anti"),
-            "range_without_index_entry", F.concat_ws("/", "source", "id"),
+            wanted.join(
+                rowmaps.withColumnRenamed("file_name", "rowmap_file"), "rowmap_file", "left_anti"
+            ),
+            "bundle_without_rowmap",
+            "file_name",
         ),
         report(
-            parity.join(rowmap, ["source", "tier", "id", "channel"], "left_anti"),
-            "index_channel_without_range", F.concat_ws("/", "source", "tier", "id", "channel"),
+            known.join(bundles, "file_name", "left_anti"),
+            "rowmap_of_unknown_bundle",
+            "file_name",
         ),
-    ]
+        material_breaches(rowmap, index),
+    ]
     if footers is not None:
-        counted = rowmap.groupBy("parquet_file").agg(F.countDistinct("id").alias("ids"))
+        ids = rowmap.select("parquet_file", "id").distinct().groupBy("parquet_file").count()
         groups = footers.groupBy("parquet_file").agg(F.max("n_row_groups").alias("g"))
-        checks.append(
-            report(
-                groups.join(counted, "parquet_file", "left").filter("coalesce(ids, 0) <> g"),
-                "row_groups_differ_from_rowmap", F.col("parquet_file"),
-            )
-        )
+        differ = groups.join(ids, "parquet_file", "left").filter("coalesce(count, 0) <> g")
+        checks.append(report(differ, "row_groups_differ_from_rowmap", "parquet_file"))
     return reduce(lambda a, b: a.unionByName(b), checks)
+
+
+def material_breaches(rowmap: DataFrame, index: DataFrame) -> DataFrame:
+    """(check, subject): materials, tiers and channels on which rowmap and index disagree."""
+    entries = index.select(
+        *MATERIAL, F.explode_outer("available_tiers").alias("tier"), "maps",
+        F.lit(True).alias("in_index"),
+    )
+    ranges = rowmap.select(*MATERIAL, "tier", "channel", "parquet_file")
+    both = entries.unionByName(ranges, allowMissingColumns=True)
+    per_tier = both.groupBy(*MATERIAL, "tier").agg(
+        F.coalesce(F.max("in_index"), F.lit(False)).alias("in_index"),
+        F.max("maps").alias("maps"),
+        F.collect_set("channel").alias("channels"),
+        F.min("parquet_file").alias("lo"),
+        F.max("parquet_file").alias("hi"),
+    )
+    name = F.concat_ws("/", "source", "tier", "id")
+    in_tier = F.col("in_index") & F.col("tier").isNotNull()
+    empty = F.array().cast("array<string>")
+
+    def breach(check: str, subject):
+        return F.struct(F.lit(check).alias("check"), subject.alias("subject"))
+
+    absent = F.transform(
+        F.when(in_tier, F.array_except("maps", "channels")).otherwise(empty),
+        lambda c: breach("index_channel_without_range", F.concat(name, F.lit("/"), c)),
+    )
+    found = F.array_compact(
+        F.array(
+            F.when(F.col("lo") != F.col("hi"), breach("id_in_two_bundles", name)),
+            F.when(in_tier & F.col("lo").isNull(), breach("index_tier_without_range", name)),
+        )
+    )
+    by_tier = per_tier.select(F.explode(F.concat(found, absent)).alias("b")).select("b.*")
+    unknown = (
+        per_tier.groupBy(*MATERIAL)
+        .agg(F.bool_or("in_index").alias("known"))
+        .filter("not known")
+        .select(
+            F.lit("range_without_index_entry").alias("check"),
+            F.concat_ws("/", *MATERIAL).alias("subject"),
+        )
+    )
+    return by_tier.unionByName(unknown)

@@ -7,6 +7,7 @@ DataFrame and as SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from assetlake.functions.names import asset_name, bundle_pattern, rowmap_pattern
 from assetlake.functions.payload import sha256, size
+from assetlake.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,7 +25,12 @@ def query(name: str, sql: str | None = None, *views: str):
     """Register a query and, where SQL can express it, the SQL over the named views."""
 
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = with_views(sql, *views)
         return fn

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,23 @@ def build_session(app: str = "assetlake", master: str | None = None, **conf: str
     }
     for key, value in {**defaults, **conf}.items():
         b = b.config(key, value)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package; done once per Spark application."""
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if getattr(sc, "_assetlake_shipped", False) or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="assetlake-src-")) / "assetlake.zip"
+    with zipfile.ZipFile(archive, "w") as zf:
+        for file in sorted(package.rglob("*.py")):
+            zf.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._assetlake_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:
