@@ -68,7 +68,7 @@ def resume_stream(spark, d):
 
 @query(
     "progress",
-    "SELECT source, tier, 2 AS batches, count(*) AS offset_done FROM tex GROUP BY source, tier",
+    "SELECT source, tier, CAST(2 AS BIGINT) AS batches, count(*) AS offset_done FROM tex GROUP BY source, tier",
     "tex",
 )
 def progress(spark, d):
@@ -88,7 +88,7 @@ def sightings(spark, d):
 
 
 SIGHTINGS_SQL = " UNION ALL ".join(
-    f"""SELECT source, id, {no} AS snapshot,
+    f"""SELECT source, id, CAST({no} AS BIGINT) AS snapshot,
       md5(string_agg(channel || ':' || sha256, ',' ORDER BY channel || ':' || sha256)) AS digest
     FROM {view} GROUP BY source, id"""
     for no, view in ((1, "snap_old"), (2, "snap_new"))
@@ -116,7 +116,7 @@ def watch_stream(spark, d):
 
 @query(
     "removed_materials",
-    "SELECT source, id, 1 AS last_seen FROM diff WHERE change = 'removed' AND source <> 'gpuopen'",
+    "SELECT source, id, CAST(1 AS BIGINT) AS last_seen FROM diff WHERE change = 'removed' AND source <> 'gpuopen'",
     "diff",
 )
 def removed_materials(spark, d):

@@ -25,7 +25,7 @@ def storage_usage(spark, d):
 
 @query(
     "over_cap",
-    """SELECT CAST(sum(length) AS BIGINT) AS bytes, 1000000 AS cap, sum(length) > 1000000 AS over
+    """SELECT CAST(sum(length) AS BIGINT) AS bytes, CAST(1000000 AS BIGINT) AS cap, sum(length) > 1000000 AS over
        FROM inventory""",
     "inventory",
 )

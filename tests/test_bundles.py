@@ -288,3 +288,44 @@ def test_files_are_written_once(spark, tmp_path):
         ("a/x.png", 3), ("b/y.png", 3),
     }
     assert not list((tmp_path / "t").rglob("*.part"))
+
+
+def test_write_bundle_keeps_ok_rows_only(spark, tmp_path):
+    _, df = textures(spark, 3)
+    wide = K.pivot_channels(df, ["source", "id", "category"])
+    rows = K.bundle_projection(wide, 1024, "1", "now").withColumn(
+        "status", F.when(F.col("id") == "m001", "failed").otherwise("ok")
+    )
+    path = str(tmp_path / "w")
+    K.write_bundle(rows.coalesce(1), path)
+    (file,) = (tmp_path / "w").glob("*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert meta.num_row_groups == 2
+    column = {meta.row_group(0).column(i).path_in_schema: meta.row_group(0).column(i)
+              for i in range(meta.num_columns)}
+    assert column["color"].compression == "UNCOMPRESSED"
+    assert column["color"].dictionary_page_offset is None
+
+
+def test_a_written_release_validates_and_a_lost_rowmap_is_found(spark, tmp_path):
+    from assetlake.functions.names import rowmap_name
+    from assetlake.operators import releases as V
+
+    _, df = textures(spark)
+    path = str(tmp_path / "b")
+    chunks, bundles = K.write_partitioned_bundle(df, records(spark), path, "1", "now", 300)
+    rowmap = D.rowmap_of(spark, path, df.drop("payload"), chunks, bundles)
+    apply_renames(rename_plan(spark, path))
+    foot = R.footers(R.list_files(spark, path, "*.parquet"), probe=False)
+    index = df.groupBy("source", "id").agg(
+        F.array_sort(F.collect_set("channel")).alias("maps"),
+        F.array(F.lit("1k")).alias("available_tiers"),
+    )
+    names = bundles.select(
+        F.lit("bundle").alias("kind"), F.col("parquet_file").alias("file_name")
+    ).union(bundles.select(F.lit("rowmap"), rowmap_name("parquet_file")))
+    assert V.validate_release(names, rowmap, index, foot).count() == 0
+    lost = names.filter("NOT (kind = 'rowmap' AND file_name LIKE '%metal%')")
+    got = V.validate_release(lost, rowmap, index.filter("id <> 'm000'"), foot)
+    checks = {r["check"] for r in got.collect()}
+    assert checks == {"bundle_without_rowmap", "range_without_index_entry"}
