@@ -11,6 +11,7 @@ from assetlake import schemas as S
 from assetlake.functions.normalize import _c, hex_to_int, hex_to_rgba, upstream_url
 from assetlake.functions.payload import data_uri, fmt_decimal
 
+# Fixed values of the export formats.
 PACKING_NOTE = (
     "Separate metalness and roughness textures provided. "
     "Pack into a single metallicRoughnessTexture (B=metal, G=rough) "
@@ -177,6 +178,7 @@ def to_mtlx(name: Column | str, scalars: Columns, files: Columns) -> Column:
     )
 
 
+# Fixed pattern of a texture value in a document.
 TEXTURE_VALUE = r'(?i)value="([^"]*\.(?:png|jpg|jpeg|tif|tiff|exr))"'
 
 

@@ -104,6 +104,7 @@ def source_lines(entries: DataFrame, manifest_files: DataFrame, scalar: bool) ->
     ).select("source", "category", "part", "id", "r.*")
 
 
+# Fixed values of the catalogue format.
 TEXTURE_TABLE = ["| | Material | Maps | Category |", "|---|---|---|---|"]
 SCALAR_TABLE = ["| Material | Color | Roughness | Metalness | IOR |", "|---|---|---|---|---|"]
 
