@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetlake.llm import quality_rules, secret_scan
+from assetlake.llm import bpe, packing, quality_classifier, quality_rules, secret_scan, token_counts
 from assetlake.llm.common import table
 from assetlake.session import ship_package
 
@@ -28,11 +28,38 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; every worker has the same one."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 @query("op4_secret_scan", secret_scan.DIGEST_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+@query("op6_byte_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 @query("op7_quality_rules", quality_rules.DIGEST_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
