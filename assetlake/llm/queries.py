@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetlake.llm import bpe, packing, quality_classifier, quality_rules, secret_scan, token_counts
+from assetlake.llm import (
+    bpe,
+    packing,
+    probminhash,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    token_counts,
+)
 from assetlake.llm.common import table
 from assetlake.session import ship_package
 
@@ -63,3 +71,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op9_minhash_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
