@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from assetlake.session import run_dir
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def freeze(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back.
 
-    Costly or random results are frozen so that a lost executor can never change them.
+    Costly or random results are frozen so that a lost executor can never change them. Shuffle
+    files of the write are given up as soon as it is complete; nobody reads them again.
     """
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

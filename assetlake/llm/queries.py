@@ -13,6 +13,7 @@ from assetlake.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     token_counts,
 )
 from assetlake.llm.common import table
@@ -58,6 +59,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query("op6_byte_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
