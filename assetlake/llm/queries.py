@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from assetlake.llm import (
     bpe,
+    grid_join,
     packing,
     probminhash,
     quality_classifier,
@@ -15,6 +16,7 @@ from assetlake.llm import (
     secret_scan,
     suffix_dedup,
     token_counts,
+    warc_zip,
 )
 from assetlake.llm.common import table
 from assetlake.session import ship_package
@@ -54,6 +56,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+@query("op3_epsilon_grid_join", grid_join.DIGEST_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.digest(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_secret_scan", secret_scan.DIGEST_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
@@ -79,6 +86,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query("op8_warc_zip", warc_zip.DIGEST_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.digest(table(spark, sf_dir, "pages"))
+
+
 @query("op9_minhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))

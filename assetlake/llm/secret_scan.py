@@ -180,6 +180,18 @@ def masked(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
+def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with all spans masked and n_chars, if there, counted anew where something was."""
+    spans = free_name(docs, "spans_")
+    out = scan_secrets(docs, text_col, spans)
+    hit = F.size(spans) > 0
+    changed = {text_col: masked(F.col(text_col), F.col(spans))}
+    if "n_chars" in docs.columns:
+        length = F.length(masked(F.col(text_col), F.col(spans))).cast("long")
+        changed["n_chars"] = F.when(hit, length).otherwise(F.col("n_chars"))
+    return out.withColumns(changed).select(*docs.columns)
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """One row per document: counts and digests of its spans."""
     out = scan_secrets(docs.select("doc_id", "text"), "text", "found").drop("text")
