@@ -182,13 +182,12 @@ def masked(text: Column, spans: Column) -> Column:
 
 def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with all spans masked and n_chars, if there, counted anew where something was."""
-    spans = free_name(docs, "spans_")
+    spans, mask = free_name(docs, "spans_"), free_name(docs, "masked_")
     out = scan_secrets(docs, text_col, spans)
-    hit = F.size(spans) > 0
-    changed = {text_col: masked(F.col(text_col), F.col(spans))}
+    out = out.withColumn(mask, masked(F.col(text_col), F.col(spans)))  # by itself: a lambda would see new columns
+    changed = {text_col: F.col(mask)}
     if "n_chars" in docs.columns:
-        length = F.length(masked(F.col(text_col), F.col(spans))).cast("long")
-        changed["n_chars"] = F.when(hit, length).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.size(spans) > 0, F.length(mask).cast("long")).otherwise(F.col("n_chars"))
     return out.withColumns(changed).select(*docs.columns)
 
 
