@@ -22,9 +22,10 @@ from assetlake.llm.pretokens import mix, powers, prefix_hashes, range_hashes
 
 LENGTH = 200
 GRAM = 64
-#: Distinct surroundings of one anchor that one task sorts together; anchors with more of them are
-#: resolved window by window, by counting.
-GROUP = 256
+#: Distinct surroundings of one anchor that one task sorts together; those of anchors with more of
+#: them are narrowed down by counting, in bins of so many windows.
+GROUP = 2048
+BINS = (16, 4, 1)
 _POSITION = np.uint64(31)
 
 
@@ -244,28 +245,73 @@ def span_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw
 
 
-def window_rows(spans: DataFrame, length: int) -> DataFrame:
-    """(window, k1, k2, start, alone): two hashes of every window of the spans, in one binary."""
+def binned(spans: DataFrame, width: int, length: int) -> DataFrame:
+    """Cut the windows first to last of each row into bins of ``width`` offsets from the anchor.
+
+    ``inner`` hashes the bytes that all windows of the bin would share, ``outer`` all bytes of the
+    windows that are there. Bins start at fixed offsets, so equal windows lie in equal bins.
+    """
+    columns = ["k1", "k2", "at", "asked", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 rows = batch.slice(i, 2000)
-                offsets, raw = span_bytes(rows.column(3))
-                low, _, more = unpack(np.array(rows.column(2)))
-                span = np.repeat(np.arange(rows.num_rows), more + 1)
-                window = spread(np.zeros_like(more), more + 1)
-                at = offsets[span] + window
-                hashes = range_hashes(prefix_hashes(raw), at, at + length)
-                take = pa.array(span)
-                columns = [
-                    pa.array(hashes.astype(np.int64)), rows.column(0).take(take), rows.column(1).take(take),
-                    pa.array(low[span] + window), rows.column(4).take(take),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["window", "k1", "k2", "start", "alone"])
-
-    schema = "window bigint, k1 bigint, k2 int, start bigint, alone boolean"
-    return spans.select("k1", "k2", "at", "bytes", "alone").mapInArrow(run, schema)
+                offsets, raw = span_bytes(rows.column(4))
+                _, back, _ = unpack(np.array(rows.column(2)))
+                near, far = back - np.array(rows.column(6)), back - np.array(rows.column(5))  # offsets
+                count = far // width - near // width + 1
+                row = np.repeat(np.arange(rows.num_rows), count)
+                cell = spread(near // width, count)
+                low, high = np.maximum(near[row], cell * width), np.minimum(far[row], cell * width + width - 1)
+                anchor = offsets[row] + back[row]
+                prefix = prefix_hashes(raw)
+                core = cell * width, cell * width + width - 1
+                inner = range_hashes(prefix, anchor - core[0], anchor + length - core[1])
+                outer = range_hashes(prefix, anchor - high, anchor + length - low)
+                inner, outer = (mix(h + c.astype(np.uint64)) for h, c in ((inner, cell), (outer, low << 10 | high)))
+                take = pa.array(row)
+                cuts = [back[row] - high, back[row] - low, inner.astype(np.int64), outer.astype(np.int64)]
+                fields = [rows.column(c).take(take) for c in range(5)] + [pa.array(c) for c in cuts]
+                yield pa.RecordBatch.from_arrays(fields, [*columns, "first", "last", "inner", "outer"])
+
+    schema = "k1 bigint, k2 int, at bigint, asked boolean, bytes binary, first bigint, last bigint, inner bigint, outer bigint"
+    return spans.select(*columns, "first", "last").mapInArrow(run, schema)
+
+
+def narrow(spans: DataFrame, length: int) -> DataFrame | None:
+    """(k1, k2, start, last): repeated windows of spans around very frequent anchors, by counting.
+
+    A bin whose outer bytes occur twice is repeated as a whole; one whose inner bytes occur once has
+    nothing that is repeated; the others are cut into smaller bins, down to single windows. Of bins
+    that are alike, one goes on, so that windows of other bins still find it.
+    """
+    found = None
+    open_ = spans.select(
+        "k1", "k2", "at", F.col("alone").alias("asked"), "bytes",
+        F.lit(0).cast("long").alias("first"), F.col("at").bitwiseAND(1023).alias("last"),
+    )
+    for width in BINS:
+        bins = freeze(binned(open_, width, length), "bins")
+        if bins.isEmpty():
+            break
+        inner = freeze(
+            bins.groupBy("inner").agg(F.count("*").alias("n"), F.max("asked").alias("any"))
+            .where("n > 1 and any").select("inner"), "inner",
+        )
+        outer = freeze(
+            bins.groupBy("outer").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at")).alias("one")).where("n > 1"),
+            "outer",
+        ).select("outer", "one")
+        marked = freeze(bins.join(inner, "inner").join(outer, "outer", "left"), "bins")
+        hits = marked.where("one is not null and asked").select(
+            "k1", "k2", (F.shiftright("at", 20) + F.col("first")).alias("start"),
+            (F.shiftright("at", 20) + F.col("last")).alias("last"),
+        )
+        found = hits if found is None else found.unionByName(hits)
+        first = F.col("one").isNull() | (F.struct("k1", "k2", "at") == F.col("one"))
+        open_ = marked.where(first).withColumn("asked", F.col("asked") & F.col("one").isNull())
+    return found
 
 
 def cut_spans(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -297,10 +343,12 @@ def repeated_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gr
     """
     rows = keyed(docs, id_col, text_col)
     found = anchor_rows(rows, length, gram)
+    # tables of repeated keys are frozen before joins, which can then split what is skewed
     grams = found.groupBy("gram").agg(
         F.count("*").alias("n"), (F.min("span") == F.max("span")).alias("uniform")
     ).where("n > 1")
-    shared = freeze(found.join(grams.select("gram", "uniform"), "gram"), "anchors")
+    grams = freeze(grams.select("gram", "uniform"), "grams")
+    shared = freeze(found.join(grams, "gram"), "anchors")
     spans = (
         shared.where("not uniform").groupBy("gram", "span")
         .agg(F.count("*").alias("c"), F.min(F.struct("k1", "k2", "at")).alias("one"))
@@ -308,19 +356,19 @@ def repeated_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gr
     )
     spans = freeze(spans, "spans")
     sizes = spans.groupBy("gram").agg(F.count("*").alias("n"), F.max("alone").alias("any")).where("any")
-    wanted = spans.join(sizes.select("gram", "n"), "gram")
+    wanted = spans.join(freeze(sizes.select("gram", "n"), "sizes"), "gram")
     cuts = freeze(cut_spans(rows, wanted, length), "cuts")
     small = cuts.where(F.col("n") <= GROUP)
     small = resolve_groups(small.repartition("gram").sortWithinPartitions("gram"), length, gram)
-    windows = window_rows(cuts.where(F.col("n") > GROUP), length)
-    twice = windows.groupBy("window").agg(F.count("*").alias("c")).where("c > 1").select("window")
-    large = windows.where("alone").join(twice, "window").select("k1", "k2", "start")
-    starts = freeze(small.unionByName(large), "windows")
+    starts = freeze(small.select("k1", "k2", "start", F.col("start").alias("last")), "windows")
+    large = narrow(cuts.where(F.col("n") > GROUP), length)
+    if large is not None:
+        starts = starts.unionByName(large)
     low = F.shiftright("at", 20)
     more = F.col("at").bitwiseAND(1023)
     whole = shared.select("k1", "k2", low.alias("start"), (low + more).alias("last"), F.lit(None).cast("boolean").alias("alone"))
     out = spans.where("alone").select("k1", "k2", low.alias("start"), low.alias("last"), F.lit(True).alias("alone"))
-    back = starts.select("k1", "k2", "start", F.col("start").alias("last"), F.lit(False).alias("alone"))
+    back = starts.select("k1", "k2", "start", "last", F.lit(False).alias("alone"))
     return whole.unionByName(out).unionByName(back)
 
 
