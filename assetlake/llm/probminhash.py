@@ -246,7 +246,7 @@ def near_duplicates(
     members = members.select("rep", "band", "own", other.alias("other"))
     key = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    wanted = members.select("rep").distinct()
+    wanted = members.select("rep").distinct().hint("merge")  # as many as near-duplicates: never broadcast
     texts = texts.join(wanted, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"])
     rows = members.select("rep", key.alias("key")).distinct().join(texts, F.col("rep") == F.col("id")).select("key", "id", "text")
     links = link_buckets(rows.repartition("key").sortWithinPartitions("key"), width, similarity)
