@@ -129,9 +129,14 @@ class Vocabulary:
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def tokens_of(path: str) -> list[bytes]:
+    return read_ranks(path)
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(read_ranks(path))
+    return Vocabulary(tokens_of(path))
 
 
 @functools.lru_cache(maxsize=2)
@@ -154,7 +159,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", into: str = "ids"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = store(path)
         last = len(rows_columns) - 1
-        for part in slices(batches, last, 4 << 20):
+        for part in slices(batches, last):
             ids, bounds = known.encode_texts(part.column(last))
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*part.columns[:last], lists], [*rows_columns[:last], into])
@@ -170,7 +175,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", into: str = "decode
     schema = T.StructType([*base.schema.fields, T.StructField(into, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary(path).tokens
+        tokens = tokens_of(path)
         for batch in batches:
             out = [b"".join([tokens[i] for i in x or ()]) for x in _lists(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*names, into])

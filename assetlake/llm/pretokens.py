@@ -109,7 +109,7 @@ class Store:
     a probability below 1e-6.
     """
 
-    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[list[int]]], most: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[list[int]]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self.clear()
 
