@@ -93,7 +93,7 @@ def solve(histogram: dict[int, int], most: int = SEQUENCE, rounds: int = 600, et
 
     Multiplicative weights: a length's price falls by exp(-eta) per unit of its cover, relative to
     the pieces of it, and is nothing once all are covered. Every round prices configurations by one
-    knapsack table; of the best one for each of several leading lengths, those within a tenth of
+    knapsack table; of the best one for each of several leading lengths, those within 0.5 % of
     the optimum are bought, each until the first of its lengths gains a bounded share of cover. The
     work depends on ``most`` and ``rounds`` alone, not on the number of pieces.
     """
@@ -102,8 +102,8 @@ def solve(histogram: dict[int, int], most: int = SEQUENCE, rounds: int = 600, et
         need[length] = n
     cover = np.zeros(most + 1)
     sizes = np.arange(most + 1) / most
-    # equal prices per token at first, a little more for long pieces, which fit fewer places
-    weight = np.where(need > 0, sizes * (1 + 0.25 * sizes), 0.0)
+    # long pieces fit fewer places, so their tokens are worth more at first
+    weight = np.where(need > 0, sizes * (1 + sizes), 0.0)
     bought: dict[tuple, float] = {}
     for _ in range(rounds):
         short = np.maximum(need - cover, 0.0)
@@ -118,7 +118,7 @@ def solve(histogram: dict[int, int], most: int = SEQUENCE, rounds: int = 600, et
         total = value[leads] + best[most - leads]
         leads = leads[np.argsort(-total, kind="stable")][:width]
         for lead in leads.tolist():
-            if value[lead] + best[most - lead] < 0.9 * best[most]:
+            if value[lead] + best[most - lead] < 0.995 * best[most]:
                 continue
             config = configuration(take, most - lead)
             config[lead] = config.get(lead, 0) + 1
