@@ -11,7 +11,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from assetlake import schemas as S
 from assetlake.functions.names import asset_name
 from assetlake.operators.ordered import MAX_WINDOW_ROWS, largest_group, running
-from assetlake.session import run_dir, small
+from assetlake.session import run_dir
 
 GROUP = ["source", "tier", "category"]
 
@@ -100,7 +100,7 @@ def chunk_by_bytes(
         fresh = F.lit(0).cast("long")
         pos = pos.withColumns({"open_at": fresh, "closed": fresh})
     else:
-        pos = pos.join(small(entry), key, "left").fillna(0, ["open_at", "closed"])
+        pos = pos.join(entry, key, "left").fillna(0, ["open_at", "closed"])
 
     schema = StructType([*sizes.schema.fields, StructField("chunk", IntegerType())])
     cols = sizes.columns

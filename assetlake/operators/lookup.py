@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake.functions.normalize import category_segment, channel_alias
-from assetlake.session import small
 
 
 def enrich(df: DataFrame, index: DataFrame) -> DataFrame:
@@ -56,7 +55,7 @@ def lookup_texture(
         .when(hit.isNull(), "channel")
     )
     joined = (
-        requests.join(small(per_tier), "tier", "left")
+        requests.join(per_tier, "tier", "left")
         .join(entries, key, "left")
         .withColumn("error_kind", error)
         .withColumn("hit", hit)
@@ -123,7 +122,7 @@ def with_thumbnail(df: DataFrame, inventory: DataFrame, channel: str = "color")
 def map_channel(df: DataFrame, channel_map: DataFrame, raw: str = "raw") -> DataFrame:
     """Canonical channel by (source, raw name); unknown names drop."""
     keyed = df.withColumn("alias", channel_alias(raw))
-    return keyed.join(small(channel_map), ["source", "alias"]).drop("alias")
+    return keyed.join(channel_map, ["source", "alias"]).drop("alias")
 
 
 def map_category(df: DataFrame, keywords: DataFrame, key: str, raw: str = "raw") -> DataFrame:
@@ -131,7 +130,7 @@ def map_category(df: DataFrame, keywords: DataFrame, key: str, raw: str = "raw")
     seg = category_segment(raw)
     words = F.array_distinct(F.concat(F.array(seg), F.split(seg, r"(?U)\s+")))
     terms = df.select(key, raw, F.posexplode_outer(words).alias("pos", "word"))
-    hits = terms.join(small(keywords.withColumnRenamed("category", "_cat")), "word", "left")
+    hits = terms.join(keywords.withColumnRenamed("category", "_cat"), "word", "left")
     best = F.min_by("_cat", F.when(F.col("_cat").isNotNull(), F.col("pos")))
     return hits.groupBy(key, raw).agg(F.coalesce(best, F.lit("other")).alias("category"))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.session import cut, small
+from assetlake.session import cut
 
 MAX_WINDOW_ROWS = 1_000_000
 
@@ -87,7 +87,7 @@ def _by_ranges(df, group, order, sums, maxes) -> DataFrame:
     earlier = local.rowsBetween(Window.unboundedPreceding, -1)
     right = offsets.withColumnsRenamed({k: f"_k_{k}" for k in key})
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
-    joined = ranged.join(small(right), same)
+    joined = ranged.join(right, same)
     cols = {"rn": F.row_number().over(local).cast("long") + F.col("_rn0")}
     for name, col in sums.items():
         cols[name] = F.coalesce(F.sum(col).over(earlier), F.lit(0)) + F.col(f"_s0_{name}")

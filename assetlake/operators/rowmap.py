@@ -14,8 +14,10 @@ from assetlake.session import cut
 def collector(placed: DataFrame) -> DataFrame:
     """(parquet_file, row_idx, id, channel, length) of placed textures without payload.
 
-    The row order of a bundle is the order of its ids; it is kept as data.
+    The row order of a bundle is the order of its ids; it is kept as data. Of a channel that a
+    material has twice, the longest payload is the one that is written.
     """
+    placed = placed.groupBy("parquet_file", "id", "channel").agg(F.max("length").alias("length"))
     ids = placed.select("parquet_file", "id").distinct()
     order = running(ids, ["parquet_file"], ["id"]).select(
         "parquet_file", "id", (F.col("rn") - 1).cast("int").alias("row_idx")
@@ -34,27 +36,30 @@ def rowmap_mismatch(footers: DataFrame, recorded: DataFrame) -> DataFrame:
 
 
 def locate(footers: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Recorded textures with the ``offset`` of their payload, null where it was not found.
+    """Recorded textures with the ``offset`` of their payload, null where it cannot be there.
 
-    A magic counts only if the recorded length fits between it and the end of the chunk.
+    A chunk holds one uncompressed value in plain encoding, so the payload is its tail, whatever
+    bytes it is made of. The row group must be that of the recorded id.
     """
     chunks = footers.filter("column is not null").select(
         "parquet_file", "row_idx", F.col("column").alias("channel"),
-        "chunk_start", "chunk_size", "png_at", "ktx2_at",
+        "chunk_start", "chunk_size", "row_id", "codec", "num_values",
     )
-
-    def fits(at: str):
-        return F.when(F.col(at) + F.col("length") <= F.col("chunk_size"), F.col(at))
-
-    at = F.coalesce(fits("png_at"), fits("ktx2_at"))
+    fits = (
+        (F.col("codec") == "UNCOMPRESSED")
+        & (F.col("num_values") == 1)
+        & (F.col("length") + 4 <= F.col("chunk_size"))  # a plain value follows its length
+        & (F.col("row_id").isNull() | (F.col("row_id") == F.col("id")))
+    )
+    end = F.col("chunk_start") + F.col("chunk_size")
     return recorded.join(chunks, ["parquet_file", "row_idx", "channel"], "left").select(
         "parquet_file", "row_idx", "id", "channel",
-        (F.col("chunk_start") + at).alias("offset"), "length",
+        F.when(fits, end - F.col("length")).alias("offset"), "length",
     )
 
 
 def build_rowmap(footers: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Long rowmap of written bundles; a count mismatch is an error, a lost payload is left out."""
+    """Long rowmap of written bundles; a count mismatch or a payload without place is an error."""
     footers = cut(footers)
     bad = rowmap_mismatch(footers, recorded).take(1)
     if bad:
@@ -62,7 +67,11 @@ def build_rowmap(footers: DataFrame, recorded: DataFrame) -> DataFrame:
             f"{bad[0]['recorded']} recorded rows but {bad[0]['row_groups']} row groups in "
             f"{bad[0]['parquet_file']}"
         )
-    return locate(footers, recorded).filter("offset is not null")
+    located = cut(locate(footers, recorded))
+    lost = located.filter("offset is null").take(1)
+    if lost:
+        raise ValueError(f"no place for {lost[0]['id']}/{lost[0]['channel']} in {lost[0]['parquet_file']}")
+    return located
 
 
 def merge_rowmaps(rowmap: DataFrame, file: str = "parquet_file") -> DataFrame:

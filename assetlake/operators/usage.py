@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake import schemas as S
-from assetlake.session import small
 
 
 def parse_inventory(files: DataFrame) -> DataFrame:
@@ -167,7 +166,7 @@ def physical_link(index: DataFrame, families: DataFrame, finishes: list[str]) ->
         F.lower,
     )
     terms = index.select("source", "id", F.posexplode(words).alias("pos", "word"))
-    hits = terms.join(small(families), "word", "left")
+    hits = terms.join(families, "word", "left")
     known = F.col("word").isin(finishes)
     return hits.groupBy("source", "id").agg(
         F.min_by("physical_family", F.when(F.col("physical_family").isNotNull(), F.col("pos")))

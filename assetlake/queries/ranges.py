@@ -289,12 +289,20 @@ def footers(spark, d):
 
 @query(
     "rowmap_retrofit",
-    f"SELECT id, channel, {FRAMED} AS length FROM tex WHERE text NOT LIKE '%IEND%'",
+    f"SELECT id, channel, {FRAMED} AS length, TRUE AS same FROM tex",
     "tex",
 )
 def rowmap_retrofit(spark, d):
+    """Ranges of bundles whose lengths were never recorded: lengths are read from the payloads."""
     path, *_ = written(spark, d)
-    return R.scan_payloads(R.list_files(spark, path, "*.parquet")).select("id", "channel", "length")
+    files = R.list_files(spark, path, "*.parquet")
+    bundle = spark.read.parquet(path).withColumn("parquet_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    placed = R.bundle_payloads(bundle).select("parquet_file", "id", "channel", "length", "payload")
+    foot = R.footers(files)
+    found = M.build_rowmap(foot, M.collector(placed.drop("payload")))
+    ranges = found.select("parquet_file", "id", "channel", "offset", F.col("length").alias("n"))
+    whole = placed.join(ranges, ["parquet_file", "id", "channel"])
+    return whole.select("id", "channel", "length", (F.col("n") == F.col("length")).alias("same"))
 
 
 @query(

@@ -135,15 +135,18 @@ WINDOW_SQL = """
 
 def windowed(spark, d, window):
     events = table(spark, d, "events")
-    stream = J.file_stream(spark, d, events.schema, glob="events.parquet")
+    landing = run_dir(spark, "landing")
+    # many files in no time order, a few per batch
+    events.repartition(12, "event_id").write.parquet(landing)
+    stream = J.file_stream(spark, landing, events.schema, max_files=4)
     rows = stream.select(
         F.col("ts").cast("timestamp").alias("ts"),
         (F.col("event_type") != "error").alias("ok"),
         F.rint(F.col("value") * 100).cast("long").alias("bytes"),
     )
     out, mark = run_dir(spark, "rate"), run_dir(spark, "mark")
-    J.to_table(J.rate_window(rows, window), out, mark, "update").awaitTermination()
-    state = J.latest_state(spark, out, ["window"])
+    J.rates_to_table(rows, window, out, mark).awaitTermination()
+    state = J.merged_rates(spark, out)
     start = F.date_format("window.start", "yyyy-MM-dd HH:mm:ss")
     return state.select(start.alias("window_start"), "ok", "failed", "bytes")
 

@@ -8,10 +8,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 200_000
-
 
 def build_session(app: str = "assetlake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the engine expects; cluster settings are left as they are."""
@@ -72,11 +68,3 @@ def cut(df: DataFrame) -> DataFrame:
     """Freeze ``df`` in reliable storage, so that a lost executor cannot change its rows."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when a count proves it small, otherwise leave the choice to Spark."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-

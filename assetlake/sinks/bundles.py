@@ -9,7 +9,10 @@ from assetlake import schemas as S
 from assetlake.functions.normalize import tier_px
 from assetlake.operators import chunking as C
 from assetlake.operators.ordered import running
-from assetlake.session import BROADCAST_ROWS, cut
+from assetlake.session import cut
+
+#: Rows of a bundle table that is broadcast; at 1.8 GB a bundle that is 360 TB.
+BROADCAST_ROWS = 200_000
 
 BUNDLE_OPTIONS = {
     "compression": "uncompressed",
@@ -47,6 +50,12 @@ def bundle_projection(
     return df.select(*out, *extra)
 
 
+def _longest(value: str) -> list[Column]:
+    """One payload per channel: the longest, of equally long ones the last by bytes."""
+    rank = F.struct(F.length(value).alias("n"), F.col(value).alias("v"))
+    return [F.max(F.when(F.col("channel") == c, rank))["v"].alias(c) for c in S.CHANNELS]
+
+
 def _channel_columns(value: str) -> list[Column]:
     return [F.max(F.when(F.col("channel") == c, F.col(value))).alias(c) for c in S.CHANNELS]
 
@@ -82,7 +91,8 @@ def plan_bundles(
 
     ``chunks`` has one row per material, ``bundles`` one per file with a dense ``bundle_no``.
     """
-    sizes = cut(C.material_sizes(textures))
+    once = textures.groupBy(*C.GROUP, "id", "channel").agg(F.max("length").alias("length"))
+    sizes = cut(C.material_sizes(once))
     if rotate == "count":
         chunks = C.chunk_by_count(sizes, max_bytes=max_bytes)
     else:
@@ -97,8 +107,9 @@ def plan_bundles(
 def with_bundle(rows: DataFrame, chunks: DataFrame, bundles: DataFrame) -> DataFrame:
     """Rows (group, id, …) with the ``parquet_file`` and ``bundle_no`` they belong to.
 
-    A bundle is a range of ids of its group, so a small bundle table is broadcast and payload rows
-    are not shuffled for it; otherwise the assignment is joined by id.
+    A bundle is a range of ids of its group, so a bundle table whose size was checked is broadcast
+    and payload rows are not shuffled for it; beyond that the assignment is joined by id. Both give
+    the same rows.
     """
     named = ["parquet_file", "bundle_no"]
     if bundles.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
@@ -130,9 +141,9 @@ def write_partitioned_bundle(
     all of them by default. Files are ``<path>/bundle=<name>/…``, rows sorted by id.
 
     Payloads are shuffled once, to the task that writes their file. The metadata of a material
-    travels as one more row, and only materials that have such a row are written.
+    travels as one more row, and only materials that have such a row are written. Of a channel that
+    a material has twice, the longest payload is written.
     """
-    spark = textures.sparkSession
     planned = textures.drop("payload") if planned is None else planned
     chunks, bundles = plan_bundles(planned, max_bytes, rotate, prefix)
     n_bundles = bundles.count()
@@ -148,14 +159,13 @@ def write_partitioned_bundle(
         chunks,
         bundles,
     )
-    tasks = min(n_bundles, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     stem = F.regexp_replace("parquet_file", r"\.parquet$", "").alias("bundle")
     wide = (
         rows.select(stem, *rows.columns)
-        .repartitionById(tasks, "bundle_no")
+        .repartitionById(n_bundles, "bundle_no")  # one task per file
         .groupBy("bundle", "id", "bundle_no", *C.GROUP)
         .agg(
-            *_channel_columns("payload"),
+            *_longest("payload"),
             F.max("source_url").alias("source_url"),
             F.max("source_license").alias("source_license"),
             F.max("planned").alias("planned"),
@@ -163,6 +173,6 @@ def write_partitioned_bundle(
         .filter("planned")
     )
     px = F.coalesce(tier_px("tier"), F.lit(0))
-    out = bundle_projection(wide, px, baker_version, baked_at, "bundle")
+    out = bundle_projection(wide, px, baker_version, baked_at, "bundle").sortWithinPartitions("bundle", "id")
     out.write.mode(mode).partitionBy("bundle").options(**BUNDLE_OPTIONS).parquet(path)
     return chunks, bundles

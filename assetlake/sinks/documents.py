@@ -77,15 +77,23 @@ def document_map(documents: DataFrame, max_bytes: int = 256 * 1024 * 1024) -> Da
     )
 
 
-def payload_files(textures: DataFrame) -> DataFrame:
-    """(file, content): ``<id>/<channel>.png`` of long texture rows."""
-    name = F.concat_ws("/", "id", F.concat("channel", F.lit(".png")))
+def payload_files(textures: DataFrame, by_source: bool = False) -> DataFrame:
+    """(file, content): ``<id>/<channel>.png`` of long texture rows, below ``<source>/`` if asked."""
+    folder = ["source", "id"] if by_source else ["id"]
+    name = F.concat_ws("/", *folder, F.concat("channel", F.lit(".png")))
     return textures.select(name.alias("file"), F.col("payload").alias("content"))
 
 
-def materialize(textures: DataFrame, root: str) -> tuple[int, int]:
-    """Write payloads to ``<root>/<id>/<channel>.png``; files that are there are skipped."""
-    return write_files(payload_files(textures), root, skip_existing=True)
+def materialize(textures: DataFrame, root: str, by_source: bool = False) -> tuple[int, int]:
+    """Write payloads to ``<root>/<id>/<channel>.png``; files that are there are skipped.
+
+    Two rows for one file raise: sources that share ids go to folders of their own (``by_source``).
+    """
+    files = payload_files(textures, by_source)
+    twice = files.groupBy("file").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
+    if twice:
+        raise ValueError(f"{twice[0]['n']} payloads for {twice[0]['file']}")
+    return write_files(files, root, skip_existing=True)
 
 
 def synthesized_documents(

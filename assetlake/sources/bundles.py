@@ -21,7 +21,6 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from assetlake import schemas as S
 from assetlake.functions.names import material_id_of_document
 from assetlake.functions.payload import length_ok, size
-from assetlake.session import small
 
 Paths = str | list[str]
 SLAB = 256 * 1024 * 1024
@@ -168,15 +167,15 @@ def read_archives(spark: SparkSession, path: Paths) -> DataFrame:
 FOOTER_SCHEMA = (
     "path string, parquet_file string, n_row_groups int, row_idx int, column string, "
     "num_values bigint, null_count bigint, codec string, chunk_start bigint, chunk_size bigint, "
-    "png_at int, ktx2_at int"
+    "row_id string"
 )
 
 
-def footers(files: DataFrame, columns: list[str] | None = None, probe: bool = True) -> DataFrame:
-    """One row per row group and column of each Parquet file.
+def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row per row group and column of each Parquet file, from the footers alone.
 
-    ``png_at`` and ``ktx2_at`` are the positions of the payload magics in the first bytes of the
-    column chunk, null where there is none. An empty file gives one row without a column.
+    ``row_id`` is the id of the row group by its statistics, null where there are none. An empty
+    file gives one row without a column.
     """
     wanted = set(columns or S.CHANNELS)
     names = [c.split()[0] for c in FOOTER_SCHEMA.split(", ")]
@@ -191,22 +190,18 @@ def footers(files: DataFrame, columns: list[str] | None = None, probe: bool = Tr
                     n = meta.num_row_groups
                     for g in range(n):
                         group = meta.row_group(g)
-                        for c in range(group.num_columns):
-                            col = group.column(c)
+                        columns_ = [group.column(c) for c in range(group.num_columns)]
+                        ids = [c.statistics for c in columns_ if c.path_in_schema == "id"]
+                        row_id = ids[0].min if ids and ids[0] and ids[0].has_min_max else None
+                        for col in columns_:
                             if col.path_in_schema not in wanted:
                                 continue
                             start = col.dictionary_page_offset or col.data_page_offset
                             length = col.total_compressed_size
-                            at = [None, None]
-                            if probe:
-                                fh.seek(start)
-                                head = fh.read(min(S.PAYLOAD_SEARCH_WINDOW, length))
-                                at = [head.find(S.PNG_MAGIC), head.find(S.KTX2_MAGIC)]
-                                at = [p if p >= 0 else None for p in at]
                             nulls = col.statistics.null_count if col.is_stats_set else None
                             rows.append(
                                 (path, file, n, g, col.path_in_schema, col.num_values, nulls,
-                                 col.compression, start, length, *at)
+                                 col.compression, start, length, row_id)
                             )
                     if not rows:
                         rows.append((path, file, n, *[None] * (len(names) - 3)))
@@ -215,57 +210,6 @@ def footers(files: DataFrame, columns: list[str] | None = None, probe: bool = Tr
     return _spread(files.select("path")).mapInPandas(run, FOOTER_SCHEMA)
 
 
-SCAN_SCHEMA = (
-    "path string, parquet_file string, row_idx int, id string, channel string, "
-    "offset bigint, length bigint"
-)
-
-
-def scan_payloads(files: DataFrame) -> DataFrame:
-    """Payload ranges of bundles whose lengths were never recorded.
-
-    A PNG ends 8 bytes after the start of its IEND mark, a KTX2 fills the rest of its chunk.
-    """
-    names = [c.split()[0] for c in SCAN_SCHEMA.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path in batch["path"]:
-                rows = []
-                with open_path(path) as fh:
-                    pf = pq.ParquetFile(fh)
-                    for g in range(pf.metadata.num_row_groups):
-                        group = pf.metadata.row_group(g)
-                        material = pf.read_row_group(g, columns=["id"])["id"][0].as_py()
-                        for c in range(group.num_columns):
-                            found = _locate(fh, group.column(c))
-                            if found:
-                                rows.append(
-                                    (path, path.rsplit("/", 1)[-1], g, material,
-                                     group.column(c).path_in_schema, *found)
-                                )
-                yield pd.DataFrame(rows, columns=names)
-
-    return _spread(files.select("path")).mapInPandas(run, SCAN_SCHEMA)
-
-
-def _locate(fh, col) -> tuple[int, int] | None:
-    """(offset, length) of the payload in a channel's column chunk."""
-    if col.path_in_schema not in S.CHANNELS:
-        return None
-    if col.is_stats_set and col.statistics.null_count == col.num_values:
-        return None
-    start = col.dictionary_page_offset or col.data_page_offset
-    fh.seek(start)
-    chunk = fh.read(col.total_compressed_size)
-    at = chunk.find(S.PNG_MAGIC, 0, S.PAYLOAD_SEARCH_WINDOW)
-    if at >= 0:
-        end = chunk.find(b"IEND", at)
-        return (start + at, end + 8 - at) if end >= 0 else None
-    at = chunk.find(S.KTX2_MAGIC, 0, S.PAYLOAD_SEARCH_WINDOW)
-    return (start + at, len(chunk) - at) if at >= 0 else None
-
-
 RANGE_KEYS = ["source", "tier", "id", "channel"]
 
 
@@ -285,7 +229,7 @@ def fetch_ranges(
     wanted = requests.select(*RANGE_KEYS).distinct()
     located = wanted.join(rowmap.select(*RANGE_KEYS, "parquet_file", "offset", "length"),
                           RANGE_KEYS, "left")
-    located = located.join(small(files.select("parquet_file", "path")), "parquet_file", "left")
+    located = located.join(files.select("parquet_file", "path"), "parquet_file", "left")
     error = (
         F.when(F.col("offset").isNull(), "not_in_rowmap")
         .when(~length_ok("length", cap), "bad_length")

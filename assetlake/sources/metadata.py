@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from assetlake import schemas as S
 from assetlake.functions import normalize as N
-from assetlake.session import small
 
 Paths = str | list[str]
 
@@ -115,7 +114,7 @@ def with_fallback(primary: DataFrame, *older: DataFrame, key: str = "source") ->
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
     first = rows.groupBy(key).agg(F.min("_release_no").alias("_first"))
     return (
-        rows.join(small(first), key)
+        rows.join(first, key)
         .filter(F.col("_release_no") == F.col("_first"))
         .drop("_release_no", "_first")
     )

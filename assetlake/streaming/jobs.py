@@ -13,7 +13,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from assetlake import schemas as S
 from assetlake.operators.chunking import GROUP, chunk_by_bytes
-from assetlake.session import small
 
 BATCH_FILES = 50
 
@@ -73,25 +72,26 @@ WATCH_OUT = "source string, id string, snapshot bigint, digest string, change st
 
 
 def watch_stream(listing: DataFrame) -> DataFrame:
-    """new / changed / unchanged per sighting of (source, id, snapshot, digest).
+    """new / changed / unchanged / late per sighting of (source, id, snapshot, digest).
 
-    The state holds the last digest per material. Materials are independent of each other, so a
+    The state holds the newest snapshot and its digest per material; a snapshot that is not newer
+    comes late and changes nothing. Materials are independent of each other, so a
     source that is down only stops sending. Removal is found by ``removed_materials``.
     """
 
     def classify(
         key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        last, seen = state.get if state.exists else (None, -1)
-        for pdf in frames:
-            pdf = pdf.sort_values("snapshot")
-            changes = []
-            for snapshot, digest in zip(pdf["snapshot"], pdf["digest"], strict=True):
-                changes.append(
-                    "new" if last is None else "unchanged" if digest == last else "changed"
-                )
-                last, seen = digest, max(seen, int(snapshot))
-            yield pdf.assign(change=changes)[["source", "id", "snapshot", "digest", "change"]]
+        last, seen = state.get if state.exists else (None, None)
+        pdf = pd.concat(list(frames)).sort_values("snapshot", kind="stable")
+        changes = []
+        for snapshot, digest in zip(pdf["snapshot"], pdf["digest"], strict=True):
+            if seen is not None and snapshot <= seen:
+                changes.append("late")
+                continue
+            changes.append("new" if seen is None else "unchanged" if digest == last else "changed")
+            last, seen = digest, int(snapshot)
+        yield pdf.assign(change=changes)[["source", "id", "snapshot", "digest", "change"]]
         state.update((last, seen))
 
     return listing.groupBy("source", "id").applyInPandasWithState(
@@ -107,7 +107,7 @@ def removed_materials(sightings: DataFrame, complete: DataFrame) -> DataFrame:
     newest = complete.groupBy("source").agg(F.max("snapshot").alias("newest"))
     seen = sightings.groupBy("source", "id").agg(F.max("snapshot").alias("last_seen"))
     return (
-        seen.join(small(newest), "source")
+        seen.join(newest, "source")
         .filter("last_seen < newest")
         .select("source", "id", "last_seen")
     )
@@ -147,6 +147,32 @@ def rate_window(
     )
 
 
+def rates_to_table(
+    log: DataFrame, window: Column, path: str, checkpoint: str, by: tuple[str, ...] = ()
+) -> StreamingQuery:
+    """Sums of each batch per time window below ``<path>/batch=<n>``, for ``merged_rates``.
+
+    No row is ever too late: nothing is kept in state and no watermark is needed.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rates = rate_window(batch, window, by, delay=None)
+        rates.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        log.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def merged_rates(spark: SparkSession, path: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Totals per window of all batches ``rates_to_table`` has written, in whatever order they came."""
+    sums = [F.sum(c).alias(c) for c in ("ok", "failed", "bytes")]
+    return spark.read.parquet(path).groupBy("window", *by).agg(*sums)
+
+
 def latest_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Final rows of a stream written in update mode: the last batch per key wins."""
     rows = spark.read.parquet(path)

@@ -55,6 +55,12 @@ HEADLINE = [
     "storage_usage",
     "throughput",
     "rate_window",
+    "rowmap_retrofit",
+    "bake",
+    "publish_tier",
+    "fetch_all",
+    "materialize",
+    "rotating_sink",
 ]
 
 

@@ -122,11 +122,19 @@ def test_rowmap_of_png_ktx2_and_null_channels(spark, tmp_path):
     for r in got:
         part = data[r["offset"] : r["offset"] + r["length"]]
         assert part == (ktx if r["channel"] == "normal" else PNG)
-    retro = R.scan_payloads(R.list_files(spark, str(tmp_path), "*.parquet")).collect()
-    by_key = {(r["id"], r["channel"]): r for r in retro}
-    for r in got:
-        other = by_key[r["id"], r["channel"]]
-        assert (other["offset"], other["length"]) == (r["offset"], r["length"])
+
+
+def test_payloads_that_hold_magics_keep_their_ranges(spark, tmp_path):
+    odd = {"color": bytes(9000) + PNG + b"IEND" + PNG, "normal": PNG + S.KTX2_MAGIC + bytes(5000), "ao": b"x"}
+    bundle_file(tmp_path / "b.parquet", [{"id": "a", **odd}])
+    foot = R.footers(R.list_files(spark, str(tmp_path), "*.parquet"))
+    rec = recorded(spark, [("b.parquet", 0, "a", c, len(v)) for c, v in odd.items()])
+    data = (tmp_path / "b.parquet").read_bytes()
+    got = {r["channel"]: data[r["offset"] : r["offset"] + r["length"]] for r in M.build_rowmap(foot, rec).collect()}
+    assert got == odd
+    wrong = recorded(spark, [("b.parquet", 0, "z", c, len(v)) for c, v in odd.items()])
+    with pytest.raises(ValueError, match="no place for z"):
+        M.build_rowmap(foot, wrong)
 
 
 def test_rowmap_count_mismatch_and_oversized_length(spark, tmp_path):
@@ -135,7 +143,8 @@ def test_rowmap_count_mismatch_and_oversized_length(spark, tmp_path):
     with pytest.raises(ValueError, match="1 recorded rows but 2 row groups"):
         M.build_rowmap(foot, recorded(spark, [("b.parquet", 0, "a", "color", len(PNG))]))
     rec = recorded(spark, [("b.parquet", 0, "a", "color", 10**6), ("b.parquet", 1, "b", "color", 4)])
-    assert [r["id"] for r in M.build_rowmap(foot, rec).collect()] == ["b"]
+    with pytest.raises(ValueError, match="no place for a/color"):
+        M.build_rowmap(foot, rec)
 
 
 def test_empty_bundle_gets_an_empty_rowmap(spark, tmp_path):
@@ -316,7 +325,7 @@ def test_a_written_release_validates_and_a_lost_rowmap_is_found(spark, tmp_path)
     chunks, bundles = K.write_partitioned_bundle(df, records(spark), path, "1", "now", 300)
     rowmap = D.rowmap_of(spark, path, df.drop("payload"), chunks, bundles)
     apply_renames(rename_plan(spark, path))
-    foot = R.footers(R.list_files(spark, path, "*.parquet"), probe=False)
+    foot = R.footers(R.list_files(spark, path, "*.parquet"))
     index = df.groupBy("source", "id").agg(
         F.array_sort(F.collect_set("channel")).alias("maps"),
         F.array(F.lit("1k")).alias("available_tiers"),
@@ -329,3 +338,28 @@ def test_a_written_release_validates_and_a_lost_rowmap_is_found(spark, tmp_path)
     got = V.validate_release(lost, rowmap, index.filter("id <> 'm000'"), foot)
     checks = {r["check"] for r in got.collect()}
     assert checks == {"bundle_without_rowmap", "range_without_index_entry"}
+
+
+def test_sources_that_share_ids_lose_no_file(spark, tmp_path):
+    from assetlake.sinks.documents import materialize
+
+    rows = [("s", "a", "color", PNG), ("t", "a", "color", PNG + b"2")]
+    textures = spark.createDataFrame(rows, "source string, id string, channel string, payload binary")
+    with pytest.raises(ValueError, match="2 payloads for a/color.png"):
+        materialize(textures, f"file://{tmp_path}/flat")
+    assert materialize(textures, f"file://{tmp_path}/own", by_source=True)[0] == 2
+    assert (tmp_path / "own/t/a/color.png").read_bytes() == PNG + b"2"
+
+
+def test_a_channel_that_comes_twice_has_one_range(spark, tmp_path):
+    from assetlake.plans.derive import rowmap_of
+    from assetlake.sinks.bundles import write_partitioned_bundle
+
+    rows = [("s", "1k", "metal", "a", "color", PNG), ("s", "1k", "metal", "a", "color", PNG + b"longer"), ("s", "1k", "metal", "b", "ao", PNG)]
+    textures = spark.createDataFrame(rows, "source string, tier string, category string, id string, channel string, payload binary")
+    textures = textures.withColumn("length", F.length("payload").cast("long"))
+    records = spark.createDataFrame([("s", "a", "", ""), ("s", "b", "", "")], "source string, id string, source_url string, source_license string")
+    path = f"{tmp_path}/bundles"
+    chunks, bundles = write_partitioned_bundle(textures, records, path, "v", "now")
+    got = rowmap_of(spark, path, textures.drop("payload"), chunks, bundles).collect()
+    assert sorted((r["id"], r["channel"], r["length"]) for r in got) == [("a", "color", len(PNG) + 6), ("b", "ao", len(PNG))]

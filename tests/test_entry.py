@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from assetlake.queries import load
 
 DATA = "/root/testdata/sf0.001"
 TABLES = (
@@ -41,10 +42,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    queries, sql = load()
+    assert set(queries) == set(sql)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(load()[0]))
 def test_query_equals_sql(spark, con, name):
     df = E.queries()[name](spark, DATA)
     got = df.collect()

@@ -104,3 +104,27 @@ def test_dedupe_stream(spark, tmp_path):
         land(spark, rows, schema, landing)
     J.to_table(J.dedupe_stream(stream(spark, landing, schema), ["id"]), out, mark).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_rates_of_many_files_in_no_order_lose_nothing(spark, tmp_path):
+    schema = "ts timestamp, ok boolean, bytes bigint"
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    start = pd.Timestamp("2026-04-18")
+    rows = [((start + pd.Timedelta(minutes=37 * i % 4000)).to_pydatetime(), i % 5 > 0, i) for i in range(400)]
+    for k in range(8):
+        land(spark, rows[k::8], schema, landing)
+    log = stream(spark, landing, schema)
+    J.rates_to_table(log, F.window("ts", "1 hour"), out, mark).awaitTermination()
+    got = J.merged_rates(spark, out).agg(F.sum("ok"), F.sum("failed"), F.sum("bytes")).first()
+    assert tuple(got) == (320, 80, sum(range(400)))
+
+
+def test_late_snapshots_change_nothing(spark, tmp_path):
+    schema = "source string, id string, snapshot bigint, digest string"
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for no, digest in ((2, "new"), (1, "old"), (3, "new")):
+        land(spark, [("s", "a", no, digest)], schema, landing)
+        listing = stream(spark, landing, schema)
+        J.to_table(J.watch_stream(listing), out, mark).awaitTermination()
+    got = {r["snapshot"]: r["change"] for r in spark.read.parquet(out).collect()}
+    assert got == {2: "new", 1: "late", 3: "unchanged"}
