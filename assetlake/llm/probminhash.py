@@ -272,3 +272,28 @@ def keep_one(docs: DataFrame) -> DataFrame:
     dropped = groups.where("not kept").select("doc_id").distinct()
     rest = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return rest.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+
+
+GROUPS_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {WORDS}
+    THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))
+    ELSE [array_to_string(w, ' ')] END) AS g
+  FROM d WHERE len(w) > 0 AND doc_id IS NOT NULL),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+l AS (
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE shared >= {SIMILARITY} * (x.n + y.n - shared)),
+r(a, b) AS (SELECT DISTINCT a, a FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY w) END AS copy_of,
+  coalesce(m.component_id, doc_id) AS component_id,
+  coalesce(doc_id = coalesce(m.component_id, doc_id), TRUE) AS kept
+FROM d LEFT JOIN m ON m.a = doc_id
+"""

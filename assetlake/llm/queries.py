@@ -91,6 +91,6 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.digest(table(spark, sf_dir, "pages"))
 
 
-@query("op9_minhash_near_dedup")
+@query("op9_minhash_near_dedup", probminhash.GROUPS_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
