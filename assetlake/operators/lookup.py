@@ -31,7 +31,7 @@ def lookup_texture(
 
     ``error_kind`` names the first level that is missing and ``available`` lists its sorted
     alternatives. Ids of a source can be any number, so a missing material gets no list; its
-    alternatives are the rows of ``materials(rowmap)``.
+    alternatives come as rows, by ``alternatives``.
     """
     levels = manifest_files.select("tier", "source").distinct()
     all_tiers = levels.agg(F.array_sort(F.collect_set("tier"))).scalar()
@@ -74,6 +74,16 @@ def lookup_texture(
     )
 
 
+def alternatives(resolved: DataFrame, rowmap: DataFrame) -> DataFrame:
+    """(source, tier, id): the materials there are instead of those ``lookup_texture`` missed.
+
+    One set per source and tier with a miss, however many requests missed there; join it to the
+    requests by source and tier.
+    """
+    missed = resolved.filter("error_kind = 'material'").select("source", "tier").distinct()
+    return materials(rowmap.join(missed, ["source", "tier"], "left_semi"))
+
+
 def tiers(manifest_files: DataFrame) -> DataFrame:
     return manifest_files.select("tier").distinct().orderBy("tier")
 

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from assetlake import schemas as S
 from assetlake.functions.names import category_of_rowmap, parse_asset_name, rowmap_name
-from assetlake.session import cut
+from assetlake.session import keep
 
 MATERIAL = ["source", "id"]
-MAX_CHAIN = 99
 
 
 def parsed_assets(names: DataFrame, prefix: str = S.ASSET_PREFIX, categories=None) -> DataFrame:
@@ -186,48 +185,64 @@ def delta_manifest(
     )
 
 
+def delta_document(files: DataFrame, plan: DataFrame, schema_version: int = 1) -> DataFrame:
+    """(file, content): the delta manifest of each release of ``files`` as JSON.
+
+    ``files`` as ``delta_manifest`` gives them, ``plan`` as ``plan_refresh`` does: what it takes out
+    is listed under ``removed``. A bundle is ``{name, from}``, from the release that holds it.
+    """
+    head = ["release_tag", "base_release"]
+    named = F.array_sort(F.collect_list(F.struct(F.col("file_name").alias("name"), "from")))
+    sources = files.groupBy(*head, "tier", "source").agg(F.struct(named.alias("parquet_files")).alias("s"))
+    by_source = F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "s"))))
+    tiers = sources.groupBy(*head, "tier").agg(F.struct("tier", by_source.alias("s")).alias("t"))
+    gone = plan.filter("action = 'tombstone'").agg(
+        F.array_sort(F.collect_list(F.struct(*MATERIAL))).alias("removed")
+    )
+    nested = tiers.groupBy(*head).agg(F.map_from_entries(F.collect_list("t")).alias("tiers"))
+    body = F.struct(F.lit(schema_version).alias("schema_version"), *head, "tiers", gone.scalar().alias("removed"))
+    return nested.select(
+        F.concat("release_tag", F.lit("/release-manifest.json")).alias("file"), F.to_json(body).alias("content")
+    )
+
+
 def drop_tombstones(df: DataFrame, removed: DataFrame) -> DataFrame:
     return df.join(removed.select(*MATERIAL).distinct(), MATERIAL, "left_anti")
 
 
-def release_chain(releases: DataFrame, tag: str, max_depth: int = MAX_CHAIN) -> DataFrame:
+def release_chain(releases: DataFrame, tag: str) -> DataFrame:
     """(release_tag, depth) of a release and its bases, nearest first.
 
-    ``releases``: (release_tag, base_release). A cycle or a chain deeper than ``max_depth`` is an
-    error, a base that does not exist ends the chain.
+    ``releases``: (release_tag, base_release). Pointers to the ancestor 1, 2, 4, ... steps up are
+    doubled, so a chain of n releases takes about log2(n) rounds, whatever its length. A cycle is an
+    error, a base that does not exist ends the chain, an unknown ``tag`` has none.
     """
-    chain = releases.sparkSession.sql(
-        """
-        WITH RECURSIVE chain(release_tag, base_release, depth) AS (
-          SELECT release_tag, base_release, 0 FROM {releases} WHERE release_tag = :tag
-          UNION ALL
-          SELECT r.release_tag, r.base_release, c.depth + 1
-          FROM chain c JOIN {releases} r ON r.release_tag = c.base_release
-          WHERE c.depth < :max_depth
+    known = releases.select(F.col("release_tag").alias("base_release"))
+    up = releases.select("release_tag", "base_release").distinct().join(known.distinct(), "base_release")
+    up = keep(up.select("release_tag", "base_release"), "bases")
+    start = releases.filter(F.col("release_tag") == tag).select("release_tag").distinct()
+    chain = keep(start.withColumn("depth", F.lit(0)), "chain")
+    step = 1
+    while True:
+        above = chain.join(up, "release_tag").select(
+            F.col("base_release").alias("release_tag"), (F.col("depth") + step).alias("depth")
         )
-        SELECT release_tag, depth FROM chain
-        """,
-        {"tag": tag, "max_depth": max_depth},
-        # Every level of the recursion reads the releases again.
-        releases=cut(releases.select("release_tag", "base_release")),
-    )
-    rows = chain.groupBy("release_tag").agg(
-        F.min("depth").alias("depth"), F.max("depth").alias("deepest")
-    )
-    bad = (F.col("deepest") > F.col("depth")) | (F.col("deepest") >= max_depth)
-    message = f"the bases of {tag} form a cycle or more than {max_depth} levels"
-    return rows.select(
-        "release_tag",
-        F.when(bad, F.raise_error(F.lit(message)).cast("int")).otherwise(F.col("depth"))
-        .alias("depth"),
-    )
+        longer = keep(chain.unionByName(above), "chain")
+        rows, tags = longer.agg(F.count(F.lit(1)), F.count_distinct("release_tag")).first()
+        if rows > tags:
+            raise ValueError(f"the bases of {tag} form a cycle")
+        if longer.filter(F.col("depth") >= step).isEmpty():
+            return chain
+        chain = longer
+        far = up.select(F.col("release_tag").alias("base_release"), F.col("base_release").alias("far"))
+        up = keep(up.join(far, "base_release").select("release_tag", F.col("far").alias("base_release")), "bases")
+        step *= 2
 
 
 def resolve_overlay(releases: DataFrame, files: DataFrame, tag: str) -> DataFrame:
     """(tier, source, file_name, from): every file seen from ``tag``, nearest release first."""
-    chain = cut(release_chain(releases, tag))
     return (
-        files.join(F.broadcast(chain), "release_tag")
+        files.join(release_chain(releases, tag), "release_tag")
         .groupBy("tier", "source", "file_name")
         .agg(F.min_by("release_tag", "depth").alias("from"))
     )
@@ -241,7 +256,7 @@ def flatten_release(
     ``rows`` and ``removed`` carry ``release_tag``. A tombstone hides versions of its own and of
     deeper releases; a nearer release may bring the material back.
     """
-    chain = F.broadcast(cut(release_chain(releases, tag)))
+    chain = release_chain(releases, tag)
     nearest = rows.join(chain, "release_tag")
     gone = (
         removed.join(chain, "release_tag")

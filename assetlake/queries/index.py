@@ -28,6 +28,7 @@ from assetlake.queries.registry import (
     table,
 )
 from assetlake.session import run_dir
+from assetlake.sinks.files import write_files
 from assetlake.sources import listings, metadata
 
 RAW_MAPS = [
@@ -413,6 +414,24 @@ def latest_release(spark, d):
     return metadata.latest_release(release_tags(spark, d))
 
 
+@query(
+    "resolve_release",
+    f"""
+    SELECT o_orderkey, coalesce(CASE WHEN o_custkey % 5 = 0 THEN '/m/' || o_custkey END,
+      CASE WHEN o_custkey % 3 = 0 THEN release_tag END, (SELECT release_tag FROM ({LATEST_SQL}))) AS resolved
+    FROM ({TAGS_SQL}) JOIN orders USING (o_orderkey)""",
+)
+def resolve_release(spark, d):
+    """Orders ask for a manifest, a tag, both or neither."""
+    tags, orders = release_tags(spark, d), table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    asked = tags.join(orders, "o_orderkey").select(
+        "o_orderkey",
+        F.when(F.col("o_custkey") % 3 == 0, F.col("release_tag")).alias("tag"),
+        F.when(F.col("o_custkey") % 5 == 0, F.concat(F.lit("/m/"), "o_custkey")).alias("manifest"),
+    )
+    return metadata.resolve_releases(asked, tags).select("o_orderkey", "resolved")
+
+
 @query(
     "newer_available",
     f"""SELECT release_tag AS latest, 'v1998.01.0' AS current, release_tag <> 'v1998.01.0' AS newer
@@ -949,7 +968,12 @@ def listing_path(spark: SparkSession, d: str, kind: str) -> str:
         )
     pages = p.select(page, item.alias("i")).groupBy("page").agg(F.collect_list("i").alias(kind))
     path = run_dir(spark, "listing")
-    pages.select(F.to_json(F.struct(kind)).alias("value")).repartition(8).write.text(path)
+    return landed(path, pages.select("page", F.to_json(F.struct(kind)).alias("content")))
+
+
+def landed(path: str, pages: DataFrame, name: str = "page") -> str:
+    """Write ``content`` of every row as a file of its own, as a download would leave it."""
+    write_files(pages.select(F.concat(F.col(name).cast("string"), F.lit(".json")).alias("file"), "content"), path)
     return path
 
 
@@ -961,9 +985,7 @@ def listing_path(spark: SparkSession, d: str, kind: str) -> str:
       '2026-04-18' AS last_updated FROM part WHERE p_size >= 20""",
 )
 def read_listing_pages(spark, d):
-    # Several pages of one listing in a file are separate lines; the reader takes both shapes.
-    pages = spark.read.json(listing_path(spark, d, "foundAssets"), schema=S.PAGED_ASSETS_SCHEMA)
-    assets = listings.explode_pages(pages, "foundAssets")
+    assets = listings.read_listing_pages(spark, listing_path(spark, d, "foundAssets"))
     out = listings.paged_asset_records(assets, "2k")
     return out.select(
         "id", "source", "name", F.array_join("tags", ",").alias("tags"), "source_url", "last_updated"
@@ -978,8 +1000,8 @@ def read_listing_pages(spark, d):
       CASE WHEN p_size >= 10 THEN 'ok' ELSE 'failed' END AS status FROM part""",
 )
 def read_listing_packages(spark, d):
-    pages = spark.read.json(listing_path(spark, d, "results"), schema=S.PAGED_PACKAGES_SCHEMA)
-    out = listings.package_records(listings.explode_pages(pages, "results"))
+    packages = listings.read_listing_pages(spark, listing_path(spark, d, "results"), "results")
+    out = listings.package_records(packages)
     return out.select("id", "name", F.array_join("tags", ",").alias("tags"), "source_license", "status")
 
 
@@ -991,7 +1013,9 @@ def read_listing_packages(spark, d):
     FROM (SELECT p_partkey // 100 AS page, count(*) AS n FROM part GROUP BY 1)""",
 )
 def last_pages(spark, d):
-    pages = spark.read.json(listing_path(spark, d, "results"), schema=S.PAGED_PACKAGES_SCHEMA)
+    pages = spark.read.json(
+        listing_path(spark, d, "results"), schema=S.PAGED_PACKAGES_SCHEMA, multiLine=True
+    )
     flagged = listings.last_pages(pages, "results")
     return flagged.agg(
         F.count(F.lit(1)).alias("pages"), F.count_if("is_last").alias("last_pages"),
@@ -1017,11 +1041,10 @@ def read_listing_map(spark, d):
         ),
     )
     docs = p.select(page, entry.alias("e")).groupBy("page").agg(
-        F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value")
+        F.to_json(F.map_from_entries(F.collect_list("e"))).alias("content")
     )
-    path = run_dir(spark, "slugs")
-    docs.select("value").write.text(path)
-    out = listings.slug_records(listings.explode_slugs(spark.read.text(path)), "1k")
+    path = landed(run_dir(spark, "slugs"), docs)
+    out = listings.slug_records(listings.read_listing_map(spark, path), "1k")
     return out.select("id", "name", F.array_join("tags", ",").alias("tags"), "source_url")
 
 
@@ -1036,15 +1059,18 @@ def read_listing_map(spark, d):
 )
 def read_scalar_materials(spark, d):
     p = table(spark, d, "part")
-    rows = p.select(
+    rows = [
         F.concat_ws(" ", "p_name", "p_partkey").alias("name"),
         F.array(F.lit("Metal"), "p_type").alias("category"),
         F.array(F.col("p_size") / 50.0, F.lit(1.0), F.lit(0.0)).alias("color"),
         (F.col("p_size") / 50.0).alias("roughness"),
+    ]
+    page = F.floor(F.col("p_partkey") / S.LISTING_PAGE_SIZE).alias("page")
+    docs = p.select(page, F.struct(*rows).alias("m")).groupBy("page").agg(
+        F.to_json(F.collect_list("m")).alias("content")
     )
-    path = run_dir(spark, "scalars")
-    rows.write.json(path)
-    out = listings.scalar_records(spark.read.json(path, schema=S.SCALAR_MATERIAL_SCHEMA))
+    path = landed(run_dir(spark, "scalars"), docs)
+    out = listings.scalar_records(listings.read_scalar_materials(spark, path))
     return out.select("id", "name", "roughness", "color_hex")
 
 
@@ -1077,10 +1103,8 @@ def read_asset_files(spark, d):
         tier("arm").alias("arm"),
         F.lit("text").alias("blend"),
     )
-    path = run_dir(spark, "trees")
-    p.select(F.col("p_partkey").cast("string").alias("slug"), F.to_json(tree).alias("value")).write.json(path)
-    docs = spark.read.json(path, schema="slug string, value string")
-    return listings.map_urls(listings.explode_file_tree(docs, "slug"), "slug", "512")
+    path = landed(run_dir(spark, "trees"), p.select("p_partkey", F.to_json(tree).alias("content")), "p_partkey")
+    return listings.map_urls(listings.read_asset_files(spark, path), "slug", "512")
 
 
 @query(

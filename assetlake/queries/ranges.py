@@ -51,6 +51,20 @@ def lookup_texture(spark, d):
     return out.withColumn("available", F.array_join("available", ","))
 
 
+@query(
+    "lookup_alternatives",
+    """
+    SELECT DISTINCT source, tier, id FROM rowmap WHERE (source, tier) IN (
+      SELECT (q.source, q.tier) FROM requests q
+      WHERE q.tier IN (SELECT tier FROM manifest_files) AND q.source IN (SELECT source FROM manifest_files)
+        AND (q.source, q.tier, q.id) NOT IN (SELECT (source, tier, id) FROM rowmap))""",
+    "requests", "manifest_files", "rowmap",
+)
+def lookup_alternatives(spark, d):
+    ranges = rowmap(spark, d)
+    return L.alternatives(L.lookup_texture(requests(spark, d), manifest_files(spark, d), ranges), ranges)
+
+
 @query(
     "rowmap_entry",
     """

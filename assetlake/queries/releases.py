@@ -232,6 +232,35 @@ def delta_manifest(spark, d):
     return R.delta_manifest(plan, placed, "v2026.05.0", "v2026.04.0")
 
 
+DELTA_SQL = """
+    SELECT 'v2026.05.0' AS release_tag, 'v2026.04.0' AS base_release, '1k' AS tier, source, file_name,
+      CASE WHEN bool_or(change IN ('new', 'changed')) THEN 'v2026.05.0' ELSE 'v2026.04.0' END AS "from"
+    FROM (SELECT d.*, 'f' || CAST(CAST(id AS BIGINT) // 5 AS VARCHAR) AS file_name FROM diff d)
+    WHERE change <> 'removed' GROUP BY source, file_name"""
+
+
+def delta_manifests(spark, d):
+    """The delta release of ``delta_manifest``, written as a file and read back."""
+    path = run_dir(spark, "delta")
+    plan = R.plan_refresh(*snapshots(spark, d))
+    write_files(R.delta_document(delta_manifest(spark, d), plan), path)
+    return metadata.read_delta_manifests(spark, f"{path}/*/release-manifest.json")
+
+
+@query("delta_document", DELTA_SQL, "diff")
+def delta_document(spark, d):
+    return metadata.explode_delta(delta_manifests(spark, d))
+
+
+@query(
+    "delta_removed",
+    "SELECT 'v2026.05.0' AS release_tag, source, id FROM diff WHERE change = 'removed'",
+    "diff",
+)
+def delta_removed(spark, d):
+    return metadata.removed_by(delta_manifests(spark, d))
+
+
 @query(
     "drop_tombstones",
     """

@@ -64,6 +64,13 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder below the shared one and read it back: its size is known then."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Freeze ``df`` in reliable storage, so that a lost executor cannot change its rows."""
     shared_dir(df.sparkSession)

@@ -86,6 +86,26 @@ def read_manifest_files(spark: SparkSession, path: Paths) -> DataFrame:
     return explode_manifest(require_schema_version(read_manifest(spark, path)))
 
 
+def read_delta_manifests(spark: SparkSession, path: Paths) -> DataFrame:
+    """One row per delta manifest; unknown schema versions are refused."""
+    raw = spark.read.json(path, schema=S.DELTA_MANIFEST_SCHEMA, multiLine=True)
+    return require_schema_version(raw)
+
+
+def explode_delta(manifests: DataFrame) -> DataFrame:
+    """(release_tag, base_release, tier, source, file_name, from) of delta manifests."""
+    head = ["release_tag", "base_release"]
+    tiers = manifests.select(*head, F.explode("tiers").alias("tier", "sources"))
+    sources = tiers.select(*head, "tier", F.explode("sources").alias("source", "s"))
+    files = sources.select(*head, "tier", "source", F.explode("s.parquet_files").alias("f"))
+    return files.select(*head, "tier", "source", F.col("f.name").alias("file_name"), "f.from")
+
+
+def removed_by(manifests: DataFrame) -> DataFrame:
+    """(release_tag, source, id): tombstones of delta manifests."""
+    return manifests.select("release_tag", F.explode("removed").alias("r")).select("release_tag", "r.*")
+
+
 def latest_release(releases: DataFrame, tag: str = "release_tag") -> DataFrame:
     """One row with the newest well-formed calendar tag."""
     return releases.filter(N.release_tag_ok(tag)).agg(
@@ -100,6 +120,14 @@ def resolve_release(
     return manifest or tag or latest_release(releases).first()[0]
 
 
+def resolve_releases(
+    requests: DataFrame, releases: DataFrame, tag: str = "tag", manifest: str = "manifest"
+) -> DataFrame:
+    """Adds ``resolved`` to every request: its manifest, else its tag, else the newest release."""
+    newest = latest_release(releases).scalar()
+    return requests.withColumn("resolved", F.coalesce(manifest, tag, newest))
+
+
 def newer_available(releases: DataFrame, current: str) -> DataFrame:
     """(latest, current, newer): whether the newest release differs from the one in use."""
     latest = latest_release(releases).withColumnRenamed("release_tag", "latest")

@@ -62,6 +62,42 @@ def test_release_chain_stops_at_cycles(spark):
         R.release_chain(chain, "x").collect()
 
 
+def test_release_chain_has_no_longest(spark):
+    rows = [(str(i), str(i - 1) if i else None) for i in range(300)]
+    releases = spark.createDataFrame(rows, "release_tag string, base_release string")
+    got = {int(r["release_tag"]): r["depth"] for r in R.release_chain(releases, "299").collect()}
+    assert got == {i: 299 - i for i in range(300)}
+    assert R.release_chain(releases, "unknown").isEmpty()
+
+
+def test_delta_manifests_resolve_from_files(spark, tmp_path):
+    from assetlake.sinks.files import write_files
+
+    plan = spark.createDataFrame(
+        [("s", "1", "unchanged", "carry"), ("s", "2", "changed", "bake"), ("s", "3", "removed", "tombstone")],
+        "source string, id string, change string, action string",
+    )
+    placed = spark.createDataFrame(
+        [("s", "1", "1k", "a"), ("s", "2", "1k", "b"), ("s", "3", "1k", "b")],
+        "source string, id string, tier string, file_name string",
+    )
+    files = R.delta_manifest(plan, placed, "v2", "v1")
+    write_files(R.delta_document(files, plan), str(tmp_path))
+    got = M.read_delta_manifests(spark, f"{tmp_path}/v2")
+    rows = {(r["file_name"], r["from"]) for r in M.explode_delta(got).collect()}
+    assert rows == {("a", "v1"), ("b", "v2")}
+    assert [tuple(r) for r in M.removed_by(got).collect()] == [("v2", "s", "3")]
+
+
+def test_requests_resolve_to_manifest_then_tag_then_newest(spark):
+    tags = spark.createDataFrame([("v2026.04.2",), ("v2026.04.10",), ("x",)], "release_tag string")
+    asked = spark.createDataFrame(
+        [(1, "t", "m"), (2, "t", None), (3, None, None)], "n int, tag string, manifest string"
+    )
+    got = {r["n"]: r["resolved"] for r in M.resolve_releases(asked, tags).collect()}
+    assert got == {1: "m", 2: "t", 3: "v2026.04.10"}
+
+
 def test_overlay_takes_the_nearest_release(spark):
     releases = spark.createDataFrame([("v3", "v2"), ("v2", "v1"), ("v1", None)],
                                      "release_tag string, base_release string")
