@@ -130,7 +130,11 @@ def publish_tier(
 
 def rowmap_of(spark, path: str, textures: DataFrame, chunks: DataFrame, bundles: DataFrame):
     """Long rowmap of the bundles below ``path``; their physical parts go by the bundle name."""
-    placed = with_bundle(textures, chunks, bundles)
+    return rowmap_of_placed(spark, path, with_bundle(textures, chunks, bundles), bundles)
+
+
+def rowmap_of_placed(spark, path: str, placed: DataFrame, bundles: DataFrame) -> DataFrame:
+    """The same for textures that carry their ``parquet_file`` already."""
     parts = footers(list_files(spark, path, "*.parquet"))
     named = parts.withColumn(
         "parquet_file",

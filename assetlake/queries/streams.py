@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assetlake.functions import payload as B
+from assetlake.operators import select as P
+from assetlake.queries.ranges import FRAMED, FRAMED_SHA, png_tex
 from assetlake.queries.registry import (
     CATEGORY_OF_NO,
     CHANNEL_OF_NO,
@@ -17,6 +19,7 @@ from assetlake.queries.registry import (
     table,
 )
 from assetlake.session import run_dir
+from assetlake.sources.bundles import fetch_ranges
 from assetlake.streaming import jobs as J
 
 LANGS = ["de", "en", "es", "fr"]
@@ -206,6 +209,40 @@ def dedupe_stream(spark, d):
     return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
 
 
+@query(
+    "stream_bundles",
+    f"""SELECT source, tier, category, id, channel, {FRAMED} AS length, {FRAMED_SHA} AS sha256,
+          NULL::VARCHAR AS error_kind FROM tex WHERE channel <> 'ao' OR length % 2 = 0""",
+    "tex",
+)
+def stream_bundles(spark, d):
+    """Bake a stream: odd occlusion maps are no images and drop, the others go into rotating bundles.
+
+    Materials come in three batches; the bundles of closed and of open chunks are read back by their
+    rowmaps and every range is hashed.
+    """
+    out, mark, landing = (run_dir(spark, n) for n in ("rotated", "mark", "landing"))
+    framed = png_tex(spark, d).withColumn("third", F.pmod(F.col("id").cast("long"), F.lit(3)))
+    odd = (F.col("channel") == "ao") & (F.pmod(F.length("payload") - 12, F.lit(2)) == 1)
+    payload = F.when(odd, F.encode(F.lit("no image"), "UTF-8")).otherwise(F.col("payload"))
+    rows = framed.withColumn("payload", payload).drop("length", "sha256")
+    seal = J.Seal("2026-04-18T00:00:00+00:00")
+    for third in range(3):
+        part = rows.filter(F.col("third") == third).drop("third")
+        part.write.mode("append").parquet(landing)
+        stream = J.file_stream(spark, landing, part.schema, max_files=1000)
+        good = P.hashed_textures(stream).filter("valid").drop("valid")
+        J.rotating_sink(good, out, mark, 100_000, seal=seal).awaitTermination()
+    J.seal_open(spark, out, seal)
+    rowmap, files = J.sealed(spark, out)
+    got = fetch_ranges(rowmap, rowmap, files)
+    cells = rowmap.select("source", "tier", "id", "category").distinct()
+    return got.join(cells, ["source", "tier", "id"]).select(
+        "source", "tier", "category", "id", "channel", "length",
+        B.sha256("payload").alias("sha256"), "error_kind",
+    )
+
+
 @query(
     "rotating_sink",
     f"""

@@ -99,9 +99,13 @@ def plan_bundles(
         chunks = C.chunk_by_bytes(sizes, max_bytes=max_bytes)
     chunks = cut(chunks)
     files = C.bundle_files(C.chunk_bounds(chunks), prefix, first_unnumbered=rotate != "count")
-    numbered = running(files.withColumn("_all", F.lit(1)), ["_all"], ["parquet_file"])
-    bundles = numbered.withColumn("bundle_no", (F.col("rn") - 1).cast("int"))
-    return chunks, cut(bundles.drop("_all", "rn", "n"))
+    return chunks, cut(numbered(files))
+
+
+def numbered(files: DataFrame) -> DataFrame:
+    """``files`` with a dense ``bundle_no`` in the order of their names."""
+    rows = running(files.withColumn("_all", F.lit(1)), ["_all"], ["parquet_file"])
+    return rows.withColumn("bundle_no", (F.col("rn") - 1).cast("int")).drop("_all", "rn", "n")
 
 
 def with_bundle(rows: DataFrame, chunks: DataFrame, bundles: DataFrame) -> DataFrame:
@@ -159,6 +163,16 @@ def write_partitioned_bundle(
         chunks,
         bundles,
     )
+    write_rows(rows, n_bundles, path, baker_version, baked_at, mode)
+    return chunks, bundles
+
+
+def write_rows(
+    rows: DataFrame, n_bundles: int, path: str, baker_version: str, baked_at: str, mode: str
+) -> None:
+    """Write rows (group, id, channel, payload, source_url, source_license, planned, parquet_file,
+    bundle_no) as one file per bundle, sorted by id; materials without a planned row are left out.
+    """
     stem = F.regexp_replace("parquet_file", r"\.parquet$", "").alias("bundle")
     wide = (
         rows.select(stem, *rows.columns)
@@ -175,4 +189,3 @@ def write_partitioned_bundle(
     px = F.coalesce(tier_px("tier"), F.lit(0))
     out = bundle_projection(wide, px, baker_version, baked_at, "bundle").sortWithinPartitions("bundle", "id")
     out.write.mode(mode).partitionBy("bundle").options(**BUNDLE_OPTIONS).parquet(path)
-    return chunks, bundles

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -10,9 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from assetlake import schemas as S
-from assetlake.operators.chunking import GROUP, chunk_by_bytes
+from assetlake.operators.chunking import GROUP, bundle_files, chunk_by_bytes
+from assetlake.plans.derive import rowmap_of_placed
+from assetlake.session import keep
+from assetlake.sinks.bundles import numbered, write_rows
+from assetlake.sources.bundles import list_files
 
 BATCH_FILES = 50
 
@@ -186,27 +192,42 @@ def dedupe_stream(stream: DataFrame, keys: list[str], ts: str = "ts", delay: str
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
+@dataclass(frozen=True)
+class Seal:
+    """How a rotating sink writes its closed chunks: constants of the run and of the names."""
+
+    baked_at: str
+    baker_version: str = "1"
+    prefix: str = S.ASSET_PREFIX
+
+
 def rotating_sink(
     stream: DataFrame,
     path: str,
     checkpoint: str,
     max_bytes: int = S.MAX_BUNDLE_BYTES,
     group: list[str] = GROUP,
+    seal: Seal | None = None,
 ) -> StreamingQuery:
     """Append rows (group, id, length, …) to numbered chunks, rotated as they fill up.
 
-    A chunk is closed after the row that fills it. The open chunk of each group and its bytes are
-    kept next to the data, one state table per batch, so a repeated batch starts from the same
-    state. Rows lie below ``<path>/rows/batch=<n>``, the state below ``<path>/state/batch=<n>``.
+    A chunk is closed after the row that fills it. The open chunk of each group, its bytes and the
+    batch it began in are kept next to the data, one state table per batch, so a repeated batch
+    starts from the same state. Rows lie below ``<path>/rows/batch=<n>``, the state below
+    ``<path>/state/batch=<n>``. With ``seal`` the rows are textures (channel, payload), and a batch
+    that closes chunks writes their bundles below ``<path>/bundles/batch=<n>`` and the ranges in
+    them below ``<path>/rowmap/batch=<n>``; ``seal_open`` does so for the chunks still open.
     """
     spark = stream.sparkSession
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         before = f"{path}/state/batch={batch_id - 1}"
-        carry = spark.read.parquet(before) if exists(before) else None
+        if batch_id and not exists(before):
+            raise RuntimeError(f"{before} is missing: chunk numbers would start again")
+        carry = spark.read.parquet(before) if batch_id else spark.createDataFrame([], _state_schema(batch, group))
         sizes = batch.groupBy(*group, "id").agg(F.sum("length").alias("length"))
-        chunks = chunk_by_bytes(sizes, group, max_bytes, carry=carry)
+        chunks = chunk_by_bytes(sizes, group, max_bytes, carry=carry if batch_id else None)
         rows = f"{path}/rows/batch={batch_id}"
         batch.join(chunks.select(*group, "id", "chunk"), [*group, "id"]).write.mode(
             "overwrite"
@@ -215,20 +236,32 @@ def rotating_sink(
         used = spark.read.parquet(rows).groupBy(*group, "chunk").agg(
             F.sum("length").alias("length")
         )
-        if carry is not None:
-            used = used.unionByName(
-                carry.select(*group, "chunk", F.col("open_bytes").alias("length"))
-            )
+        used = used.unionByName(carry.select(*group, "chunk", F.col("open_bytes").alias("length")))
         per_chunk = used.groupBy(*group, "chunk").agg(F.sum("length").alias("length"))
         top = per_chunk.groupBy(*group).agg(
             F.max("chunk").alias("c"), F.max_by("length", "chunk").alias("b")
         )
         full = F.col("b") >= max_bytes
-        top.select(
+        now = top.select(
             *group,
             F.when(full, F.col("c") + 1).otherwise(F.col("c")).alias("chunk"),
             F.when(full, F.lit(0)).otherwise(F.col("b")).cast("long").alias("open_bytes"),
-        ).write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        )
+        known = carry.select(*group, F.col("chunk").alias("_chunk"), F.col("since").alias("_since"))
+        state = now.join(known, group, "left").select(
+            *group, "chunk", "open_bytes",
+            F.when(F.col("chunk") == F.col("_chunk"), F.col("_since"))
+            .otherwise(F.lit(batch_id).cast("long")).alias("since"),
+            F.coalesce("_chunk", F.lit(1)).cast("int").alias("opened"),
+            F.coalesce("_since", F.lit(batch_id)).cast("long").alias("opened_in"),
+        )
+        state.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        if seal is not None:
+            state = spark.read.parquet(f"{path}/state/batch={batch_id}").filter("opened < chunk")
+            closed = state.select(
+                *group, F.explode(F.sequence("opened", (F.col("chunk") - 1).cast("int"))).alias("chunk"), "opened_in"
+            )
+            _seal(spark, path, closed, batch_id, batch_id, seal)
 
     return (
         stream.writeStream.foreachBatch(run)
@@ -236,3 +269,63 @@ def rotating_sink(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _state_schema(batch: DataFrame, group: list[str]) -> StructType:
+    own = StructType([batch.schema[g] for g in group])
+    return own.add("chunk", "integer").add("open_bytes", "long").add("since", "long")
+
+
+ROWMAP_ROWS = (
+    "parquet_file string, row_idx int, id string, channel string, offset bigint, length bigint, "
+    "source string, tier string, category string"
+)
+
+
+def _seal(
+    spark: SparkSession, path: str, closed: DataFrame, last: int, batch_id: int, seal: Seal
+) -> None:
+    """Write the bundles and the rowmap of the chunks ``closed`` (group, chunk, opened_in).
+
+    Their rows lie in the batches from the one the oldest of them began in up to ``last``.
+    """
+    first = closed.agg(F.min("opened_in")).first()[0]
+    rowmap = f"{path}/rowmap/batch={batch_id}"
+    if first is None:
+        spark.createDataFrame([], ROWMAP_ROWS).write.mode("overwrite").parquet(rowmap)
+        return
+    files = bundle_files(closed.withColumn("numbered", F.lit(True)), seal.prefix, first_unnumbered=True)
+    bundles = keep(numbered(files).select(*GROUP, "chunk", "parquet_file", "bundle_no"), "bundles")
+    rows = spark.read.parquet(*[f"{path}/rows/batch={i}" for i in range(first, last + 1)])
+    placed = rows.join(bundles, [*GROUP, "chunk"])
+    null = F.lit(None).cast("string")
+    write_rows(
+        placed.withColumns({"source_url": null, "source_license": null, "planned": F.lit(True)}),
+        bundles.count(), f"{path}/bundles/batch={batch_id}", seal.baker_version, seal.baked_at, "overwrite",
+    )
+    located = rowmap_of_placed(spark, f"{path}/bundles/batch={batch_id}", placed.drop("payload"), bundles)
+    located.select(*[f.split()[0] for f in ROWMAP_ROWS.split(", ")]).write.mode("overwrite").parquet(rowmap)
+
+
+def seal_open(spark: SparkSession, path: str, seal: Seal) -> None:
+    """Write bundles and rowmap of the chunks that are still open when a stream has ended.
+
+    They take the place of the next batch: should the stream go on, that batch replaces them.
+    """
+    states = spark.read.parquet(f"{path}/state")
+    last = states.agg(F.max("batch")).first()[0]
+    state = states.filter((F.col("batch") == last) & (F.col("open_bytes") > 0))
+    still = state.select(*GROUP, "chunk", F.col("since").alias("opened_in"))
+    _seal(spark, path, still, last, last + 1, seal)
+
+
+def sealed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rowmap, files) of all bundles a rotating sink has written, for ``fetch_ranges``."""
+    rowmap = spark.read.parquet(f"{path}/rowmap")
+    found = F.regexp_extract("path", r"/batch=(\d+)/bundle=([^/]+)/", 1).cast("int")
+    name = F.regexp_extract("path", r"/batch=(\d+)/bundle=([^/]+)/", 2)
+    files = list_files(spark, f"{path}/bundles", "*.parquet").select(
+        found.alias("batch"), F.concat(name, F.lit(".parquet")).alias("parquet_file"), "path"
+    )
+    used = rowmap.select("batch", "parquet_file").distinct()
+    return rowmap.drop("batch"), files.join(used, ["batch", "parquet_file"]).drop("batch")

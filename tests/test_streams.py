@@ -65,6 +65,46 @@ def test_rotating_sink_goes_on_over_batches(spark, tmp_path):
     assert got == greedy(rows, 100)
 
 
+def test_rotating_sink_seals_its_chunks(spark, tmp_path):
+    from assetlake import schemas as S
+    from assetlake.sources.bundles import fetch_ranges
+
+    schema = "source string, tier string, category string, id string, channel string, payload binary, length bigint"
+    rnd = random.Random(5)
+    want, landing, out, mark = {}, *(str(tmp_path / n) for n in ("in", "out", "mark"))
+    seal = J.Seal("2026-04-18T00:00:00+00:00")
+    for b in range(3):
+        rows = []
+        for i in range(8):
+            for channel in ("color", "normal"):
+                payload = S.PNG_MAGIC + rnd.randbytes(rnd.randint(1, 60))
+                # ids of a later batch lie between those of the earlier ones
+                rows.append(("s", "1k", "metal", f"{i}{b}", channel, payload, len(payload)))
+                want[f"{i}{b}", channel] = payload
+        land(spark, rows, schema, landing)
+        J.rotating_sink(stream(spark, landing, schema), out, mark, 300, seal=seal).awaitTermination()
+        rowmap, files = J.sealed(spark, out)
+        closed = rowmap.count()
+        J.seal_open(spark, out, seal)  # replaced by the next batch
+        rowmap, files = J.sealed(spark, out)
+        got = {(r["id"], r["channel"]): bytes(r["payload"]) for r in fetch_ranges(rowmap, rowmap, files).collect()}
+        assert got == want and closed < len(want)
+    assert files.count() > 3
+
+
+def test_rotating_sink_needs_the_state_before(spark, tmp_path):
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for b in range(2):
+        land(spark, [("s", "1k", "metal", f"{b}", 5)], SCHEMA, landing)
+        place = out if b == 0 else str(tmp_path / "elsewhere")
+        query = J.rotating_sink(stream(spark, landing, SCHEMA), place, mark, 100)
+        if b == 0:
+            query.awaitTermination()
+        else:
+            with pytest.raises(Exception, match="is missing"):
+                query.awaitTermination()
+
+
 def test_watch_stream_and_removal(spark, tmp_path):
     schema = "source string, id string, snapshot bigint, digest string"
     landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
