@@ -330,10 +330,11 @@ def validate_release(
     index: DataFrame,
     footers: DataFrame | None = None,
     prefix: str = S.ASSET_PREFIX,
+    fetched: DataFrame | None = None,
 ) -> DataFrame:
-    """(check, subject) for every breach between manifest, rowmaps, index and bundle footers.
+    """(check, subject) for every breach between manifest, rowmaps, index, footers and bytes.
 
-    Index and rowmap meet in one aggregate per material and tier; files are compared by name.
+    ``fetched``: what ``fetch_ranges`` gives for the rowmap. Index and rowmap meet in one aggregate per material and tier; files are compared by name.
     """
     bundles = manifest_files.filter("kind = 'bundle'").select("file_name")
     rowmaps = manifest_files.filter("kind = 'rowmap'").select("file_name")
@@ -363,9 +364,27 @@ def validate_release(
         groups = footers.groupBy("parquet_file").agg(F.max("n_row_groups").alias("g"))
         differ = groups.join(ids, "parquet_file", "left").filter("coalesce(count, 0) <> g")
         checks.append(report(differ, "row_groups_differ_from_rowmap", "parquet_file"))
+    if fetched is not None:
+        checks.append(range_breaches(fetched, index))
     return reduce(lambda a, b: a.unionByName(b), checks)
 
 
+def range_breaches(fetched: DataFrame, index: DataFrame) -> DataFrame:
+    """(check, subject): ranges that cannot be read, or whose bytes are not those of the index.
+
+    Payloads are hashed where they are read; only hashes meet the index.
+    """
+    hashed = fetched.select(*MATERIAL, "tier", "channel", "error_kind", F.sha2("payload", 256).alias("sha256"))
+    wanted = index.select(*MATERIAL, F.explode("texture_hashes").alias("channel", "h"))
+    wanted = wanted.select(*MATERIAL, "channel", F.col("h.sha256").alias("want"))
+    check = F.when(F.col("error_kind").isNotNull(), F.concat(F.lit("range_"), "error_kind")).when(
+        F.col("sha256") != F.col("want"), "range_differs_from_index"
+    )
+    both = hashed.join(wanted, [*MATERIAL, "channel"], "left")
+    subject = F.concat_ws("/", "source", "tier", "id", "channel")
+    return both.select(check.alias("check"), subject.alias("subject")).filter("check is not null")
+
+
 def material_breaches(rowmap: DataFrame, index: DataFrame) -> DataFrame:
     """(check, subject): materials, tiers and channels on which rowmap and index disagree."""
     entries = index.select(

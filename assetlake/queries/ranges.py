@@ -9,7 +9,9 @@ from assetlake.functions import payload as B
 from assetlake.functions.names import asset_name
 from assetlake.operators import lookup as L
 from assetlake.operators import quality as Q
+from assetlake.operators import releases as V
 from assetlake.operators import rowmap as M
+from assetlake.operators.select import texture_hashes
 from assetlake.plans import bake as P
 from assetlake.plans import derive as D
 from assetlake.queries.registry import (
@@ -265,6 +267,44 @@ def bundle_roundtrip(spark, d):
     )
 
 
+@query(
+    "validate_bytes",
+    f"""
+    SELECT 'range_bad_magic' AS check, source || '/' || tier || '/' || id || '/' || channel AS subject
+      FROM tex WHERE ({FRAMED}) % 7 = 0 AND CAST(id AS BIGINT) % 11 <> 0
+    UNION ALL SELECT 'range_differs_from_index', source || '/' || tier || '/' || id || '/' || channel
+      FROM tex WHERE ({FRAMED}) % 7 <> 0 AND ({FRAMED}) % 5 = 0 AND CAST(id AS BIGINT) % 11 <> 0
+    UNION ALL SELECT 'index_tier_without_range', source || '/' || tier || '/' || id
+      FROM tex WHERE CAST(id AS BIGINT) % 11 = 0 GROUP BY source, tier, id
+    UNION ALL SELECT 'index_channel_without_range', source || '/' || tier || '/' || id || '/' || channel
+      FROM tex WHERE CAST(id AS BIGINT) % 11 = 0
+    UNION ALL SELECT DISTINCT 'row_groups_differ_from_rowmap', parquet_file
+      FROM rowmap WHERE CAST(id AS BIGINT) % 11 = 0""",
+    "tex", "rowmap",
+)
+def validate_bytes(spark, d):
+    """Written bundles against a rowmap with shifted ranges and lost materials, and an index with
+    hashes of other payloads: footers and all ranges are read."""
+    path = run_dir(spark, "bundles")
+    rows = png_tex(spark, d)
+    chunks, bundles = write_partitioned_bundle(
+        rows, mat(spark, d), path, "1", "2026-04-18T00:00:00+00:00", rotate="bytes"
+    )
+    placed = rows.drop("payload", "sha256")
+    located = cut(D.rowmap_of(spark, path, placed, chunks, bundles))
+    parts = R.footers(R.list_files(spark, path, "*.parquet"))
+    name = F.concat(F.regexp_extract("path", r"/bundle=([^/]+)/", 1), F.lit(".parquet"))
+    parts = parts.withColumn("parquet_file", name)
+    shifted = F.col("offset") + F.when(F.col("length") % 7 == 0, 1).otherwise(0)
+    flawed = located.filter("cast(id AS bigint) % 11 <> 0").withColumn("offset", shifted)
+    hashes = rows.withColumn("sha256", B.sha256("payload")).withColumn(
+        "sha256", F.when(F.col("length") % 5 == 0, F.reverse("sha256")).otherwise(F.col("sha256"))
+    )
+    index = texture_hashes(hashes, ["source", "id"]).withColumn("available_tiers", F.array(F.lit("1k")))
+    got = R.fetch_ranges(flawed, flawed, parts.select("parquet_file", "path").distinct())
+    return V.validate_release(manifest_files(spark, d), flawed, index, parts, fetched=got)
+
+
 @query(
     "read_bundle",
     f"""
