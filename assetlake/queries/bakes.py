@@ -177,18 +177,15 @@ def bake_index(spark, d):
       SELECT p.category, p.rn, w.chunk + CASE WHEN w.used >= 100000 THEN 1 ELSE 0 END,
         CASE WHEN w.used >= 100000 THEN 0 ELSE w.used END + p.length
       FROM walk w JOIN pos p ON p.category = w.category AND p.rn = w.rn + 1)
-    SELECT kind, count(*) AS files, count(DISTINCT category) AS categories FROM (
-      SELECT unnest(['bundle', 'rowmap']) AS kind, category, chunk FROM (
-        SELECT category, chunk FROM walk GROUP BY category, chunk)) GROUP BY kind""",
+    SELECT unnest(['bundle', 'rowmap']) AS kind, category, chunk FROM (
+      SELECT category, chunk FROM walk GROUP BY category, chunk)""",
 )
 def bake_manifest(spark, d):
-    """Files of the manifest of a bake, and whether each of them was written."""
+    """Category and chunk of every file that the manifest of a bake names; each of them was written."""
     path, release = baked(spark, d)
     files = metadata.read_manifest_files(spark, f"{path}/release-manifest.json")
-    parsed = files.join(release.files.select("file_name", "category"), "file_name")
-    return parsed.groupBy("kind").agg(
-        F.count(F.lit(1)).alias("files"), F.count_distinct("category").alias("categories")
-    )
+    parsed = files.join(release.files.select("file_name", "category", "chunk"), "file_name")
+    return parsed.select("kind", "category", F.coalesce("chunk", F.lit(1)).alias("chunk"))
 
 
 @query(

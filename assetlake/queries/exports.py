@@ -270,8 +270,8 @@ def pack_documents(spark, d):
 @query(
     "document_map",
     """
-    SELECT 's' || page_id % 3 || '-mtlx.json' AS file, count(*) AS documents,
-      CAST(sum(length(html)) AS BIGINT) AS chars FROM pages GROUP BY 1""",
+    SELECT 's' || page_id % 3 || '-mtlx.json' AS file, CAST(page_id AS VARCHAR) AS id, sha256(html) AS sha256
+    FROM pages""",
 )
 def document_map(spark, d):
     docs = table(spark, d, "pages").select(
@@ -282,9 +282,7 @@ def document_map(spark, d):
     )
     back = F.from_json("content", "map<string, string>")
     rows = O.document_map(docs).select("file", F.explode(back).alias("id", "xml"))
-    return rows.groupBy("file").agg(
-        F.count(F.lit(1)).alias("documents"), F.sum(F.length("xml")).alias("chars")
-    )
+    return rows.select("file", "id", F.sha2(F.encode("xml", "UTF-8"), 256).alias("sha256"))
 
 
 @query(

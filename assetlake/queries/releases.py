@@ -89,10 +89,8 @@ def unpartitioned_assets(spark, d):
 @query(
     "manifest_document",
     """
-    SELECT 'release-manifest.json' AS file, count(DISTINCT tier) AS tiers,
-      count(DISTINCT (tier, source)) AS cells, count(*) AS files,
-      'v2026.04.0' AS release_tag
-    FROM parsed""",
+    SELECT 'release-manifest.json' AS file, 'v2026.04.0' AS release_tag, tier, source, file_name
+    FROM parsed WHERE (tier, source) IN (SELECT (tier, source) FROM parsed WHERE kind = 'bundle')""",
     "parsed",
 )
 def manifest_document(spark, d):
@@ -100,13 +98,8 @@ def manifest_document(spark, d):
         R.manifest_rollup(asset_names(spark, d)), "v2026.04.0", "https://example.org/r/"
     )
     parsed = doc.withColumn("m", F.from_json("content", S.MANIFEST_SCHEMA))
-    rows = parsed.select("file", F.explode(R_files("m")).alias("f"))
-    return rows.groupBy("file").agg(
-        F.count_distinct("f.tier").alias("tiers"),
-        F.count_distinct("f.tier", "f.source").alias("cells"),
-        F.count(F.lit(1)).alias("files"),
-        F.lit("v2026.04.0").alias("release_tag"),
-    )
+    rows = parsed.select("file", "m.release_tag", F.explode(R_files("m")).alias("f"))
+    return rows.select("file", "release_tag", "f.*")
 
 
 def R_files(m: str):
