@@ -1,4 +1,4 @@
-"""Near-duplicate documents: ProbMinHash signatures of weighted shingles, banded and verified."""
+"""Near-duplicate documents: ProbMinHash signatures of shingles, banded and verified."""
 
 from __future__ import annotations
 
@@ -15,7 +15,8 @@ from assetlake.llm.pretokens import mix, prefix_hashes, range_hashes
 
 WORDS = 5
 SIMILARITY = 0.8
-#: 24 bands of 4 registers miss a pair of similarity 0.8 with a probability of 3e-6.
+#: 24 bands of 4 registers miss a pair of similarity 0.8 with a probability of 3e-6. Links are defined
+#: by sets, so every shingle weighs the same here, however often it stands in its text.
 BANDS, ROWS = 24, 4
 #: Members of a bucket that one task compares; larger buckets are compared block by block.
 BLOCK = 256
@@ -110,9 +111,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int,
         for part in slices(batches, 1, 2 << 20):
             offsets, raw = text_bytes(part.column(1))
             words, first = word_hashes(offsets, raw)
-            texts, values, counts = shingles(words, first, width)
+            texts, values, _ = shingles(words, first, width)
             n = part.num_rows
-            bits = band_hashes(signatures(texts, values, 1 + np.log(counts), n, bands * rows), bands, rows)
+            bits = band_hashes(signatures(texts, values, np.ones(len(values)), n, bands * rows), bands, rows)
             empty = np.diff(first) == 0
             prints = [
                 None if e else hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
@@ -220,7 +221,7 @@ def near_duplicates(
     Two texts are linked when the Jaccard similarity of their sets of ``width``-word shingles is at
     least ``similarity``; a component is what links reach, named by its smallest id, which is kept.
     copy_of is the smallest id with the same words. Candidates come from bands of ProbMinHash
-    signatures over shingles weighted by 1 + ln(count); every link is verified on whole texts.
+    signatures over shingles of equal weight; every link is verified on whole texts.
 
     Copies are folded before banding. Buckets with the same members are compared once; a bucket of
     more than ``BLOCK`` texts is cut into blocks that are compared two by two, all of them.

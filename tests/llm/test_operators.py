@@ -343,6 +343,17 @@ def test_near_duplicates(spark, docs, none, monkeypatch):
     assert probminhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_with_repeated_shingles(spark):
+    rows = []
+    for g in range(40):
+        ws = [f"a{g}x{i}" for i in range(204)]  # 200 shingles
+        more = [f"b{g}x{i}" for i in range(45)] * 100  # 45 more, 100 times each, and 4 where both meet
+        rows += [(2 * g, " ".join(ws)), (2 * g + 1, " ".join(ws + more))]
+    assert all(len(shingle_set(a[1])) >= 0.8 * len(shingle_set(b[1])) for a, b in zip(rows[::2], rows[1::2], strict=True))
+    got = probminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_probability_jaccard():
     rng = np.random.default_rng(10)
     names = rng.integers(0, 1 << 62, 260).astype(np.uint64)
