@@ -242,6 +242,28 @@ def test_secret_scan(spark, docs, none):
     assert secret_scan.digest(none).count() == 0
 
 
+def test_secret_scan_lower_case(spark):
+    keys = {
+        "x7k2m9q4w8z3r6t1y5u0p": "entropy_lower",
+        "mzxw6ytboi4gk3tdnf2a": "entropy_lower",
+        "key_9f8e7d6c5b4a39281706": "entropy_hex",
+        "key_9f8e7d6c5b4a3f2e": "entropy_hex",
+        "sk-4f9a1c7e2b8d6035e9f1a7": "entropy_hex",
+        "a1b2-c3d4-e5f6-g7h8-j9k0": "entropy_lower",
+        "prod/api+x7k2m9q4w8z3r6t1": "entropy_lower",
+        "9f8e7d6c5b4a39281706f": "entropy_hex",
+    }
+    words = [
+        "some-long-page-name-of-2024-07-31", "path/to/file-v2/utf8/x86_64", "internationalization_and_so_on",
+        "123e4567-e89b-12d3-a456-426614174000", "aaaaaaaaaaaaaaaaaaaaaa1", "20240731-20240801-20240802", "1a-" * 4 + "of-many-words",
+    ]
+    rows = list(enumerate([*keys, *words]))
+    df = spark.createDataFrame([(i, f"see {t} there") for i, t in rows], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.digest(df).collect()}
+    assert [got[i] for i, _ in rows] == [f"{keys[t]}:4:{4 + len(t)}" if t in keys else "" for _, t in rows]
+    assert secret_scan.mask_secrets(df).where("doc_id < 8 and text <> 'see [SECRET] there'").isEmpty()
+
+
 def test_window_entropy(spark):
     rng = random.Random(6)
     rows = ["".join(rng.choice("abcdefgh0123XYZ+/"[: rng.randint(1, 17)]) for _ in range(rng.randint(20, 90))) for _ in range(60)]
