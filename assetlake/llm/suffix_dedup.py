@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake.llm.common import free_name, freeze, slices, spread, text_bytes
@@ -70,12 +70,17 @@ def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return packed >> 20, (packed >> 10) & 1023, packed & 1023
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k1, k2, text): id and text hash name a row; rows that share both are equal."""
+def named(id_col: str, text_col: str) -> tuple[Column, Column, Column]:
+    """(k1, k2, text): 128 bits of the SHA-256 of id and text name a row; rows that share both are equal."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("k1"), F.hash(text).alias("k2"), text.alias("text")
-    )
+    name = F.sha2(F.concat(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.lit(":"), text), 256)
+    k1, k2 = (F.conv(F.substring(name, at, 16), 16, -10).cast("long") for at in (1, 17))
+    return k1, k2, text
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    k1, k2, text = named(id_col, text_col)
+    return docs.select(k1.alias("k1"), k2.alias("k2"), text.alias("text"))
 
 
 def anchor_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -96,7 +101,7 @@ def anchor_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
             columns = [key.astype(np.int64), span.astype(np.int64), part.column(0).take(texts), part.column(1).take(texts), at]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
 
-    return rows.mapInArrow(run, "gram bigint, span bigint, k1 bigint, k2 int, at bigint")
+    return rows.mapInArrow(run, "gram bigint, span bigint, k1 bigint, k2 bigint, at bigint")
 
 
 def common_extension(prefix, down, a, b, limit) -> np.ndarray:
@@ -234,7 +239,7 @@ def resolve_groups(spans: DataFrame, length: int, gram: int) -> DataFrame:
             columns = [get("k1")[span], get("k2")[span], low[span] + window]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k1", "k2", "start"])
 
-    return spans.select("gram", "k1", "k2", "at", "alone", "bytes").mapInArrow(run, "k1 bigint, k2 int, start bigint")
+    return spans.select("gram", "k1", "k2", "at", "alone", "bytes").mapInArrow(run, "k1 bigint, k2 bigint, start bigint")
 
 
 def span_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +280,7 @@ def binned(spans: DataFrame, width: int, length: int) -> DataFrame:
                 fields = [rows.column(c).take(take) for c in range(5)] + [pa.array(c) for c in cuts]
                 yield pa.RecordBatch.from_arrays(fields, [*columns, "first", "last", "inner", "outer"])
 
-    schema = "k1 bigint, k2 int, at bigint, asked boolean, bytes binary, first bigint, last bigint, inner bigint, outer bigint"
+    schema = "k1 bigint, k2 bigint, at bigint, asked boolean, bytes binary, first bigint, last bigint, inner bigint, outer bigint"
     return spans.select(*columns, "first", "last").mapInArrow(run, schema)
 
 
@@ -315,9 +320,13 @@ def narrow(spans: DataFrame, length: int) -> DataFrame | None:
 
 
 def cut_spans(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """``wanted`` with the bytes of all windows of each anchor; a text is read once."""
-    lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "n", "at", "alone")).alias("spans"))
-    both = rows.join(lists, ["k1", "k2"]).select("k1", "k2", "text", "spans")
+    """``wanted`` with the bytes of all windows of each anchor; a text is read once, of equal rows one."""
+    keys = ["k1", "k2"]
+    lists = wanted.groupBy(*keys).agg(F.collect_list(F.struct("gram", "n", "at", "alone")).alias("spans"))
+    copied = freeze(rows.groupBy(*keys).count().where("count > 1").select(*keys), "copied")
+    one = rows.join(copied, keys, "left_semi").groupBy(*keys).agg(F.first("text").alias("text"))
+    rows = rows.join(copied, keys, "left_anti").unionByName(one)
+    both = rows.join(lists, keys).select("k1", "k2", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, 4 << 20):
@@ -332,7 +341,7 @@ def cut_spans(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             names = ["k1", "k2", "gram", "n", "at", "alone", "bytes"]
             yield pa.RecordBatch.from_arrays([*ids, *fields, cuts], names)
 
-    return both.mapInArrow(run, "k1 bigint, k2 int, gram bigint, n bigint, at bigint, alone boolean, bytes binary")
+    return both.mapInArrow(run, "k1 bigint, k2 bigint, gram bigint, n bigint, at bigint, alone boolean, bytes binary")
 
 
 def repeated_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
@@ -369,7 +378,7 @@ def repeated_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gr
     whole = shared.select("k1", "k2", low.alias("start"), (low + more).alias("last"), F.lit(None).cast("boolean").alias("alone"))
     out = spans.where("alone").select("k1", "k2", low.alias("start"), low.alias("last"), F.lit(True).alias("alone"))
     back = starts.select("k1", "k2", "start", "last", F.lit(False).alias("alone"))
-    return whole.unionByName(out).unionByName(back)
+    return whole.unionByName(out).unionByName(back).distinct()  # equal rows have equal ranges
 
 
 def remove_repeats(
@@ -398,10 +407,7 @@ def remove_repeats(
     ranges = repeated_ranges(docs, id_col, text_col, length, gram)
     lists = ranges.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "last", "alone")).alias("r"))
     k1, k2, raw, cuts = (free_name(docs, c) for c in ("k1_", "k2_", "text_", "cuts_"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumns(
-        {k1: F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), k2: F.hash(text), raw: text}
-    )
+    rows = docs.withColumns(dict(zip((k1, k2, raw), named(id_col, text_col), strict=True)))
     both = rows.join(
         lists.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("r").alias(cuts)), [k1, k2], "left"
     ).select(*names, raw, cuts)

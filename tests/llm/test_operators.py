@@ -302,6 +302,30 @@ def test_suffix_dedup(spark, monkeypatch, group):
     assert sorted(key(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes))) for r in got) == sorted(want)
 
 
+def test_suffix_dedup_names_rows_by_whole_texts(spark):
+    made = F.concat(*[F.sha2(F.concat("id", F.lit(x)), 512) for x in "abc"])
+    many = spark.range(300_000).select(made.alias("t")).withColumn("h", F.hash("t"))
+    a, b = many.groupBy("h").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("a", "b").first()
+    df = spark.createDataFrame([(None, a), (None, b), (7, a)], "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_removed) for r in suffix_dedup.digest(df).collect())
+    assert got == [("7", 384), ("None", 0), ("None", 384)]
+
+
+def test_suffix_dedup_folds_equal_rows(spark):
+    rng = random.Random(13)
+    x, y, z = ("".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(3))
+    rows = [(None, x + y)] * 40 + [(3, x + z)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ranges = suffix_dedup.repeated_ranges(df, "doc_id", "text", 200, 64)
+    assert ranges.count() == ranges.distinct().count() < 60
+    keys = suffix_dedup.keyed(df, "doc_id", "text")
+    wanted = keys.select("k1", "k2").distinct().selectExpr("k1", "k2", "1L gram", "1L n", "0L at", "true alone")
+    assert suffix_dedup.cut_spans(keys, wanted, 200).count() == 2
+    want = repeats([t.encode() for _, t in rows], 200)
+    got = suffix_dedup.remove_repeats(df).collect()
+    assert sorted((str(r.doc_id), bytes(r.kept_bytes)) for r in got) == sorted((str(i), w[3]) for (i, _), w in zip(rows, want, strict=True))
+
+
 def test_suffix_dedup_text(spark, docs, none):
     out = suffix_dedup.without_repeats(docs)
     assert out.columns == docs.columns
