@@ -16,6 +16,7 @@ from assetlake.llm import (
     secret_scan,
     suffix_dedup,
     token_counts,
+    toxicity,
     warc_zip,
 )
 from assetlake.llm.common import table
@@ -94,3 +95,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_minhash_near_dedup", probminhash.GROUPS_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
