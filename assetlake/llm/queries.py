@@ -10,6 +10,7 @@ from assetlake.llm import (
     bpe,
     grid_join,
     packing,
+    pair_maxscore,
     probminhash,
     quality_classifier,
     quality_rules,
@@ -100,3 +101,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_toxicity")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_pair_maxscore", pair_maxscore.DIGEST_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_maxscore.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
