@@ -18,6 +18,7 @@ from assetlake.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    variants,
     warc_zip,
 )
 from assetlake.llm.common import table
@@ -106,3 +107,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_pair_maxscore", pair_maxscore.DIGEST_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_maxscore.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_spelling_variants", variants.DIGEST_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.digest(table(spark, sf_dir, "documents"))
