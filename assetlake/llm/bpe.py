@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlake.llm.common import free_name, slices
-from assetlake.llm.pretokens import Store, mix, prefix_hashes, range_hashes
+from assetlake.llm.pretokens import Store
+from assetlake.llm.words import mix, names
 
 
 class PerfectHash:
@@ -71,7 +72,7 @@ def read_ranks(path: str) -> list[bytes]:
 def token_hashes(tokens: list[bytes]) -> np.ndarray:
     ends = np.cumsum([len(t) for t in tokens])
     raw = np.frombuffer(b"".join(tokens), np.uint8)
-    return range_hashes(prefix_hashes(raw), np.concatenate(([0], ends[:-1])), ends)
+    return names(raw, np.concatenate(([0], ends[:-1])), ends)
 
 
 class Vocabulary:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from assetlake.session import run_dir
 
+#: Texts a writing task holds before it writes a row group.
+ROW_GROUP = 8 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -29,7 +31,7 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -228,30 +228,39 @@ def near_vectors(
 ) -> DataFrame:
     """(id, n_links, component_id, kept) for every vector.
 
-    Two vectors are linked when their labels are equal and their cosine, in double precision, is at
-    least ``cosine``. Equal vectors of a label are folded into one with a count, so copies are never
-    paired; they count as links of each other. Vectors without label or id, with a null or
-    non-finite component, of another length than most or all zero link with nothing and are kept,
-    their component being their own id.
+    Two vectors are linked when their labels and lengths are equal and their cosine, in double
+    precision, is at least ``cosine``. Equal vectors of a label are folded into one with a count, so
+    copies are never paired; they count as links of each other. Vectors of each length are joined by
+    themselves, on axes of their own. Vectors without label or id, with a null or non-finite
+    component, or all zero link with nothing and are kept, their component being their own id.
     """
-    spark = rows.sparkSession
-    epsilon = math.sqrt(2 - 2 * cosine)
     v = rows.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
         F.col(vector_col).cast("array<double>").alias("vector"),
     )
-    v = v.withColumn("usable", usable("label", "vector") & F.col("id").isNotNull())
-    widths = v.where("usable").groupBy(F.size("vector").alias("w")).agg(F.count("*").alias("n"))
-    widest = widths.orderBy(F.desc("n"), F.desc("w")).first()
-    alone = v.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    if widest is None:
-        return alone
-    v = v.withColumn("usable", F.col("usable") & (F.size("vector") == widest["w"]))
-    good = v.where("usable")
+    v = v.withColumn("usable", F.coalesce(usable("label", "vector") & F.col("id").isNotNull(), F.lit(False)))
+    out = v.where(~F.col("usable")).select(
+        "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept")
+    )
+    widths = v.where("usable").select(F.size("vector").alias("w")).distinct().orderBy("w")
+    for width in [r["w"] for r in widths.collect()]:  # one row for each embedding model
+        good = v.where("usable").where(F.size("vector") == width)
+        known = joined(good, width, cosine)
+        out = out.unionByName(
+            good.select("id", "label", "vector").join(known, ["label", "vector"]).select(
+                "id", "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
+            )
+        )
+    return out
+
+
+def joined(good: DataFrame, width: int, cosine: float) -> DataFrame:
+    """(label, vector, n_links, component_id) of vectors of one length, frozen."""
+    epsilon = math.sqrt(2 - 2 * cosine)
     classes = freeze(
         good.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("m")), "classes"
     )
-    axes = principal_axes(classes, "vector", widest["w"], min(DIMENSIONS, widest["w"]))
+    axes = principal_axes(classes, "vector", width, min(DIMENSIONS, width))
     if axes.shape[1] < KEYS:  # vectors of one component: a second axis that is always zero
         axes = np.hstack([axes, np.zeros((axes.shape[0], KEYS - axes.shape[1]))])
     blocks = grid_blocks(classes, axes, epsilon)
@@ -262,19 +271,12 @@ def near_vectors(
     links = freeze(link_blocks(pairs.join(side("1"), "one").join(side("2"), "two"), axes, cosine), "links")
     counts = links.where("hi is null").groupBy(F.col("lo").alias("rep")).agg(F.sum("n").alias("linked"))
     found = components(links.where("hi is not null"), "lo", "hi").withColumnRenamed("node", "rep")
-    known = freeze(
+    return freeze(
         classes.join(counts, "rep", "left").join(found, "rep", "left").select(
             "label", "vector", (F.col("m") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
             F.coalesce("component", "rep").alias("component_id"),
         ), "known",
     )
-    out = good.select("id", "label", "vector").join(known, ["label", "vector"]).select(
-        "id", "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
-    )
-    alone = v.where(~F.coalesce(F.col("usable"), F.lit(False))).select(
-        "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept")
-    )
-    return out.unionByName(alone)
 
 
 def digest(rows: DataFrame) -> DataFrame:

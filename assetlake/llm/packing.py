@@ -3,22 +3,36 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import freeze, slices
+from assetlake.llm.common import freeze, slices, text_bytes
 from assetlake.llm.pretokens import Store
 
 SEQUENCE = 1024
 END_ID = 2
 #: Rows that share a rank window: small, so that a length of many pieces is ranked by many tasks.
 RANK_ROWS = 128
-PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+#: Salts whose counts are summed in one window; their totals are summed in another one.
+RANK_SALTS = 1024
+PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, row bigint"
+
+
+@functools.lru_cache(maxsize=2)
+def special(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
+    """(ids of a whole text, the strings that the library takes as special tokens wherever they stand)."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    strings = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, strings
 
 
 @functools.lru_cache(maxsize=2)
@@ -27,7 +41,6 @@ def store(path: str) -> Store:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
 
     def encode(pretokens: list[bytes], _hashes: np.ndarray) -> list[list[int]]:
         texts = [p.decode() for p in pretokens]
@@ -41,23 +54,33 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, end_id: int = END_I
 
     A document of at most ``most`` ids is one piece. A longer one gives pieces of ``most`` ids, but
     the first, which takes what is left over. A null text counts as empty and gives the end id
-    alone; repeated rows give repeated pieces. Reads doc_id and text only.
+    alone; repeated rows give repeated pieces. Reads doc_id and text only. The string of a special
+    token in a text is that token, as the library has it: such texts are encoded whole.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = store(path)
+        whole, strings = special(path)
+        at = TaskContext.get().partitionId() << 40  # rows of the table of pieces are numbered
         for part in slices(batches, 1, 2 << 20):
             ids, bounds = known.encode_texts(part.column(1))
+            offsets, raw = text_bytes(part.column(1))
+            data = raw.tobytes()
+            hits = [m.start() for x in strings for m in re.finditer(re.escape(x), data)]
+            marked = set((np.searchsorted(offsets, hits, "right") - 1).tolist())
             rows = []
-            for doc, a, b in zip(part.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                own = np.append(ids[a:b], end_id).astype("<u4")
+            for i, (doc, a, b) in enumerate(zip(part.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                own = whole(part.column(1)[i].as_py()) if i in marked else ids[a:b]
+                own = np.append(own, end_id).astype("<u4")
                 first = len(own) % most or most
                 cuts = [0, *range(first, len(own) + 1, most)] if len(own) > most else [0, len(own)]
                 for k, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                     rows.append((doc, k, s, e - s, zlib.crc32(own[s:e].tobytes())))
             columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else [[]] * 5
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            columns.append(np.arange(at, at + len(rows)))
+            at += len(rows)
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32", "row"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECE_SCHEMA)
@@ -179,8 +202,10 @@ def pack(parts: DataFrame, most: int = SEQUENCE) -> DataFrame:
     The histogram has at most ``most`` rows, whatever the input; the LP is solved on it by the
     driver. Its groups of equal sequences name, for each length, intervals of ranks; every piece
     gets a rank among those of its length and finds its sequence by its rank. Ranks are counted in
-    small salted groups and shifted by the totals of the groups before, so that no task sees all
-    pieces of a length. Pieces longer than ``most`` or without length raise.
+    small salted groups and shifted by the totals of the groups before, which are summed in two
+    levels, so that no task sees all pieces of a length. The salt is a hash of all columns: ``parts``
+    should have one, such as ``row`` of :func:`pieces`, that tells equal pieces apart. Pieces longer than
+    ``most`` or without length raise.
     """
     spark = parts.sparkSession
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}
@@ -202,12 +227,17 @@ def pack(parts: DataFrame, most: int = SEQUENCE) -> DataFrame:
     slot = F.broadcast(spark.createDataFrame(slots, slot_schema))
     counts = [(int(x), max(1, -(-n // RANK_ROWS))) for x, n in histogram.items()]
     salts = F.broadcast(spark.createDataFrame(counts, "length long, salts long"))
-    key = F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts")).alias("salt")
+    key = F.pmod(F.xxhash64(*parts.columns), F.col("salts")).alias("salt")
     salted = parts.join(salts, "length").select(*parts.columns, key)
     group = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    group = group.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    group = group.withColumn("many", F.floor(F.col("salt") / RANK_SALTS))
+    prior = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda w: F.coalesce(F.sum("n").over(w), F.lit(0))
+    large = group.groupBy("length", "many").agg(F.sum("n").alias("n"))
+    large = large.select("length", "many", before(prior("length").orderBy("many")).alias("large_before"))
+    group = group.withColumn("before", before(prior("length", "many").orderBy("salt"))).join(large, ["length", "many"])
+    group = group.select("length", "salt", (F.col("before") + F.col("large_before")).alias("before"))
+    within = Window.partitionBy("length", "salt").orderBy(*[c for c in parts.columns if c != "length"])
     ranked = salted.withColumn("rank", F.row_number().over(within) - 1).join(group, ["length", "salt"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
     found = ranked.join(
@@ -219,4 +249,4 @@ def pack(parts: DataFrame, most: int = SEQUENCE) -> DataFrame:
 
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """One row per piece with its sequence and its place there."""
-    return pack(freeze(pieces(docs, path), "pieces"))
+    return pack(freeze(pieces(docs, path), "pieces")).drop("row")

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 from assetlake.llm.common import spread, text_bytes
+from assetlake.llm.words import alike, mix, names
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -55,15 +56,6 @@ def prefix_hashes(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit hashes."""
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
-
-
 def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each byte range, the same wherever the bytes stand."""
     _, down = powers(len(prefix))
@@ -103,21 +95,22 @@ def split(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Store:
-    """Ids of pre-tokens by the 64-bit hash of their bytes; emptied when it holds ``most`` of them.
+    """Ids of pre-tokens, by a 64-bit name of their bytes; emptied when it holds ``most`` of them.
 
-    ``encode`` gives the ids of a list of pre-tokens. Two pre-tokens of one store share a hash with
-    a probability below 1e-6.
+    ``encode`` gives the ids of a list of pre-tokens. The bytes are kept beside the ids and compared:
+    a pre-token whose name leads to other bytes is encoded by itself.
     """
 
-    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[list[int]]], most: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[bytes], np.ndarray], list[list[int]]], most: int = 600_000):
         self.encode, self.most = encode, most
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.empty(0, np.uint64)
-        self.start = np.empty(0, np.int64)
-        self.count = np.empty(0, np.int64)
+        self.start, self.count = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, np.uint32)
+        self.at, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.raw = np.empty(0, np.uint8)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.keys):
@@ -126,35 +119,47 @@ class Store:
         return place, self.keys[place] == keys
 
     def add(self, keys: np.ndarray, tokens: list[bytes]) -> None:
-        if len(self.keys) > self.most:
-            self.clear()
-        found = self.encode(tokens, keys)
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((x for one in found for x in one), np.uint32, int(count.sum()))
-        start = len(self.ids) + np.cumsum(count) - count
+        start, count, ids = flat_ids(self.encode(tokens, keys))
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
         order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
         self.keys = np.concatenate([self.keys, keys])[order]
-        self.start = np.concatenate([self.start, start])[order]
+        self.start = np.concatenate([self.start, start + len(self.ids)])[order]
         self.count = np.concatenate([self.count, count])[order]
         self.ids = np.concatenate([self.ids, ids])
+        self.at = np.concatenate([self.at, len(self.raw) + np.cumsum(size) - size])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(tokens), np.uint8)])
 
     def encode_texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, first id of each text and the end)."""
         offsets, raw = text_bytes(column)
         bounds, first = split(offsets, raw)
-        start, end = bounds[:-1], bounds[1:]
-        hashes = range_hashes(prefix_hashes(raw), start, end)
+        start, length = bounds[:-1], np.diff(bounds)
+        hashes = names(raw, start, bounds[1:])
         keys, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         _, known = self.find(keys)
+        data = raw.tobytes()
         if not known.all():
             new = np.flatnonzero(~known)
             if len(self.keys) + len(new) > self.most:
                 self.clear()
                 new = np.arange(len(keys))
-            data = raw.tobytes()
-            self.add(keys[new], [data[start[i] : end[i]] for i in sample[new]])
-        place, _ = self.find(keys)
-        count = self.count[place][inverse]
-        ids = self.ids[spread(self.start[place][inverse], count)]
+            self.add(keys[new], [data[start[i] : start[i] + length[i]] for i in sample[new]])
+        place = self.find(keys)[0][inverse]
+        count, begin, ids = self.count[place], self.start[place], self.ids
+        same = self.size[place] == length
+        same[same] = alike(raw, start[same], length[same], self.raw, self.at[place[same]])
+        if not same.all():  # other bytes of the same name
+            odd = np.flatnonzero(~same)
+            own, own_count, own_ids = flat_ids(self.encode([data[start[i] : start[i] + length[i]] for i in odd], hashes[odd]))
+            begin[odd], count[odd] = own + len(ids), own_count
+            ids = np.concatenate([ids, own_ids])
         total = np.concatenate(([0], np.cumsum(count)))
-        return ids, total[np.minimum(first, len(count))]
+        return ids[spread(begin, count)], total[np.minimum(first, len(count))]
+
+
+def flat_ids(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, count, all ids) of lists of ids."""
+    count = np.fromiter(map(len, found), np.int64, len(found))
+    ids = np.fromiter((x for one in found for x in one), np.uint32, int(count.sum()))
+    return np.cumsum(count) - count, count, ids

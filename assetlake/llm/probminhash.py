@@ -7,34 +7,45 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import components, forest, freeze, slices, text_bytes
-from assetlake.llm.pretokens import mix, prefix_hashes, range_hashes
+from assetlake.llm.common import components, forest, free_name, freeze, slices, spread, text_bytes
+from assetlake.llm.words import mix, names, runs
 
 WORDS = 5
 SIMILARITY = 0.8
 #: 24 bands of 4 registers miss a pair of similarity 0.8 with a probability of 3e-6. Links are defined
-#: by sets, so every shingle weighs the same here, however often it stands in its text.
+#: by sets, so in these every shingle weighs the same. In further bands a shingle weighs as often as it
+#: stands in its text: they find texts that differ in many rare shingles but share what is repeated.
 BANDS, ROWS = 24, 4
+WEIGHTED = 8
 #: Members of a bucket that one task compares; larger buckets are compared block by block.
 BLOCK = 256
 _GOLD = 0x9E3779B97F4A7C15
 
 
+def word_spans(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first word of each text and the end); words end at space, tab to return."""
+    return runs(~((raw == 32) | ((raw >= 9) & (raw <= 13))), offsets)
+
+
 def word_hashes(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text and the end); words end at space, tab to return."""
-    if not len(raw):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    edge = np.zeros(len(raw) + 1, bool)
-    edge[offsets] = True
-    starts, ends = inside.copy(), inside.copy()
-    starts[1:] &= ~inside[:-1] | edge[1:-1]
-    ends[:-1] &= ~inside[1:] | edge[1:-1]
-    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    return range_hashes(prefix_hashes(raw), starts, ends), np.searchsorted(starts, offsets)
+    """(name of each word, first word of each text and the end)."""
+    start, end, first = word_spans(offsets, raw)
+    return names(raw, start, end), first
+
+
+def prints(raw: np.ndarray, start: np.ndarray, end: np.ndarray, first: np.ndarray) -> list[bytes | None]:
+    """Digest of the bytes of all words of each text, one space after each; null without words."""
+    length = end - start
+    at = np.cumsum(length + 1) - length - 1
+    joined = np.full(int((length + 1).sum()), 32, np.uint8)
+    joined[spread(at, length)] = raw[spread(start, length)]
+    data, at = memoryview(joined.tobytes()), np.append(at, len(joined))
+    ends = at[first].tolist()
+    return [hashlib.blake2b(data[a:b], digest_size=16).digest() if b > a else None for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def shingles(words: np.ndarray, first: np.ndarray, width: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,28 +116,34 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, rows: int) -> DataFrame:
-    """(id, print, bands): print is a 128-bit hash of the words; both null for a text without words."""
+    """(id, mark, print, bands): print is a digest of the words; it and the bands are null without words.
+
+    mark is a hash of the text: (id, mark) leads back to the text also where texts share an id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1, 2 << 20):
-            offsets, raw = text_bytes(part.column(1))
-            words, first = word_hashes(offsets, raw)
-            texts, values, _ = shingles(words, first, width)
+        for part in slices(batches, 2, 2 << 20):
+            offsets, raw = text_bytes(part.column(2))
+            start, end, first = word_spans(offsets, raw)
+            texts, values, count = shingles(names(raw, start, end), first, width)
             n = part.num_rows
-            bits = band_hashes(signatures(texts, values, np.ones(len(values)), n, bands * rows), bands, rows)
-            empty = np.diff(first) == 0
-            prints = [
-                None if e else hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest()
-                for a, b, e in zip(first[:-1], first[1:], empty, strict=True)
+            bits = [
+                band_hashes(signatures(texts, values, weight, n, k * rows), k, rows) ^ np.uint64(salt)
+                for k, weight, salt in ((bands, np.ones(len(values)), 0), (WEIGHTED, count.astype(float), 1))
             ]
-            flat = pa.array(bits.astype(np.int64).ravel())
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, (n + 1) * bands, bands), pa.int32()), flat, mask=pa.array(empty)
-            )
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints, pa.binary()), lists], ["id", "print", "bands"])
+            empty = np.diff(first) == 0
+            flat = pa.array(np.hstack(bits).astype(np.int64).ravel())
+            ends = np.arange(0, (n + 1) * (bands + WEIGHTED), bands + WEIGHTED)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array(empty))
+            columns = [*part.columns[:2], pa.array(prints(raw, start, end, first), pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "print", "bands"])
+
+    return marked(docs, id_col, text_col).mapInArrow(run, "id bigint, mark bigint, print binary, bands array<bigint>")
 
-    rows_in = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows_in.mapInArrow(run, "id bigint, print binary, bands array<bigint>")
+
+def marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
 def similar_rows(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +177,7 @@ def similar_rows(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray,
 
 
 def link_buckets(members: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(lo, hi): links that join, in each bucket, what is linked there; fewer than its members."""
+    """(lo, hi): prints of links that join, in each bucket, what is linked there; fewer than its members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -179,7 +196,9 @@ def link_buckets(members: DataFrame, width: int, similarity: float) -> DataFrame
 
     def linked(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         key = np.array(rows.column("key").combine_chunks())
-        ids = np.array(rows.column("id").combine_chunks())
+        own = rows.column("print").combine_chunks()
+        rank = np.empty(len(own), np.int64)
+        rank[np.array(pc.sort_indices(own))] = np.arange(len(own))
         offsets, raw = text_bytes(rows.column("text").combine_chunks())
         ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
         lo, hi, a = [], [], 0
@@ -197,81 +216,97 @@ def link_buckets(members: DataFrame, width: int, similarity: float) -> DataFrame
             while s < b:
                 e = int(ends[np.searchsorted(ends, s, "right")])
                 sets = [values[bounds[i - a] : bounds[i - a + 1]] for i in range(s, e)]
-                order = np.argsort(ids[s:e], kind="stable")
+                order = np.argsort(rank[s:e], kind="stable")
                 i, j = similar_rows([sets[k] for k in order], similarity)
                 if len(i):
-                    own = ids[s:e][order]
                     root = forest(e - s, i, j)
                     moved = np.flatnonzero(root != np.arange(e - s))
-                    lo.append(own[root[moved]])
-                    hi.append(own[moved])
+                    lo.append(s + order[root[moved]])
+                    hi.append(s + order[moved])
                 s = e
             a = b
         if lo:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lo)), pa.array(np.concatenate(hi))], ["lo", "hi"])
-
-    return members.mapInArrow(run, "lo bigint, hi bigint")
-
+            ends = [own.take(pa.array(np.concatenate(x))) for x in (lo, hi)]
+            yield pa.RecordBatch.from_arrays(ends, ["lo", "hi"])
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY
-) -> DataFrame:
-    """(doc_id, copy_of, component_id, kept) for every document.
+    return members.mapInArrow(run, "lo binary, hi binary")
 
-    Two texts are linked when the Jaccard similarity of their sets of ``width``-word shingles is at
-    least ``similarity``; a component is what links reach, named by its smallest id, which is kept.
-    copy_of is the smallest id with the same words. Candidates come from bands of ProbMinHash
-    signatures over shingles of equal weight; every link is verified on whole texts.
 
-    Copies are folded before banding. Buckets with the same members are compared once; a bucket of
-    more than ``BLOCK`` texts is cut into blocks that are compared two by two, all of them.
+def grouped(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
+    """(id, mark, copy_of, component_id, kept) for every row of ``docs``.
 
-    Rows with a null id or without words link with nothing and are kept, their component being
-    their own id; rows with equal ids count as one document. Ties do not arise: ids decide.
+    Texts are known by their print throughout, so those that share an id stay apart.
     """
     marks = freeze(sketch(docs, id_col, text_col, width, BANDS, ROWS), "sketch")
     known = marks.where("id is not null and print is not null")
-    classes = known.groupBy("print").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    classes = known.groupBy("print").agg(F.min(F.struct("id", "mark")).alias("one"), F.first("bands").alias("bands"))
     classes = freeze(classes, "classes")
-    bands = classes.select("rep", F.explode("bands").alias("band"))
+    bands = classes.select("print", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.min("rep").alias("m")
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("print")).alias("x"), F.min("print").alias("m")
     ).where("n > 1")
     buckets = buckets.groupBy("n", "x", "m").agg(F.min("band").alias("band"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     members = bands.join(buckets.select("band", blocks.alias("blocks")), "band").withColumn(
-        "own", F.pmod(F.xxhash64("rep", "band"), F.col("blocks"))
+        "own", F.pmod(F.xxhash64("print", "band"), F.col("blocks"))
     )
     members = freeze(members, "members")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = members.select("rep", "band", "own", other.alias("other"))
+    members = members.select("print", "band", "own", other.alias("other"))
     key = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    wanted = members.select("rep").distinct().hint("merge")  # as many as near-duplicates: never broadcast
-    texts = texts.join(wanted, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id"])
-    rows = members.select("rep", key.alias("key")).distinct().join(texts, F.col("rep") == F.col("id")).select("key", "id", "text")
+    members = members.select("print", key.alias("key")).distinct()
+    # as many as near-duplicates: never broadcast
+    wanted = members.select("print").distinct().join(classes.select("print", "one.*"), "print").hint("merge")
+    texts = marked(docs, id_col, text_col).join(wanted, ["id", "mark"]).dropDuplicates(["print"]).select("print", "text")
+    rows = members.join(texts, "print").select("key", "print", "text")
     links = link_buckets(rows.repartition("key").sortWithinPartitions("key"), width, similarity)
-    found = components(freeze(links, "links"), "lo", "hi")
-    ids = known.select("id", "print").join(classes.select("print", "rep"), "print")
-    named = ids.join(found, F.col("rep") == F.col("node"), "left").select(
-        "id", F.col("rep").alias("copy_of"), F.coalesce("component", "rep").alias("component_id")
-    )
+    found = components(freeze(links, "links"), "lo", "hi").join(classes.select(F.col("print").alias("node"), "one"), "node")
+    first = found.groupBy("component").agg(F.min("one").alias("first"))
+    linked = found.join(first, "component").select(F.col("node").alias("print"), "first")
+    named = classes.select("print", "one").join(linked, "print", "left")
+    named = freeze(named.select("print", "one", F.coalesce("first", "one").alias("first")), "named")
+    out = known.select("id", "mark", "print").join(named, "print").select(
+        "id", "mark", F.col("one")["id"].alias("copy_of"), F.col("first")["id"].alias("component_id"),
+        (F.struct("id", "mark") == F.col("first")).alias("kept"),
+    )
     alone = marks.where("id is null or print is null").select(
-        "id", F.col("id").alias("copy_of"), F.col("id").alias("component_id")
+        "id", "mark", F.col("id").alias("copy_of"), F.col("id").alias("component_id"), F.lit(True).alias("kept")
     )
-    out = named.unionByName(alone)
-    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(True))
-    return out.select(F.col("id").alias("doc_id"), "copy_of", "component_id", kept.alias("kept"))
+    return out.unionByName(alone)
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """(doc_id, copy_of, component_id, kept) for every document.
+
+    Two texts are linked when the Jaccard similarity of their sets of ``width``-word shingles is at
+    least ``similarity``; a component is what links reach, named by its smallest id, which is kept.
+    copy_of is the smallest id with the same words. Candidates come from bands of ProbMinHash
+    signatures, of shingles that weigh the same and of shingles weighed by their count; every link
+    is verified on whole texts.
+
+    Copies are folded before banding. Buckets with the same members are compared once; a bucket of
+    more than ``BLOCK`` texts is cut into blocks that are compared two by two, all of them.
+
+    Rows with a null id or without words link with nothing and are kept, their component being
+    their own id. Different texts that share an id are compared and kept or not by themselves.
+    """
+    out = grouped(docs, id_col, text_col, width, similarity)
+    return out.select(F.col("id").alias("doc_id"), "copy_of", "component_id", "kept")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, and every row without an id or without words.
 
-    A kept document that is stored several times is kept once; rows with a null id are all kept.
+    A kept document that is stored several times is kept once; rows with a null id are all kept, and so
+    are different texts that share an id, unless they are linked to others.
     """
-    groups = freeze(near_duplicates(docs), "components")
-    dropped = groups.where("not kept").select("doc_id").distinct()
-    rest = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    groups = freeze(grouped(docs, "doc_id", "text", WORDS, SIMILARITY), "components")
+    mark = free_name(docs, "mark_")
+    dropped = groups.where("not kept").select(F.col("id").alias("doc_id"), F.col("mark").alias(mark)).distinct()
+    rest = docs.where("doc_id is not null").withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+    rest = rest.join(dropped, ["doc_id", mark], "left_anti").dropDuplicates(["doc_id", mark]).drop(mark)
     return rest.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 

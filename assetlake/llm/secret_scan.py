@@ -43,8 +43,9 @@ WORDS = r"(?<![^/_+-])(?:[a-z]+|[0-9]+)(?![^/_+-])|[/_+-]"
 LEAST_LEFT = 10
 LOWER_CLASSES = [("entropy_hex", r"^[0-9a-f]+$", 2.9), ("entropy_lower", r"^[a-z0-9]+$", 3.2)]
 KINDS = [kind for kind, *_ in BASE_KINDS + ENTROPY_CLASSES] + ["entropy_lower"]
-#: DIGEST_SQL knows no class for lower-case letters and digits, and allows what has a separator.
-_SQL_ALLOW_LIST = [*ALLOW_LIST, r"^[a-z0-9]*(?:[/_-][a-z0-9]*)+$"]
+#: Characters of a candidate, of a text, and elements of an array that are worked on together, so that
+#: long ones take time in proportion to their length.
+PIECE, CHUNK, RUN = 200, 1000, 256
 MASK = "[SECRET]"
 _SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
 
@@ -53,22 +54,36 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def running(values: Column, join, zero: Column) -> Column:
+    """For each element of an array of longs what ``join`` makes of ``zero`` and the elements before it.
+
+    Runs of elements are joined first, then the runs, then the elements of each run from there on.
+    """
+
+    def upto(part: Column, begin: Column) -> Column:
+        empty = F.struct(begin.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(
+            part, empty, lambda acc, x: F.struct(
+                join(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
+            ), lambda acc: acc["out"],
+        )
+
+    def over(parts: Column) -> Column:
+        begins = upto(F.transform(parts, lambda part: F.aggregate(part, zero, join)), zero)
+        return F.flatten(F.zip_with(parts, begins, upto))
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(RUN))
+    return _let(F.transform(starts, lambda i: F.slice(values, i, F.lit(RUN))), over)
+
+
 def located(text: Column, pattern: str) -> Column:
     """(start, match) of every match: what lies between the matches tells where they are."""
 
     def walk(found: Column) -> Column:
-        gaps, hits = found["gaps"], found["hits"]
-        steps = F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("gap"), hits.alias("hit"))
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,hit:string>>").alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + F.length(x["gap"])
-            return F.struct(
-                (begin + F.length(x["hit"])).alias("at"),
-                F.concat(acc["out"], F.array(F.struct(begin.alias("start"), x["hit"].alias("hit")))).alias("out"),
-            )
-
-        return F.aggregate(steps, start, step, lambda acc: acc["out"])
+        hits, gaps = found["hits"], F.slice(found["gaps"], 1, F.size(found["hits"]))
+        both = F.zip_with(gaps, hits, lambda g, h: (F.length(g) + F.length(h)).cast("long"))
+        starts = F.zip_with(running(both, lambda a, x: a + x, F.lit(0).cast("long")), gaps, lambda at, g: at + F.length(g))
+        return F.zip_with(starts, hits, lambda start, hit: F.struct(start.alias("start"), hit.alias("hit")))
 
     both = F.struct(
         F.split(text, pattern, -1).alias("gaps"),
@@ -83,28 +98,39 @@ def window_entropy(candidate: Column, width: int = WINDOW) -> Column:
 
     H = log2 w - S / w with S the sum of n log2 n over the counts n. A step to the right changes S
     by the character that leaves and the one that enters only; their counts are taken from the
-    characters both windows share.
+    characters both windows share. A long candidate is cut into pieces that overlap by one
+    character less than a window, so every window lies in one of them.
     """
     table = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(width + 1)])
     g = lambda n: F.get(table, n)
     count = lambda s, c: F.length(s) - F.length(F.replace(s, c, F.lit("")))
-    first = F.substring(candidate, 1, width)
-    letters = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.substr(first, i, F.lit(1))))
-    s0 = F.aggregate(letters, F.lit(0.0), lambda acc, c: acc + g(count(first, c)))
-
-    def step(acc: Column, i: Column) -> Column:
-        shared = F.substr(candidate, i + 1, F.lit(width - 1))
-        out = count(shared, F.substr(candidate, i, F.lit(1)))
-        into = count(shared, F.substr(candidate, i + width, F.lit(1)))
-        s = acc["s"] - g(out + 1) + g(out) - g(into) + g(into + 1)
-        return F.struct(s.alias("s"), F.least(acc["least"], s).alias("least"))
-
-    moves = F.length(candidate) - width
-    steps = F.when(moves > 0, F.sequence(F.lit(1), moves)).otherwise(F.array().cast("array<int>"))
-    best = _let(
-        s0, lambda s: F.aggregate(steps, F.struct(s.alias("s"), s.alias("least")), step, lambda acc: acc["least"])
-    )
-    return F.round(F.lit(math.log2(width)) - best / width, 9)
+
+    def least(piece: Column) -> Column:
+        first = F.substring(piece, 1, width)
+        letters = F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.substr(first, i, F.lit(1))))
+        s0 = F.aggregate(letters, F.lit(0.0), lambda acc, c: acc + g(count(first, c)))
+
+        def step(acc: Column, i: Column) -> Column:
+            shared = F.substr(piece, i + 1, F.lit(width - 1))
+            out = count(shared, F.substr(piece, i, F.lit(1)))
+            into = count(shared, F.substr(piece, i + width, F.lit(1)))
+            s = acc["s"] - g(out + 1) + g(out) - g(into) + g(into + 1)
+            return F.struct(s.alias("s"), F.least(acc["least"], s).alias("least"))
+
+        moves = F.length(piece) - width
+        steps = F.when(moves > 0, F.sequence(F.lit(1), moves)).otherwise(F.array().cast("array<int>"))
+        return _let(
+            s0, lambda s: F.aggregate(steps, F.struct(s.alias("s"), s.alias("least")), step, lambda acc: acc["least"])
+        )
+
+    def longer(parts: Column) -> Column:
+        after = F.concat(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")))
+        return F.zip_with(parts, after, lambda one, two: F.concat(one, F.substring(two, 1, width - 1)))
+
+    cut = F.regexp_extract_all(candidate, F.lit(rf"(?s).{{1,{PIECE - width + 1}}}"), F.lit(0))
+    pieces = F.when(F.length(candidate) <= PIECE, F.array(candidate)).otherwise(_let(cut, longer))
+    whole = F.filter(pieces, lambda piece: F.length(piece) >= width)
+    return F.round(F.lit(math.log2(width)) - F.array_min(F.transform(whole, least)) / width, 9)
 
 
 def entropy_kind(candidate: Column) -> Column:
@@ -135,16 +161,15 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", into: str = "secret_sp
     for rank, (kind, pattern, group, least) in enumerate(BASE_KINDS):
         hits = located(F.col(raw), pattern)
         found.append(_spans(F.filter(hits, _measures(pattern, group, least)), rank, F.lit(kind)))
-    hits = F.filter(
-        F.transform(
-            located(F.col(raw), CANDIDATE),
-            lambda x: F.struct(x["start"].alias("start"), x["hit"].alias("hit"), entropy_kind(x["hit"]).alias("kind")),
-        ),
-        lambda x: x["kind"].isNotNull(),
+    judged = F.transform(
+        located(F.col(raw), CANDIDATE),
+        lambda x: F.struct(x["start"].alias("start"), x["hit"].alias("hit"), entropy_kind(x["hit"]).alias("kind")),
     )
+    hits = free_name(out, "hits_")
+    out = out.withColumn(hits, F.filter(judged, lambda x: x["kind"].isNotNull()))  # by itself: used for each kind
     for rank, kind in enumerate(KINDS[len(BASE_KINDS) :], len(BASE_KINDS)):
         found.append(_spans(F.filter(hits, _is(kind)), rank, F.lit(kind)))
-    return out.withColumn(into, F.sort_array(F.concat(*found))).drop(raw)
+    return out.withColumn(into, F.sort_array(F.concat(*found))).drop(raw, hits)
 
 
 def _measures(pattern: str, group: int, least: int):
@@ -174,19 +199,26 @@ def spans_text(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by a fixed mark; overlapping spans leave one mark."""
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substr(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        return F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(MASK))).otherwise(acc["out"]).alias("out"),
-        )
+    def joined(chunks: Column) -> Column:
+        def part(begin: Column, end: Column) -> Column:
+            first = F.floor(begin / CHUNK).cast("int")
+            some = F.slice(chunks, first + 1, F.floor((end - 1) / CHUNK).cast("int") - first + 1)
+            at = (begin - first * CHUNK + 1).cast("int")
+            return F.when(end > begin, F.substr(F.array_join(some, ""), at, (end - begin).cast("int"))).otherwise(F.lit(""))
 
-    whole = F.aggregate(
-        spans, begin, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int")))
-    )
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+        def pieces(upto: Column) -> Column:
+            gaps = F.zip_with(
+                spans, upto, lambda x, at: F.when(x["start"] >= at, F.concat(part(at, x["start"]), F.lit(MASK))).otherwise(F.lit(""))
+            )
+            end = F.array_max(F.transform(spans, lambda x: x["end"]))
+            return F.concat(F.array_join(gaps, ""), part(end, F.length(text).cast("long")))
+
+        ends = running(F.transform(spans, lambda x: x["end"]), lambda a, x: F.greatest(a, x), F.lit(0).cast("long"))
+        return _let(ends, pieces)
+
+    chunks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(chunks, joined)).otherwise(text)
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -236,15 +268,22 @@ def _digest_sql() -> str:
             f" WHERE length(regexp_extract(s.hit, '{_sql_pattern(pattern)}', {group})) >= {least}"
         )
     ctes.append(f"c AS (SELECT r, unnest({at(CANDIDATE)}) AS s FROM d)")
-    allowed = " OR ".join(f"regexp_matches(s.hit, '{p}')" for p in _SQL_ALLOW_LIST)
-    classes = " ".join(f"WHEN regexp_matches(s.hit, '{p}') THEN {i}" for i, (_, p, _) in enumerate(ENTROPY_CLASSES))
+    allowed = " OR ".join(f"regexp_matches(s.hit, '{p}')" for p in ALLOW_LIST)
+    ctes.append(
+        "w AS (SELECT r, s, array_to_string(list_filter(string_split_regex(s.hit, '[/_+-]'),"
+        f" lambda x: NOT regexp_matches(x, '^([a-z]+|[0-9]+)$')), '') AS rest FROM c WHERE NOT ({allowed}))"
+    )
+    fits = [f"regexp_matches(s.hit, '{p}')" for _, p, _ in ENTROPY_CLASSES]
+    lower = f"NOT regexp_matches(s.hit, '[A-Z]') AND length(rest) >= {LEAST_LEFT}"
+    fits += [f"{lower} AND regexp_matches(rest, '{p}')" for _, p, _ in LOWER_CLASSES]
+    classes = " ".join(f"WHEN {x} THEN {i}" for i, x in enumerate(fits))
     ctes.append(
         f"e AS (SELECT r, s, CASE {classes} END AS cls, list_max(list_transform(range(1, length(s.hit) - {WINDOW - 2}),"
-        f" lambda i: list_entropy(string_split(substr(s.hit, i, {WINDOW}), '')))) AS h FROM c WHERE NOT ({allowed}))"
+        f" lambda i: list_entropy(string_split(substr(s.hit, i, {WINDOW}), '')))) AS h FROM w)"
     )
-    for i, (kind, _, least) in enumerate(ENTROPY_CLASSES):
+    for i, (kind, _, least) in enumerate(ENTROPY_CLASSES + LOWER_CLASSES):
         parts.append(
-            f"SELECT r, s.start, {len(BASE_KINDS) + i}, s.start + length(s.hit), '{kind}' FROM e"
+            f"SELECT r, s.start, {KINDS.index(kind)}, s.start + length(s.hit), '{kind}' FROM e"
             f" WHERE cls = {i} AND round(h, 9) >= {least}"
         )
     ctes.append("a AS (" + " UNION ALL ".join(parts) + ")")

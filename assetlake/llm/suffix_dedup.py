@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetlake.llm.common import free_name, freeze, slices, spread, text_bytes
-from assetlake.llm.pretokens import mix, powers, prefix_hashes, range_hashes
+from assetlake.llm.pretokens import powers, prefix_hashes, range_hashes
+from assetlake.llm.words import mix
 
 LENGTH = 200
 GRAM = 64
@@ -26,6 +27,8 @@ GRAM = 64
 #: them are narrowed down by counting, in bins of so many windows.
 GROUP = 2048
 BINS = (16, 4, 1)
+#: Spans of small groups that a task sorts together.
+SPANS = 512
 _POSITION = np.uint64(31)
 
 
@@ -216,7 +219,7 @@ def resolve_groups(spans: DataFrame, length: int, gram: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(b.num_rows for b in held) < 4 * GROUP:
+            if sum(b.num_rows for b in held) < SPANS:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
             key = np.array(rows.column("gram").combine_chunks())

@@ -28,7 +28,8 @@ def write_token_files(docs: DataFrame, root: str, path: str, separator: int = SE
 
     The files hold nothing else. Returned, frozen: (file, ordinal, doc_id), the order of the texts
     in each file. A file appears under its name only when complete; a repeated task replaces it by
-    the same bytes. Null texts count as empty.
+    the same bytes. Null texts count as empty. An id that is the separator or takes more than two bytes
+    raises.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,6 +42,8 @@ def write_token_files(docs: DataFrame, root: str, path: str, separator: int = SE
         with fs.open_output_stream(part) as out:
             for piece in slices(batches, 1, 4 << 20):
                 ids, bounds = known.encode_texts(piece.column(1))
+                if len(ids) and (ids.max() > np.iinfo(DTYPE).max or (ids == separator).any()):
+                    raise ValueError(f"this vocabulary has ids above {np.iinfo(DTYPE).max} or the separator {separator} as an id")
                 out.write(np.insert(ids.astype(DTYPE), bounds[1:], separator).astype(DTYPE).tobytes())
                 n = piece.num_rows
                 yield pa.RecordBatch.from_arrays(

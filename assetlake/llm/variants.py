@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -318,7 +319,7 @@ def near_words(subtrees: DataFrame, group: np.ndarray) -> DataFrame:
                 rows = pa.Table.from_batches(held).combine_chunks()
                 key = rows.column("key").combine_chunks()
                 last = key[len(key) - 1]
-                whole = int(np.flatnonzero(np.array(pa.compute.equal(key, last)))[0])  # the last subtree may go on
+                whole = int(np.flatnonzero(np.array(pc.equal(key, last)))[0])  # the last subtree may go on
                 if whole:
                     yield from met(rows.slice(0, whole))
                 held = rows.slice(whole).combine_chunks().to_batches()
@@ -346,7 +347,7 @@ def near_words(subtrees: DataFrame, group: np.ndarray) -> DataFrame:
         i, j = np.concatenate([i, j]), np.concatenate([j, i])
         n = np.array(rows.column("n").combine_chunks())
         rank = np.empty(len(words), np.int64)
-        rank[np.array(pa.compute.sort_indices(words))] = np.arange(len(words))
+        rank[np.array(pc.sort_indices(words))] = np.arange(len(words))
         order = np.lexsort((rank[j], -n[j], i))
         i, j = i[order], j[order]
         first = np.flatnonzero(np.append(True, i[1:] != i[:-1]))

@@ -6,13 +6,22 @@ import hashlib
 
 import numpy as np
 
-from assetlake.llm.pretokens import mix
+from assetlake.llm.common import spread
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Longer runs are named one by one by a digest.
 _LONG = 256
 
 
+def mix(h: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit hashes."""
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    h = h ^ (h >> np.uint64(32))
+    h = h * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
 def lower_ascii(raw: np.ndarray) -> np.ndarray:
     """``raw`` with A to Z, and nothing else, in lower case."""
     return np.where((raw >= 65) & (raw <= 90), raw | 32, raw)
@@ -56,3 +65,11 @@ def names(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         digest = hashlib.blake2b(raw[start[i] : end[i]].tobytes(), digest_size=8).digest()
         out[i] = int.from_bytes(digest, "little")
     return out
+
+
+def alike(raw: np.ndarray, start: np.ndarray, length: np.ndarray, other: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether the bytes of ``raw`` from each start on are those of ``other`` from each place on."""
+    differ = raw[spread(start, length)] != other[spread(place, length)]
+    wrong = np.concatenate(([0], np.cumsum(differ)))
+    ends = np.cumsum(length)
+    return wrong[ends] == wrong[ends - length]

@@ -200,7 +200,7 @@ def test_packing_is_tight(spark, shape):
         "halves": [rng.choice([341, 342, 512, 513, 511, 683]) for _ in range(3000)],
         "one": [400] * 3000,
     }[shape]
-    rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+    rows = [(i, 0, 0, n, i, i) for i, n in enumerate(lengths)]
     got = packing.pack(spark.createDataFrame(rows, packing.PIECE_SCHEMA)).collect()
     assert len(got) == 3000
     room: list[int] = []
@@ -436,6 +436,7 @@ def test_near_vectors(spark, monkeypatch):
     rows += [(300 + i, rows[0][1], 0) for i in range(40)] + [(400, [x * 7 for x in rows[0][1]], 0)]
     rows += [(500, None, 1), (501, [0.0] * 6, 1), (502, [1.0, None, 0, 0, 0, 0], 1), (503, rows[0][1], None)]
     rows += [(504, [float("nan")] * 6, 0), (505, [1.0, 2.0], 0), (None, rows[0][1], 0), (506, [], 0)]
+    rows += [(600, [3.0, 1.0, 2.0], 0), (601, [6.0, 2.0, 4.0], 0), (602, [3.0, 1.0, 2.0], 1), (603, [3.0], 0), (604, [4.0], 0)]
     rows = [(i, None if v is None else [None if x is None else float(x) for x in v], k) for i, v, k in rows]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in grid_join.digest(df).collect()}
@@ -450,8 +451,10 @@ def test_near_vectors(spark, monkeypatch):
             break
     for i, js in links.items():
         assert got[i] == (len(js), root[i], root[i] == i), i
-    for i in [500, 501, 502, 503, 504, 505, 506, None]:
+    for i in [500, 501, 502, 503, 504, 505, 506, None, 602]:
         assert got[i] == (0, i, True)
+    # vectors of other lengths are joined among themselves
+    assert [got[i] for i in (600, 601, 603, 604)] == [(1, 600, True), (1, 600, False), (1, 603, True), (1, 603, False)]
     assert grid_join.digest(df.limit(0)).count() == 0
 
 

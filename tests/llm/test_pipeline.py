@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables"
 @pytest.mark.parametrize("name", sorted(llm.SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     df = llm.QUERIES[name](spark, DATA)
     found = con.execute(llm.SQL[name])
@@ -40,5 +40,5 @@ def test_stages(spark):
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in E.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in E.queries()}
     assert "pipeline" in E.queries() and E.entry is not None
