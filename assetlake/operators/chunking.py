@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from assetlake import schemas as S
 from assetlake.functions.names import asset_name
-from assetlake.operators.ordered import MAX_WINDOW_ROWS, largest_group, running
-from assetlake.session import run_dir
+from assetlake.operators.ordered import MAX_WINDOW_ROWS, largest_group, last_before, running
+from assetlake.session import cut
 
 GROUP = ["source", "tier", "category"]
 
@@ -83,24 +83,19 @@ def chunk_by_bytes(
     first chunk of a block was opened follows from the blocks before it; only that one number per
     block is passed on, so the rows of a large group are never together in one task.
     """
-    spark = sizes.sparkSession
     largest = largest_group(sizes, group)
     pos = running(sizes, group, ["id"], {"before": "length"}, None, block_rows, largest)
     pos = pos.withColumn("block", F.floor((F.col("rn") - 1) / block_rows).cast("int"))
-    key = [*group, "block"]
     entry = None if carry is None else _first_entries(carry, group)
     if largest > block_rows:
-        path = run_dir(spark, "chunks")
-        pos.write.partitionBy("block").parquet(path)
-        pos = spark.read.schema(pos.schema).parquet(path)
-        n_blocks = -(-largest // block_rows)
-        later = _later_entries(pos, entry, group, n_blocks, block_rows, max_bytes)
+        pos = cut(pos)
+        later = _later_entries(pos, entry, group, block_rows, max_bytes)
         entry = later if entry is None else entry.unionByName(later)
     if entry is None:
         fresh = F.lit(0).cast("long")
         pos = pos.withColumns({"open_at": fresh, "closed": fresh})
     else:
-        pos = pos.join(entry, key, "left").fillna(0, ["open_at", "closed"])
+        pos = pos.join(entry, [*group, "block"], "left").fillna(0, ["open_at", "closed"])
 
     schema = StructType([*sizes.schema.fields, StructField("chunk", IntegerType())])
     cols = sizes.columns
@@ -114,7 +109,7 @@ def chunk_by_bytes(
             [*cols, "chunk"]
         ]
 
-    return pos.groupBy(*key).applyInPandas(assign, schema)
+    return pos.groupBy(*group, "block").applyInPandas(assign, schema)
 
 
 def _first_entries(carry: DataFrame, group: list[str]) -> DataFrame:
@@ -127,82 +122,78 @@ def _first_entries(carry: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _later_entries(
-    pos: DataFrame,
-    first_entry: DataFrame | None,
-    group: list[str],
-    n_blocks: int,
-    block_rows: int,
-    max_bytes: int,
-) -> DataFrame:
-    """(group, block, open_at, closed) for every block after the first of the large groups.
+def _exits(rows: DataFrame, group: list[str], max_bytes: int) -> DataFrame:
+    """(group, ends, rn, leave_at, closes): how a chunk that is closed by a row would leave the row's block.
 
-    First all blocks find, in parallel, how a chunk that starts at each of their rows would leave
-    them. Then one small look-up per block follows the real chunk from block to block.
+    ``leave_at`` is the byte at which the chunk that is open at the end of the block began, ``closes``
+    the number of chunks closed in it from that row on, the row's own included.
     """
-    spark = pos.sparkSession
-    large = pos.filter(F.col("n") > block_rows)
-    keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in large.select(group).schema)
+    keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(group).schema)
 
     def leave(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rn")
         ends = (pdf["before"] + pdf["length"]).to_numpy()
-        rows = len(ends)
+        n = len(ends)
         # State "a chunk starts right after row i": follow it by repeated doubling to the block end.
-        nxt = np.minimum(_next_start(ends, ends, max_bytes), rows + 1) - 1
-        done = nxt >= rows
-        hop = np.where(done, np.arange(rows), nxt)
+        nxt = np.minimum(_next_start(ends, ends, max_bytes), n + 1) - 1
+        done = nxt >= n
+        hop = np.where(done, np.arange(n), nxt)
         closed = (~done).astype(np.int64)
         while True:
             further = closed[hop]
             if not further.any():
                 break
             closed, hop = closed + further, hop[hop]
-        out = pdf[group].copy()
-        out["ends"] = ends
-        out["leave_at"] = ends[hop]
-        out["closes"] = closed + 1
-        return out
-
-    table_path = run_dir(spark, "chunk-exits")
-    (
-        large.groupBy(*group, "block")
-        .applyInPandas(
-            lambda key, pdf: leave(pdf).assign(block=key[-1]),
-            f"{keys}, ends bigint, leave_at bigint, closes bigint, block int",
-        )
-        .write.partitionBy("block")
-        .parquet(table_path)
-    )
-    table = spark.read.parquet(table_path)
-    state_schema = f"{keys}, open_at bigint, closed bigint"
+        return pdf[[*group, "rn"]].assign(ends=ends, leave_at=ends[hop], closes=closed + 1)
+
+    return rows.groupBy(*group, "block").applyInPandas(leave, f"{keys}, rn bigint, ends bigint, leave_at bigint, closes bigint")
+
+
+def _later_entries(
+    pos: DataFrame, first_entry: DataFrame | None, group: list[str], block_rows: int, max_bytes: int
+) -> DataFrame:
+    """(group, block, open_at, closed) for every block after the first of the large groups.
+
+    A place at which a block can be left points to the place at which the block is left that closes the
+    open chunk: one table of pointers, doubled by joins until none is left. The places on the real way
+    are found from the longest pointers down, each halving what is still unknown, and every block
+    takes the last of them before it. Nothing passes through the driver but the test for the end.
+    """
+    large = pos.filter(F.col("n") > block_rows)
+    exits = cut(_exits(large, group, max_bytes))
+    fresh = F.lit(0).cast("long")
     begin = large.select(*group).distinct()
     if first_entry is None:
-        fresh = F.lit(0).cast("long")
         begin = begin.withColumns({"open_at": fresh, "closed": fresh})
     else:
-        begin = begin.join(first_entry.drop("block"), group, "left").fillna(0)
-    state = begin.collect()  # one row per large group, of which there are few
-    entries = []
-    for block in range(n_blocks - 1):
-        now = spark.createDataFrame(state, state_schema)
-        crossed = F.col("ends") >= F.col("open_at") + max_bytes
-        first = F.min_by(F.struct("leave_at", "closes"), F.when(crossed, F.col("ends")))
-        rows = (
-            table.filter(F.col("block") == block)
-            .join(F.broadcast(now), group)
-            .groupBy(*group, "open_at", "closed")
-            .agg(F.when(F.max(crossed), first).alias("x"))
-            .select(
-                *group,
-                F.coalesce("x.leave_at", "open_at").alias("open_at"),
-                (F.col("closed") + F.coalesce("x.closes", F.lit(0))).alias("closed"),
-            )
-            .collect()
+        begin = begin.join(first_entry.drop("block"), group, "left").fillna(0, ["open_at", "closed"])
+    begin = cut(begin)
+
+    def onward(places: DataFrame) -> DataFrame:
+        """``places`` (group, place, …) with the place after it and the chunks closed on the way, if any."""
+        wanted = places.withColumn("_at", -(F.col("place") + max_bytes))  # from the end backwards
+        bounds = exits.select(*group, (-F.col("ends")).alias("_at"), (-F.col("rn")).alias("_first"), "leave_at", "closes")
+        found = last_before(wanted, bounds, group, "_at", ["_first", "leave_at", "closes"], block_rows)
+        return found.filter("leave_at IS NOT NULL").drop("_at", "_first")
+
+    steps = [cut(onward(exits.select(*group, F.col("leave_at").alias("place")).distinct()))]
+    while not steps[-1].isEmpty():
+        one = steps[-1]
+        two = one.select(*group, F.col("place").alias("leave_at"), F.col("leave_at").alias("_at"), F.col("closes").alias("_more"))
+        far = one.join(two, [*group, "leave_at"])
+        steps.append(cut(far.select(*group, "place", F.col("_at").alias("leave_at"), (F.col("closes") + F.col("_more")).alias("closes"))))
+    way = onward(begin.withColumnRenamed("open_at", "place"))
+    way = way.select(*group, F.col("leave_at").alias("place"), (F.col("closed") + F.col("closes")).alias("closed"))
+    for step in reversed(steps):
+        way = cut(way)
+        further = way.join(step, [*group, "place"])
+        way = way.unionByName(
+            further.select(*group, F.col("leave_at").alias("place"), (F.col("closed") + F.col("closes")).alias("closed"))
         )
-        state = rows
-        entries += [(*r[:-2], block + 1, r["open_at"], r["closed"]) for r in rows]
-    return spark.createDataFrame(entries, f"{keys}, block int, open_at bigint, closed bigint")
+    blocks = large.filter("block > 0").groupBy(*group, "block").agg(F.min("before").alias("_at"))
+    ways = way.select(*group, F.col("place").alias("_at"), F.col("place").alias("open_at"), "closed")
+    ways = ways.unionByName(begin.select(*group, F.least("open_at", fresh).alias("_at"), "open_at", "closed"))
+    return last_before(blocks, ways, group, "_at", ["open_at", "closed"], block_rows).drop("_at")
 
 
 def alpha_ranges(

@@ -97,3 +97,21 @@ def _by_ranges(df, group, order, sums, maxes) -> DataFrame:
     for name in sums:
         out += [name, f"{name}_total"]
     return joined.withColumns(cols).select(*out, *maxes)
+
+
+def last_before(
+    rows: DataFrame, bounds: DataFrame, group: list[str], at: str, columns: list[str],
+    max_window_rows: int = MAX_WINDOW_ROWS,
+) -> DataFrame:
+    """``rows`` with ``columns`` of the last of ``bounds`` in its group whose ``at`` is not larger, else null.
+
+    Of bounds at the same place the one with the largest columns counts. Rows and bounds are sorted
+    together and the last bound is carried forward, so neither side is broadcast and no row meets more than
+    one bound; groups of any size are cut into ranges.
+    """
+    bound = F.struct(F.col(at).alias("_at"), *columns).alias("_bound")
+    both = rows.withColumn("_side", F.lit(1)).unionByName(
+        bounds.select(*group, at, F.lit(0).alias("_side"), bound), allowMissingColumns=True
+    )
+    out = running(both, group, [at, "_side"], maxes={"_last": "_bound"}, max_window_rows=max_window_rows)
+    return out.filter("_side = 1").select(*rows.columns, *[F.col(f"_last.{c}").alias(c) for c in columns])

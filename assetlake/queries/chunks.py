@@ -65,6 +65,29 @@ def chunk_by_bytes(spark, d):
     return C.chunk_by_bytes(p, max_bytes=500)
 
 
+BLOCKS_SQL = """
+  WITH RECURSIVE pos AS (SELECT c_mktsegment AS category, CAST(c_custkey AS VARCHAR) AS id,
+      CAST(round(abs(c_acctbal)) AS BIGINT) AS length,
+      row_number() OVER (PARTITION BY c_mktsegment ORDER BY CAST(c_custkey AS VARCHAR)) AS rn FROM customer),
+  walk AS (
+    SELECT category, id, length, rn, 1 AS chunk, length AS used FROM pos WHERE rn = 1
+    UNION ALL
+    SELECT p.category, p.id, p.length, p.rn, w.chunk + CASE WHEN w.used >= 25000 THEN 1 ELSE 0 END,
+      CASE WHEN w.used >= 25000 THEN 0 ELSE w.used END + p.length
+    FROM walk w JOIN pos p ON p.category = w.category AND p.rn = w.rn + 1)
+  SELECT 'src' AS source, '1k' AS tier, category, id, length, chunk FROM walk"""
+
+
+@query("chunk_by_bytes_blocks", BLOCKS_SQL)
+def chunk_by_bytes_blocks(spark, d):
+    """Few large groups, each cut into many blocks of ten rows that pass on where their chunks began."""
+    c = table(spark, d, "customer").select(
+        F.lit("src").alias("source"), F.lit("1k").alias("tier"), F.col("c_mktsegment").alias("category"),
+        F.col("c_custkey").cast("string").alias("id"), F.round(F.abs("c_acctbal")).cast("long").alias("length"),
+    )
+    return C.chunk_by_bytes(c, max_bytes=25_000, block_rows=10)
+
+
 @query(
     "chunk_bounds",
     f"""

@@ -112,3 +112,27 @@ def test_payload_offsets(spark):
     assert sorted((r["parquet_file"], r["id"], r["channel_no"], r["offset"]) for r in got) == [
         ("f", "a", 0, 0), ("f", "a", 1, 5), ("f", "b", 0, 12), ("g", "a", 0, 0),
     ]
+
+
+@pytest.mark.parametrize("window", [10**6, 6])
+def test_last_before(spark, window):
+    from assetlake.operators.ordered import last_before
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice("xxxy"), rnd.randint(0, 60), i) for i in range(120)]
+    bounds = [(rnd.choice("xxxz"), rnd.randint(0, 60), f"b{i:02d}") for i in range(30)]
+    got = last_before(
+        spark.createDataFrame(rows, "g string, at int, i int"), spark.createDataFrame(bounds, "g string, at int, b string"),
+        ["g"], "at", ["b"], window,
+    )
+    want = {i: max(((a, b) for h, a, b in bounds if h == g and a <= at), default=(0, None))[1] for g, at, i in rows}
+    assert {r["i"]: r["b"] for r in got.collect()} == want and got.columns == ["g", "at", "i", "b"]
+
+
+def test_blocks_with_zero_lengths_and_chunks_over_many_blocks(spark):
+    rnd = random.Random(4)
+    rows = [("s", "1k", "other" if i % 9 else "wood", f"m{i:05d}", rnd.choice([0, 0, 1, 40])) for i in range(300)]
+    df = spark.createDataFrame(rows, "source string, tier string, category string, id string, length bigint")
+    for block, max_bytes in ((3, 40), (4, 1000), (5, 1)):
+        got = C.chunk_by_bytes(df, max_bytes=max_bytes, block_rows=block).collect()
+        assert {r["id"]: r["chunk"] for r in got} == greedy(rows, max_bytes)
