@@ -160,7 +160,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", into: str = "ids"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = store(path)
         last = len(rows_columns) - 1
-        for part in slices(batches, last):
+        for part in slices(batches, last, 1 << 19):
             ids, bounds = known.encode_texts(part.column(last))
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*part.columns[:last], lists], [*rows_columns[:last], into])

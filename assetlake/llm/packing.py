@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,27 +26,29 @@ PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32
 
 
 @functools.lru_cache(maxsize=2)
-def special(path: str) -> tuple[Callable[[str], list[int]], list[bytes]]:
-    """(ids of a whole text, the strings that the library takes as special tokens wherever they stand)."""
+def tokenizer_of(path: str):
+    """The tokenizer of a file, loaded once by a worker."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    strings = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, strings
+    return Tokenizer.from_file(path)
+
+
+@functools.lru_cache(maxsize=2)
+def special_strings(path: str) -> list[bytes]:
+    """The strings that the library takes as special tokens wherever they stand in a text."""
+    return [t.content.encode() for t in tokenizer_of(path).get_added_tokens_decoder().values()]
 
 
 @functools.lru_cache(maxsize=2)
 def store(path: str) -> Store:
     """Ids by the tokenizers library, asked once for each pre-token a worker does not know."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = tokenizer_of(path)
 
     def encode(pretokens: list[bytes], _hashes: np.ndarray) -> list[list[int]]:
         texts = [p.decode() for p in pretokens]
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Store(encode)
+    return Store(encode, 300_000)
 
 
 def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -60,9 +62,9 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, end_id: int = END_I
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = store(path)
-        whole, strings = special(path)
+        whole, strings = tokenizer_of(path), special_strings(path)
         at = TaskContext.get().partitionId() << 40  # rows of the table of pieces are numbered
-        for part in slices(batches, 1, 2 << 20):
+        for part in slices(batches, 1, 1 << 19):
             ids, bounds = known.encode_texts(part.column(1))
             offsets, raw = text_bytes(part.column(1))
             data = raw.tobytes()
@@ -70,7 +72,7 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, end_id: int = END_I
             marked = set((np.searchsorted(offsets, hits, "right") - 1).tolist())
             rows = []
             for i, (doc, a, b) in enumerate(zip(part.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-                own = whole(part.column(1)[i].as_py()) if i in marked else ids[a:b]
+                own = ids[a:b] if i not in marked else whole.encode(part.column(1)[i].as_py(), add_special_tokens=False).ids
                 own = np.append(own, end_id).astype("<u4")
                 first = len(own) % most or most
                 cuts = [0, *range(first, len(own) + 1, most)] if len(own) > most else [0, len(own)]

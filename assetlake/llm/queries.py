@@ -21,8 +21,7 @@ from assetlake.llm import (
     variants,
     warc_zip,
 )
-from assetlake.llm.common import table
-from assetlake.session import ship_package
+from assetlake.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,7 +30,7 @@ SQL: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

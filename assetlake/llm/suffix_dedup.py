@@ -223,12 +223,21 @@ def resolve_groups(spans: DataFrame, length: int, gram: int) -> DataFrame:
                 continue
             rows = pa.Table.from_batches(held).combine_chunks()
             key = np.array(rows.column("gram").combine_chunks())
-            cut = int(np.flatnonzero(key == key[-1])[0])
-            if cut:
-                yield from resolved(rows.slice(0, cut))
-                held = rows.slice(cut).combine_chunks().to_batches()
+            cut = int(np.flatnonzero(key == key[-1])[0])  # the last group may go on
+            yield from portions(rows.slice(0, cut), key[:cut])
+            held = rows.slice(cut).combine_chunks().to_batches()
         if held:
-            yield from resolved(pa.Table.from_batches(held))
+            rows = pa.Table.from_batches(held)
+            yield from portions(rows, np.array(rows.column("gram").combine_chunks()))
+
+    def portions(rows: pa.Table, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Whole groups, as many together as have ``SPANS`` spans."""
+        ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, len(key))
+        at = 0
+        while at < len(key):
+            to = int(ends[max(np.searchsorted(ends, at + SPANS, "right") - 1, np.searchsorted(ends, at, "right"))])
+            yield from resolved(rows.slice(at, to - at))
+            at = to
 
     def resolved(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = rows.combine_chunks()

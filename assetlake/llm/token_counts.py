@@ -40,7 +40,7 @@ def write_token_files(docs: DataFrame, root: str, path: str, separator: int = SE
         part = f"{inner}/_{name}.{uuid.uuid4().hex}"
         at = 0
         with fs.open_output_stream(part) as out:
-            for piece in slices(batches, 1, 4 << 20):
+            for piece in slices(batches, 1, 1 << 19):
                 ids, bounds = known.encode_texts(piece.column(1))
                 if len(ids) and (ids.max() > np.iinfo(DTYPE).max or (ids == separator).any()):
                     raise ValueError(f"this vocabulary has ids above {np.iinfo(DTYPE).max} or the separator {separator} as an id")
