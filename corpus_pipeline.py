@@ -7,28 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assetlake.llm import packing, probminhash, quality_classifier, secret_scan, suffix_dedup
-from assetlake.llm.common import freeze, table
+from assetlake.llm.common import freeze, prepare, table
 from assetlake.llm.queries import vocabulary
-from assetlake.session import ship_package
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, does not reject."""
-    ship_package(spark)
+    prepare(spark)
     return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    ship_package(spark)
+    prepare(spark)
     return probminhash.keep_one(docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 200 bytes or more that also stand elsewhere."""
-    ship_package(spark)
+    prepare(spark)
     return suffix_dedup.without_repeats(docs)
 
 
@@ -39,7 +38,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the tokenised documents with their places in sequences."""
-    ship_package(spark)
+    prepare(spark)
     return packing.digest(docs, vocabulary("byte_bpe_50k.json"))
 
 
