@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -211,12 +212,16 @@ def rotating_sink(
 ) -> StreamingQuery:
     """Append rows (group, id, length, …) to numbered chunks, rotated as they fill up.
 
-    A chunk is closed after the row that fills it. The open chunk of each group, its bytes and the
-    batch it began in are kept next to the data, one state table per batch, so a repeated batch
-    starts from the same state. Rows lie below ``<path>/rows/batch=<n>``, the state below
-    ``<path>/state/batch=<n>``. With ``seal`` the rows are textures (channel, payload), and a batch
-    that closes chunks writes their bundles below ``<path>/bundles/batch=<n>`` and the ranges in
-    them below ``<path>/rowmap/batch=<n>``; ``seal_open`` does so for the chunks still open.
+    A chunk is closed after the row that fills it. The open chunk of each group and its bytes are kept
+    next to the data, one state table per batch, so a repeated batch starts from the same state. A
+    material that is met again while its chunk is open goes to that chunk; once it is closed, to the
+    chunk that is open then, as a further row of which the last one counts.
+
+    Rows lie below ``<path>/rows/batch=<n>`` in files that hold one chunk of one group each, the state
+    below ``<path>/state/batch=<n>``, the files of all open chunks below ``<path>/open/batch=<n>``. With
+    ``seal`` the rows are textures (channel, payload), and a batch that closes chunks writes their
+    bundles below ``<path>/bundles/batch=<n>`` and the ranges in them below ``<path>/rowmap/batch=<n>``;
+    it reads the files of those chunks and no others. ``seal_open`` does so for the chunks still open.
     """
     spark = stream.sparkSession
 
@@ -225,43 +230,50 @@ def rotating_sink(
         before = f"{path}/state/batch={batch_id - 1}"
         if batch_id and not exists(before):
             raise RuntimeError(f"{before} is missing: chunk numbers would start again")
-        carry = spark.read.parquet(before) if batch_id else spark.createDataFrame([], _state_schema(batch, group))
+        if batch_id:
+            carry = spark.read.parquet(before)
+            still = spark.read.parquet(f"{path}/open/batch={batch_id - 1}")
+        else:
+            own = StructType([batch.schema[g] for g in group]).add("chunk", "integer")
+            carry = spark.createDataFrame([], own.add("open_bytes", "long"))
+            still = spark.createDataFrame([], StructType(own.fields[:-1]).add("file", "string"))
         sizes = batch.groupBy(*group, "id").agg(F.sum("length").alias("length"))
-        chunks = chunk_by_bytes(sizes, group, max_bytes, carry=carry if batch_id else None)
+        met = _open_materials(spark, path, still, batch, group)
+        known = sizes.join(met, [*group, "id"])
+        more = known.groupBy(*group).agg(F.sum("length").alias("_more"))
+        begin = carry.join(more, group, "left").select(
+            *group, "chunk", (F.col("open_bytes") + F.coalesce("_more", F.lit(0))).alias("open_bytes")
+        )
+        fresh = sizes.join(met, [*group, "id"], "left_anti")
+        chunks = chunk_by_bytes(fresh, group, max_bytes, carry=begin if batch_id else None)
+        places = chunks.select(*group, "id", "chunk").unionByName(known.select(*group, "id", "chunk"))
         rows = f"{path}/rows/batch={batch_id}"
-        batch.join(chunks.select(*group, "id", "chunk"), [*group, "id"]).write.mode(
-            "overwrite"
-        ).parquet(rows)
+        batch.join(places, [*group, "id"]).write.mode("overwrite").partitionBy(*group, "chunk").parquet(rows)
         batch.unpersist()
-        used = spark.read.parquet(rows).groupBy(*group, "chunk").agg(
+        written = spark.read.schema(_row_schema(batch, group)).parquet(rows)
+        used = written.groupBy(*group, "chunk", F.col("_metadata.file_path").alias("file")).agg(
             F.sum("length").alias("length")
         )
-        used = used.unionByName(carry.select(*group, "chunk", F.col("open_bytes").alias("length")))
-        per_chunk = used.groupBy(*group, "chunk").agg(F.sum("length").alias("length"))
+        used = keep(used, "chunk-files")
+        files = still.unionByName(used.select(*group, "chunk", "file"))
+        per_chunk = used.select(*group, "chunk", "length").unionByName(
+            carry.select(*group, "chunk", F.col("open_bytes").alias("length"))
+        ).groupBy(*group, "chunk").agg(F.sum("length").alias("length"))
         top = per_chunk.groupBy(*group).agg(
             F.max("chunk").alias("c"), F.max_by("length", "chunk").alias("b")
         )
         full = F.col("b") >= max_bytes
-        now = top.select(
+        state = top.select(
             *group,
             F.when(full, F.col("c") + 1).otherwise(F.col("c")).alias("chunk"),
             F.when(full, F.lit(0)).otherwise(F.col("b")).cast("long").alias("open_bytes"),
         )
-        known = carry.select(*group, F.col("chunk").alias("_chunk"), F.col("since").alias("_since"))
-        state = now.join(known, group, "left").select(
-            *group, "chunk", "open_bytes",
-            F.when(F.col("chunk") == F.col("_chunk"), F.col("_since"))
-            .otherwise(F.lit(batch_id).cast("long")).alias("since"),
-            F.coalesce("_chunk", F.lit(1)).cast("int").alias("opened"),
-            F.coalesce("_since", F.lit(batch_id)).cast("long").alias("opened_in"),
-        )
         state.write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        now = spark.read.parquet(f"{path}/state/batch={batch_id}").select(*group, F.col("chunk").alias("_open"))
+        files = files.join(now, group).select(*files.columns, (F.col("chunk") < F.col("_open")).alias("_closed"))
+        files.filter("NOT _closed").drop("_closed").write.mode("overwrite").parquet(f"{path}/open/batch={batch_id}")
         if seal is not None:
-            state = spark.read.parquet(f"{path}/state/batch={batch_id}").filter("opened < chunk")
-            closed = state.select(
-                *group, F.explode(F.sequence("opened", (F.col("chunk") - 1).cast("int"))).alias("chunk"), "opened_in"
-            )
-            _seal(spark, path, closed, batch_id, batch_id, seal)
+            _seal(spark, path, files.filter("_closed").drop("_closed"), batch, batch_id, seal)
 
     return (
         stream.writeStream.foreachBatch(run)
@@ -271,9 +283,25 @@ def rotating_sink(
     )
 
 
-def _state_schema(batch: DataFrame, group: list[str]) -> StructType:
-    own = StructType([batch.schema[g] for g in group])
-    return own.add("chunk", "integer").add("open_bytes", "long").add("since", "long")
+def _row_schema(batch: DataFrame, group: list[str]) -> StructType:
+    """Schema of written rows; the columns in the folder names keep their types."""
+    rest = [f for f in batch.schema.fields if f.name not in group]
+    return StructType([*rest, *[batch.schema[g] for g in group]]).add("chunk", "integer")
+
+
+def chunk_rows(spark: SparkSession, path: str, files: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of the chunks whose ``files`` (file) are given: these files and no others are read."""
+    paths = [unquote(r["file"]) for r in files.select("file").collect()]  # one per chunk, batch and writing task
+    reader = spark.read.schema(schema)
+    return reader.option("basePath", f"{path}/rows").parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def _open_materials(
+    spark: SparkSession, path: str, still: DataFrame, batch: DataFrame, group: list[str]
+) -> DataFrame:
+    """(group, id, chunk) of the materials in open chunks of the groups that ``batch`` has rows of."""
+    files = still.join(batch.select(*group).distinct(), group)
+    return chunk_rows(spark, path, files, _row_schema(batch, group)).select(*group, "id", "chunk").distinct()
 
 
 ROWMAP_ROWS = (
@@ -283,20 +311,17 @@ ROWMAP_ROWS = (
 
 
 def _seal(
-    spark: SparkSession, path: str, closed: DataFrame, last: int, batch_id: int, seal: Seal
+    spark: SparkSession, path: str, files: DataFrame, batch: DataFrame, batch_id: int, seal: Seal
 ) -> None:
-    """Write the bundles and the rowmap of the chunks ``closed`` (group, chunk, opened_in).
-
-    Their rows lie in the batches from the one the oldest of them began in up to ``last``.
-    """
-    first = closed.agg(F.min("opened_in")).first()[0]
+    """Write the bundles and the rowmap of the chunks whose ``files`` (group, chunk, file) are given."""
+    closed = files.select(*GROUP, "chunk").distinct()
     rowmap = f"{path}/rowmap/batch={batch_id}"
-    if first is None:
+    if closed.isEmpty():
         spark.createDataFrame([], ROWMAP_ROWS).write.mode("overwrite").parquet(rowmap)
         return
-    files = bundle_files(closed.withColumn("numbered", F.lit(True)), seal.prefix, first_unnumbered=True)
-    bundles = keep(numbered(files).select(*GROUP, "chunk", "parquet_file", "bundle_no"), "bundles")
-    rows = spark.read.parquet(*[f"{path}/rows/batch={i}" for i in range(first, last + 1)])
+    named = bundle_files(closed.withColumn("numbered", F.lit(True)), seal.prefix, first_unnumbered=True)
+    bundles = keep(numbered(named).select(*GROUP, "chunk", "parquet_file", "bundle_no"), "bundles")
+    rows = chunk_rows(spark, path, files, _row_schema(batch, GROUP))
     placed = rows.join(bundles, [*GROUP, "chunk"])
     null = F.lit(None).cast("string")
     write_rows(
@@ -312,11 +337,9 @@ def seal_open(spark: SparkSession, path: str, seal: Seal) -> None:
 
     They take the place of the next batch: should the stream go on, that batch replaces them.
     """
-    states = spark.read.parquet(f"{path}/state")
-    last = states.agg(F.max("batch")).first()[0]
-    state = states.filter((F.col("batch") == last) & (F.col("open_bytes") > 0))
-    still = state.select(*GROUP, "chunk", F.col("since").alias("opened_in"))
-    _seal(spark, path, still, last, last + 1, seal)
+    last = spark.read.parquet(f"{path}/state").agg(F.max("batch")).first()[0]
+    files = spark.read.parquet(f"{path}/open/batch={last}")
+    _seal(spark, path, files, spark.read.parquet(f"{path}/rows/batch={last}").drop("chunk"), last + 1, seal)
 
 
 def sealed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -92,6 +92,49 @@ def test_rotating_sink_seals_its_chunks(spark, tmp_path):
     assert files.count() > 3
 
 
+def test_a_close_reads_its_chunk_only(spark, tmp_path, monkeypatch):
+    from assetlake import schemas as S
+    from assetlake.sources.bundles import fetch_ranges
+
+    schema = "source string, tier string, category string, id string, channel string, payload binary, length bigint"
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    seal, reads, want = J.Seal("2026-04-18T00:00:00+00:00"), [], {}
+    read = J.chunk_rows
+
+    def noted(*args):
+        df = read(*args)
+        reads.append(df)
+        return df
+
+    monkeypatch.setattr(J, "chunk_rows", noted)
+
+    def push(category, ids, channel, size):
+        rows = []
+        for i in ids:
+            payload = S.PNG_MAGIC + bytes([len(want) % 256]) * size
+            rows.append(("s", "1k", category, i, channel, payload, len(payload)))
+            want[i, channel] = payload
+        land(spark, rows, schema, landing)
+        reads.clear()
+        J.rotating_sink(stream(spark, landing, schema), out, mark, 400, seal=seal).awaitTermination()
+
+    push("metal", ["a", "b"], "color", 90)  # 198 bytes, stays open
+    push("other", ["big0", "big1"], "color", 150)  # 318 bytes of another group, open too
+    push("metal", ["b", "c"], "normal", 20)  # b is met again while its chunk is open
+    push("metal", ["d"], "color", 200)  # fills the chunk of metal
+    files = [f for df in reads for f in df.inputFiles()]
+    assert files and all("category=metal" in f for f in files)
+    assert sum(r["length"] for r in reads[-1].collect()) == sum(len(v) for (i, _), v in want.items() if "big" not in i)
+    rows = spark.read.parquet(f"{out}/rows")
+    assert {(r["id"], r["chunk"]) for r in rows.collect()} == {(i, 1) for i, _ in want}
+    push("metal", ["b"], "ao", 30)  # its chunk is closed: a further row in the open one
+    assert {r["chunk"] for r in spark.read.parquet(f"{out}/rows").filter("id = 'b'").collect()} == {1, 2}
+    J.seal_open(spark, out, seal)
+    rowmap, files = J.sealed(spark, out)
+    got = {(r["id"], r["channel"]): bytes(r["payload"]) for r in fetch_ranges(rowmap, rowmap, files).collect()}
+    assert got == want
+
+
 def test_rotating_sink_needs_the_state_before(spark, tmp_path):
     landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     for b in range(2):
