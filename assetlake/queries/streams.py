@@ -21,6 +21,8 @@ from assetlake.queries.registry import (
 from assetlake.session import run_dir
 from assetlake.sources.bundles import fetch_ranges
 from assetlake.streaming import jobs as J
+from assetlake.streaming import watch as W
+from assetlake.streaming.dedupe import dedupe_to_table
 
 LANGS = ["de", "en", "es", "fr"]
 
@@ -98,23 +100,67 @@ SIGHTINGS_SQL = " UNION ALL ".join(
 )
 
 
+# Four listings a day apart: materials come and go, their digests change, one source is silent for two.
+LISTINGS_SQL = f"""
+  SELECT source, id, k AS snapshot, TIMESTAMP '2026-04-18' + k * INTERVAL 1 DAY AS ts,
+    md5(digest || ((CAST(id AS BIGINT) % 7 + k) // 3)) AS digest
+  FROM ({SIGHTINGS_SQL}), (SELECT unnest([1, 2, 3, 4])::BIGINT AS k)
+  WHERE snapshot = 1 AND (k IN (1, 4) OR source <> 'gpuopen') AND (CAST(id AS BIGINT) + k) % 5 <> 0"""
+
+
+def listings(spark, d):
+    first = sightings(spark, d).filter("snapshot = 1").drop("snapshot")
+    n = F.col("id").cast("long")
+    rows = first.withColumn("snapshot", F.explode(F.sequence(F.lit(1), F.lit(4)))).filter(
+        (F.col("snapshot").isin(1, 4) | (F.col("source") != "gpuopen")) & ((n + F.col("snapshot")) % 5 != 0)
+    )
+    turn = F.floor((n % 7 + F.col("snapshot")) / 3).cast("string")
+    return rows.select(
+        "source", "id", F.col("snapshot").cast("long").alias("snapshot"),
+        F.timestamp_add("DAY", "snapshot", F.lit("2026-04-18").cast("timestamp")).alias("ts"),
+        F.md5(F.concat("digest", turn)).alias("digest"),
+    )
+
+
+def landed_one_by_one(spark, rows, stream, out):
+    """Results of ``stream`` over the listings, each of which lands after the one before is done."""
+    landing, mark = run_dir(spark, "landing"), run_dir(spark, "mark")
+    for no in range(1, 5):
+        rows.filter(F.col("snapshot") == no).write.mode("append").parquet(landing)
+        listing = J.file_stream(spark, landing, rows.schema, max_files=1000)
+        J.to_table(stream(listing), out, mark).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 @query(
     "watch_stream",
     f"""
-    SELECT source, id, snapshot, digest, CASE WHEN last IS NULL THEN 'new' WHEN last = digest
-      THEN 'unchanged' ELSE 'changed' END AS change
-    FROM (SELECT *, lag(digest) OVER (PARTITION BY source, id ORDER BY snapshot) AS last
-      FROM ({SIGHTINGS_SQL}))""",
+    SELECT source, id, snapshot, digest, CASE WHEN last IS NULL OR ts - seen > INTERVAL 60 HOUR THEN 'new'
+      WHEN last = digest THEN 'unchanged' ELSE 'changed' END AS change
+    FROM (SELECT *, lag(digest) OVER w AS last, lag(ts) OVER w AS seen
+      FROM ({LISTINGS_SQL}) WINDOW w AS (PARTITION BY source, id ORDER BY snapshot))""",
     "diff",
 )
 def watch_stream(spark, d):
-    rows = sightings(spark, d)
-    landing, out, mark = (run_dir(spark, n) for n in ("landing", "watch", "mark"))
-    for no in (1, 2):
-        rows.filter(F.col("snapshot") == no).write.mode("append").parquet(landing)
-        listing = J.file_stream(spark, landing, rows.schema, max_files=1000)
-        J.to_table(J.watch_stream(listing), out, mark).awaitTermination()
-    return spark.read.parquet(out).drop("batch")
+    """Four batches; what was not met for 60 hours is forgotten, so a source that was silent is new again."""
+    return landed_one_by_one(spark, listings(spark, d), lambda s: W.watch_stream(s, 60 * 3600 * 1000), run_dir(spark, "watch"))
+
+
+@query(
+    "source_status",
+    f"""
+    WITH t AS (SELECT DISTINCT source, ts FROM ({LISTINGS_SQL})),
+    g AS (SELECT source, ts, lag(ts) OVER (PARTITION BY source ORDER BY ts) AS last FROM t)
+    SELECT source, 'up' AS status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM g
+    WHERE last IS NULL OR ts - last > INTERVAL 36 HOUR
+    UNION ALL SELECT source, 'down', strftime(last + INTERVAL 36 HOUR, '%Y-%m-%d %H:%M:%S') FROM g
+    WHERE ts - last > INTERVAL 36 HOUR""",
+    "diff",
+)
+def source_status(spark, d):
+    """One source is silent for two of four listings: a timer reports it as down, and it comes back."""
+    out = landed_one_by_one(spark, listings(spark, d), lambda s: W.source_status(s, 36 * 3600 * 1000), run_dir(spark, "status"))
+    return out.select("source", "status", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 @query(
@@ -127,7 +173,7 @@ def removed_materials(spark, d):
     rows = sightings(spark, d)
     done = rows.select("source", "snapshot").distinct()
     complete = done.filter("NOT (source = 'gpuopen' AND snapshot = 2)")
-    return J.removed_materials(rows, complete)
+    return W.removed_materials(rows, complete)
 
 
 WINDOW_SQL = """
@@ -198,15 +244,15 @@ def rate_window_session(spark, d):
     "SELECT event_id, user_id, event_type, value FROM events",
 )
 def dedupe_stream(spark, d):
-    """Every event is delivered twice, the second time in a later batch."""
-    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    """Every event is delivered three times in three batches; no batch knows when the others came."""
+    events = table(spark, d, "events")
     landing, out, mark = (run_dir(spark, n) for n in ("landing", "dedupe", "mark"))
-    for _ in range(2):
-        events.write.mode("append").parquet(landing)
+    for part in (F.col("event_id") % 3 > 0, F.lit(True), F.col("event_id") % 2 == 0):
+        for _ in range(2):
+            events.filter(part).write.mode("append").parquet(landing)
         stream = J.file_stream(spark, landing, events.schema, max_files=1000)
-        once = J.dedupe_stream(stream, ["event_id"], delay="3650 days")
-        J.to_table(once, out, mark).awaitTermination()
-    return spark.read.parquet(out).select("event_id", "user_id", "event_type", "value")
+        dedupe_to_table(stream, ["event_id"], out, mark).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("event_id", "user_id", "event_type", "value")
 
 
 @query(

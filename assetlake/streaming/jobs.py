@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from assetlake import schemas as S
@@ -75,51 +73,6 @@ def resume_offset(marker: DataFrame, source: str, tier: str) -> int:
     return rows.agg(F.max("offset_done")).first()[0] or 0
 
 
-WATCH_OUT = "source string, id string, snapshot bigint, digest string, change string"
-
-
-def watch_stream(listing: DataFrame) -> DataFrame:
-    """new / changed / unchanged / late per sighting of (source, id, snapshot, digest).
-
-    The state holds the newest snapshot and its digest per material; a snapshot that is not newer
-    comes late and changes nothing. Materials are independent of each other, so a
-    source that is down only stops sending. Removal is found by ``removed_materials``.
-    """
-
-    def classify(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        last, seen = state.get if state.exists else (None, None)
-        pdf = pd.concat(list(frames)).sort_values("snapshot", kind="stable")
-        changes = []
-        for snapshot, digest in zip(pdf["snapshot"], pdf["digest"], strict=True):
-            if seen is not None and snapshot <= seen:
-                changes.append("late")
-                continue
-            changes.append("new" if seen is None else "unchanged" if digest == last else "changed")
-            last, seen = digest, int(snapshot)
-        yield pdf.assign(change=changes)[["source", "id", "snapshot", "digest", "change"]]
-        state.update((last, seen))
-
-    return listing.groupBy("source", "id").applyInPandasWithState(
-        classify, WATCH_OUT, "last string, seen bigint", "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def removed_materials(sightings: DataFrame, complete: DataFrame) -> DataFrame:
-    """Materials missing from the newest complete snapshot of their source.
-
-    ``complete``: (source, snapshot) markers. A source without one removes nothing.
-    """
-    newest = complete.groupBy("source").agg(F.max("snapshot").alias("newest"))
-    seen = sightings.groupBy("source", "id").agg(F.max("snapshot").alias("last_seen"))
-    return (
-        seen.join(newest, "source")
-        .filter("last_seen < newest")
-        .select("source", "id", "last_seen")
-    )
-
-
 def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Write a stream to Parquet below ``<path>/batch=<n>`` until its input is used up."""
 
@@ -189,7 +142,7 @@ def latest_state(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def dedupe_stream(stream: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 day"):
-    """Each key once, however often it is delivered within ``delay``."""
+    """Each key once, however often it is delivered within ``delay``; ``dedupe_to_table`` has no such limit."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 

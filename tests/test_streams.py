@@ -4,7 +4,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from assetlake.streaming import dedupe as D
 from assetlake.streaming import jobs as J
+from assetlake.streaming import watch as W
 from tests.test_chunking import greedy
 
 SCHEMA = "source string, tier string, category string, id string, length bigint"
@@ -148,19 +150,27 @@ def test_rotating_sink_needs_the_state_before(spark, tmp_path):
                 query.awaitTermination()
 
 
+WATCHED = "source string, id string, snapshot bigint, digest string, ts timestamp"
+
+
+def days(no):
+    return (pd.Timestamp("2026-04-18") + pd.Timedelta(days=no)).to_pydatetime()
+
+
 def test_watch_stream_and_removal(spark, tmp_path):
-    schema = "source string, id string, snapshot bigint, digest string"
+    schema = WATCHED
     landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
-    land(spark, [("s", "a", 1, "x"), ("s", "b", 1, "x"), ("t", "c", 1, "x")], schema, landing)
-    land(spark, [("s", "a", 2, "y"), ("s", "n", 2, "x")], schema, landing)
-    land(spark, [("s", "a", 3, "y")], schema, landing)
-    J.to_table(J.watch_stream(stream(spark, landing, schema)), out, mark).awaitTermination()
+    one, two, three = map(days, (1, 2, 3))
+    land(spark, [("s", "a", 1, "x", one), ("s", "b", 1, "x", one), ("t", "c", 1, "x", one)], schema, landing)
+    land(spark, [("s", "a", 2, "y", two), ("s", "n", 2, "x", two)], schema, landing)
+    land(spark, [("s", "a", 3, "y", three)], schema, landing)
+    J.to_table(W.watch_stream(stream(spark, landing, schema)), out, mark).awaitTermination()
     rows = spark.read.parquet(out)
     got = {(r["id"], r["snapshot"]): r["change"] for r in rows.collect()}
     assert got == {("a", 1): "new", ("b", 1): "new", ("c", 1): "new", ("a", 2): "changed",
                    ("n", 2): "new", ("a", 3): "unchanged"}
     done = spark.createDataFrame([("s", 1), ("s", 2), ("t", 1)], "source string, snapshot bigint")
-    assert [r["id"] for r in J.removed_materials(rows, done).collect()] == ["b"]
+    assert [r["id"] for r in W.removed_materials(rows, done).collect()] == ["b"]
 
 
 def test_rate_window_counts_late_rows(spark, tmp_path):
@@ -203,11 +213,51 @@ def test_rates_of_many_files_in_no_order_lose_nothing(spark, tmp_path):
 
 
 def test_late_snapshots_change_nothing(spark, tmp_path):
-    schema = "source string, id string, snapshot bigint, digest string"
+    schema = WATCHED
     landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     for no, digest in ((2, "new"), (1, "old"), (3, "new")):
-        land(spark, [("s", "a", no, digest)], schema, landing)
+        land(spark, [("s", "a", no, digest, days(no))], schema, landing)
         listing = stream(spark, landing, schema)
-        J.to_table(J.watch_stream(listing), out, mark).awaitTermination()
+        J.to_table(W.watch_stream(listing), out, mark).awaitTermination()
     got = {r["snapshot"]: r["change"] for r in spark.read.parquet(out).collect()}
     assert got == {2: "new", 1: "late", 3: "unchanged"}
+
+
+def test_state_of_a_material_expires(spark, tmp_path):
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    day = 24 * 3600 * 1000
+    #  b is met on days 1 and 9, its state is dropped when a has moved on; c returns within the time kept
+    for no, ids in ((1, "abc"), (2, "a"), (3, "ac"), (9, "ab")):
+        land(spark, [("s", i, no, "x", days(no)) for i in ids], WATCHED, landing)
+        J.to_table(W.watch_stream(stream(spark, landing, WATCHED), 2 * day), out, mark).awaitTermination()
+    got = {(r["id"], r["snapshot"]): r["change"] for r in spark.read.parquet(out).collect()}
+    assert got == {
+        ("a", 1): "new", ("b", 1): "new", ("c", 1): "new", ("a", 2): "unchanged",
+        ("a", 3): "unchanged", ("c", 3): "unchanged", ("a", 9): "new", ("b", 9): "new",
+    }
+    state = spark.read.format("statestore").option("stateVarName", "last").load(mark)
+    assert {r["key"]["id"] for r in state.collect()} == {"a", "b"}
+
+
+def test_dedupe_finds_duplicates_of_any_age(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(D, "BUCKETS", 4)
+    schema = "k string, j int, v int"
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    rnd = random.Random(6)
+    sent = set()
+    for batch in range(5):
+        rows = [(rnd.choice([None, *map(str, range(60))]), rnd.choice([None, 1, 2]), batch) for _ in range(80)]
+        land(spark, rows, schema, landing)
+        sent |= {(k, j) for k, j, _ in rows}
+        D.dedupe_to_table(stream(spark, landing, schema), ["k", "j"], out, mark).awaitTermination()
+    got = [(r["k"], r["j"]) for r in spark.read.parquet(f"{out}/rows").collect()]
+    assert len(got) == len(set(got)) and set(got) == sent
+
+
+def test_bloom_filter():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    keys, others = (rng.integers(-(2**63), 2**63 - 1, n) for n in (5000, 40000))
+    data = D.make_filter(keys)
+    assert D.in_filter(keys, data).all() and D.in_filter(others, data).mean() < 0.002
