@@ -149,12 +149,11 @@ def watch_stream(spark, d):
 @query(
     "source_status",
     f"""
-    WITH t AS (SELECT DISTINCT source, ts FROM ({LISTINGS_SQL})),
-    g AS (SELECT source, ts, lag(ts) OVER (PARTITION BY source ORDER BY ts) AS last FROM t)
-    SELECT source, 'up' AS status, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM g
-    WHERE last IS NULL OR ts - last > INTERVAL 36 HOUR
-    UNION ALL SELECT source, 'down', strftime(last + INTERVAL 36 HOUR, '%Y-%m-%d %H:%M:%S') FROM g
-    WHERE ts - last > INTERVAL 36 HOUR""",
+    SELECT source, unnest(CASE WHEN last IS NULL THEN ['up'] ELSE ['down', 'up'] END) AS status,
+      strftime(unnest(CASE WHEN last IS NULL THEN [ts] ELSE [last + INTERVAL 36 HOUR, ts] END), '%Y-%m-%d %H:%M:%S') AS at
+    FROM (SELECT source, ts, lag(ts) OVER (PARTITION BY source ORDER BY ts) AS last
+      FROM (SELECT DISTINCT source, ts FROM ({LISTINGS_SQL})))
+    WHERE last IS NULL OR ts - last > INTERVAL 36 HOUR""",
     "diff",
 )
 def source_status(spark, d):
