@@ -11,9 +11,13 @@ from assetlake import schemas as S
 from assetlake.functions.normalize import _c
 
 
+#: First letters of the ids in a file, of a category that is split by them; ids without one are 0-9.
+LETTERS = "[A-Z]-[A-Z]|0-9"
+
+
 def _pattern(head: str, tail: str, categories: list[str]) -> str:
     cats = "|".join(sorted(categories))
-    return rf"^{head}(\w+)-({S.TIER_IN_NAME})-({cats})(?:-(\d+))?{tail}$"
+    return rf"^{head}(\w+)-({S.TIER_IN_NAME})-({cats})(?:-({LETTERS}))?(?:-(\d+))?{tail}$"
 
 
 def bundle_pattern(prefix: str = S.ASSET_PREFIX, categories: list[str] | None = None) -> str:
@@ -29,9 +33,9 @@ def parse_asset_name(
     prefix: str = S.ASSET_PREFIX,
     categories: list[str] | None = None,
 ) -> Column:
-    """struct(kind, source, tier, category, chunk) of a file name, null if it is not an asset.
+    """struct(kind, source, tier, category, chunk, letters) of a file name, null if it is not an asset.
 
-    ``chunk`` is null for an unnumbered file.
+    ``chunk`` is null for an unnumbered file, ``letters`` unless the category is split by first letters.
     """
     name = _c(name)
 
@@ -44,7 +48,8 @@ def parse_asset_name(
             group(1).alias("source"),
             group(2).alias("tier"),
             group(3).alias("category"),
-            F.nullif(group(4), F.lit("")).cast("int").alias("chunk"),
+            F.nullif(group(5), F.lit("")).cast("int").alias("chunk"),
+            F.nullif(group(4), F.lit("")).alias("letters"),
         )
 
     bundle, rowmap = bundle_pattern(prefix, categories), rowmap_pattern(categories)
@@ -70,8 +75,11 @@ def asset_name(
     numbered: Column | bool = True,
     first_unnumbered: bool = False,
     prefix: str = S.ASSET_PREFIX,
+    letters: Column | str | None = None,
 ) -> Column:
-    stem = F.concat_ws("-", F.lit(prefix), _c(source), _c(tier), _c(category))
+    """``<prefix>-<source>-<tier>-<category>[-<letters>][-<chunk>].parquet``; null letters leave none."""
+    more = [] if letters is None else [_c(letters)]
+    stem = F.concat_ws("-", F.lit(prefix), _c(source), _c(tier), _c(category), *more)
     if chunk is not None:
         stem = F.concat(stem, chunk_suffix(_c(chunk), numbered, first_unnumbered))
     return F.concat(stem, F.lit(".parquet"))
@@ -86,7 +94,7 @@ def rowmap_name(bundle: Column | str, prefix: str = S.ASSET_PREFIX) -> Column:
 
 def category_of_rowmap(name: Column | str) -> Column:
     """Category at the end of a rowmap file name, null if the name has none."""
-    pattern = r"-([a-z]+)(?:-\d+)?-rowmap\.json$"
+    pattern = rf"-([a-z]+)(?:-(?:{LETTERS}))?(?:-\d+)?-rowmap\.json$"
     return F.get(F.regexp_extract_all(_c(name), F.lit(pattern), F.lit(1)), F.lit(0))
 
 

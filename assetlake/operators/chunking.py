@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -215,6 +215,44 @@ def alpha_subsplit(
     return sizes.withColumn("letters", alpha_ranges("id", ranges))
 
 
+def letter_of(column: str = "id") -> Column:
+    """First letter of an id from A to Z, ``0`` for any other first character."""
+    letter = F.upper(F.substring(column, 1, 1))
+    return F.when(letter.rlike("^[A-Z]$"), letter).otherwise("0")
+
+
+def letter_ranges(sizes: DataFrame, group: list[str] = GROUP, max_bytes: int = S.MAX_BUNDLE_BYTES) -> DataFrame:
+    """(group, letter, letters): the range of first letters, such as ``A-M``, that each letter belongs to.
+
+    Only groups of more than ``max_bytes`` are split, into as many ranges as their bytes call for, cut at
+    the quantiles of the bytes by first letter; a letter is never cut. The ranges of a group leave
+    no letter out. ``letters`` is null in a group that is not split, ``0-9`` for ids without a first letter.
+    """
+    by_letter = sizes.groupBy(*group, letter_of("id").alias("letter")).agg(F.sum("length").alias("_bytes"))
+    whole = Window.partitionBy(*group)  # at most 27 rows each
+    ordered = whole.orderBy("letter")
+    total, before = F.sum("_bytes").over(whole), F.sum("_bytes").over(ordered) - F.col("_bytes")
+    part = F.floor(before * F.ceil(total / max_bytes) / total)
+    rows = by_letter.withColumns({"_part": F.when(F.col("letter") == "0", F.lit(-1)).otherwise(part), "_total": total})
+    first = F.min("letter").over(whole.partitionBy(*group, "_part"))
+    rows = rows.withColumn("_first", first).withColumn("_alpha", F.col("_part") >= 0)
+    within = Window.partitionBy(*group, "_alpha")
+    low = F.when(F.col("_part") == F.min("_part").over(within), "A").otherwise(F.col("_first"))
+    after = F.min(F.struct("_part", "_first")).over(within.orderBy("_part").rangeBetween(1, Window.unboundedFollowing))
+    high = F.coalesce(F.char(F.ascii(after["_first"]) - 1), F.lit("Z"))
+    label = F.when(F.col("_alpha"), F.concat(low, F.lit("-"), high)).otherwise("0-9")
+    return rows.select(*group, "letter", F.when(F.col("_total") > max_bytes, label).alias("letters"))
+
+
+def split_by_letters(sizes: DataFrame, group: list[str] = GROUP, max_bytes: int = S.MAX_BUNDLE_BYTES) -> DataFrame:
+    """``sizes`` with the ``letters`` of :func:`letter_ranges`, by which its groups are chunked further."""
+    ranges = letter_ranges(sizes, group, max_bytes)
+    same = [F.col(f"s.{g}").eqNullSafe(F.col(f"r.{g}")) for g in group]
+    keyed = sizes.withColumn("_letter", letter_of("id")).alias("s")
+    found = keyed.join(ranges.alias("r"), [*same, F.col("s._letter") == F.col("r.letter")])
+    return found.select("s.*", "r.letters").drop("_letter")
+
+
 def chunk_bounds(chunks: DataFrame, group: list[str] = GROUP) -> DataFrame:
     """One row per bundle: (group, chunk, numbered, first_id, last_id, n, bytes, bundle_no).
 
@@ -224,16 +262,19 @@ def chunk_bounds(chunks: DataFrame, group: list[str] = GROUP) -> DataFrame:
             F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")]
     if "numbered" in chunks.columns:
         cols.append(F.max("numbered").alias("numbered"))
+    if "letters" in chunks.columns and "letters" not in group:
+        group = [*group, "letters"]
     return chunks.groupBy(*group, "chunk").agg(*cols)
 
 
 def bundle_files(
     bounds: DataFrame, prefix: str = S.ASSET_PREFIX, first_unnumbered: bool = False
 ) -> DataFrame:
-    """``bounds`` with the file name of each bundle."""
+    """``bounds`` with the file name of each bundle, which has the ``letters`` where there are any."""
     numbered = F.col("numbered") if "numbered" in bounds.columns else True
     name = asset_name(
-        "source", "tier", "category", "chunk", numbered, first_unnumbered, prefix
+        "source", "tier", "category", "chunk", numbered, first_unnumbered, prefix,
+        "letters" if "letters" in bounds.columns else None,
     )
     return bounds.withColumn("parquet_file", name)
 

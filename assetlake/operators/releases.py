@@ -21,7 +21,7 @@ def parsed_assets(names: DataFrame, prefix: str = S.ASSET_PREFIX, categories=Non
     return (
         names.select("file_name", parsed.alias("p"))
         .filter("p is not null")
-        .select("file_name", "p.*")
+        .select("file_name", "p.kind", "p.source", "p.tier", "p.category", "p.chunk")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assetlake.functions.names import parse_asset_name
 from assetlake.operators import chunking as C
 from assetlake.queries.registry import query, rowmap, table, tex
 
@@ -114,6 +115,56 @@ def alpha_subsplit(spark, d):
     return C.alpha_subsplit(rows).select("p_partkey", "letters")
 
 
+# Parts as materials of the 8k tier, by brand; brands beyond the limit are split by first letters.
+LETTER_LIMIT = 400
+LETTERS_SQL = f"""
+  SELECT category, letter, CASE WHEN total <= {LETTER_LIMIT} THEN NULL WHEN part < 0 THEN '0-9' ELSE
+      CASE WHEN part = min(part) OVER (PARTITION BY category, part >= 0) THEN 'A' ELSE first END || '-' ||
+      coalesce(chr(ascii(min(first) OVER (PARTITION BY category, part >= 0 ORDER BY part
+        RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) - 1), 'Z') END AS letters
+  FROM (SELECT *, min(letter) OVER (PARTITION BY category, part) AS first
+    FROM (SELECT category, letter, total, CASE WHEN letter = '0' THEN -1
+        ELSE CAST(floor(before * ceil(total / {LETTER_LIMIT}) / total) AS INTEGER) END AS part
+      FROM (SELECT category, letter, sum(b) OVER (PARTITION BY category) AS total,
+          sum(b) OVER (PARTITION BY category ORDER BY letter) - b AS before
+        FROM (SELECT p_brand AS category, CASE WHEN regexp_matches(upper(substr(p_name, 1, 1)), '^[A-Z]$')
+            THEN upper(substr(p_name, 1, 1)) ELSE '0' END AS letter, sum(p_size) AS b FROM part GROUP BY ALL))))"""
+
+
+def parts_by_brand(spark, d):
+    return table(spark, d, "part").select(
+        F.lit("src").alias("source"), F.lit("8k").alias("tier"), F.col("p_brand").alias("category"),
+        F.concat_ws("#", "p_name", "p_partkey").alias("id"), F.col("p_size").cast("long").alias("length"),
+    )
+
+
+@query("letter_ranges", LETTERS_SQL)
+def letter_ranges(spark, d):
+    return C.letter_ranges(parts_by_brand(spark, d), max_bytes=LETTER_LIMIT).select("category", "letter", "letters")
+
+
+@query(
+    "letter_bundles",
+    f"""
+    SELECT file, source, tier, category, letters, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS bytes
+    FROM (SELECT p_size, 'src' AS source, '8k' AS tier, category, letters,
+        'assetlake-src-8k-' || category || coalesce('-' || letters, '') || '.parquet' AS file
+      FROM part JOIN ({LETTERS_SQL}) r ON category = p_brand AND letter =
+        CASE WHEN regexp_matches(upper(substr(p_name, 1, 1)), '^[A-Z]$') THEN upper(substr(p_name, 1, 1)) ELSE '0' END)
+    GROUP BY ALL""",
+)
+def letter_bundles(spark, d):
+    """Bundles of a high tier, one per range of first letters; their names are parsed back."""
+    sizes = C.split_by_letters(parts_by_brand(spark, d), max_bytes=LETTER_LIMIT)
+    chunks = sizes.withColumns({"chunk": F.lit(1), "numbered": F.lit(False)})
+    files = C.bundle_files(C.chunk_bounds(chunks))
+    brands = [f"Brand#{i}" for i in range(100)]
+    parsed = parse_asset_name("parquet_file", categories=brands)
+    return files.select(F.col("parquet_file").alias("file"), parsed.alias("p"), "n", "bytes").select(
+        "file", "p.source", "p.tier", "p.category", "p.letters", "n", "bytes"
+    )
+
+
 @query(
     "payload_offsets",
     'SELECT parquet_file, id, channel, "offset", length FROM rowmap',

@@ -343,20 +343,26 @@ def footers(spark, d):
 
 @query(
     "rowmap_retrofit",
-    f"SELECT id, channel, {FRAMED} AS length, TRUE AS same FROM tex",
+    f"""SELECT source, tier, id, channel, {FRAMED} AS length, {FRAMED_SHA} AS sha256,
+          NULL::VARCHAR AS error_kind FROM tex""",
     "tex",
 )
 def rowmap_retrofit(spark, d):
-    """Ranges of bundles whose lengths were never recorded: lengths are read from the payloads."""
+    """Ranges of bundles whose rowmap was never written: found from the files, then fetched and hashed."""
     path, *_ = written(spark, d)
     files = R.list_files(spark, path, "*.parquet")
-    bundle = spark.read.parquet(path).withColumn("parquet_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
-    placed = R.bundle_payloads(bundle).select("parquet_file", "id", "channel", "length", "payload")
-    foot = R.footers(files)
-    found = M.build_rowmap(foot, M.collector(placed.drop("payload")))
-    ranges = found.select("parquet_file", "id", "channel", "offset", F.col("length").alias("n"))
-    whole = placed.join(ranges, ["parquet_file", "id", "channel"])
-    return whole.select("id", "channel", "length", (F.col("n") == F.col("length")).alias("same"))
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    tier = F.regexp_extract("bundle", r"^assetlake-\w+?-([^-]+)-", 1)
+    bundle = spark.read.parquet(path).withColumns({"parquet_file": name, "tier": tier})
+    placed = R.bundle_payloads(bundle).select("parquet_file", "source", "tier", "id", "channel", "length")
+    found = M.build_rowmap(R.footers(files), M.collector(placed))
+    cells = placed.select("parquet_file", "source", "tier").distinct()
+    rowmap = cut(found.join(cells, "parquet_file"))
+    parts = files.select(F.element_at(F.split("path", "/"), -1).alias("parquet_file"), "path")
+    got = R.fetch_ranges(rowmap, rowmap, parts)
+    return got.select(
+        "source", "tier", "id", "channel", "length", B.sha256("payload").alias("sha256"), "error_kind"
+    )
 
 
 @query(

@@ -86,17 +86,22 @@ def plan_bundles(
     max_bytes: int = S.MAX_BUNDLE_BYTES,
     rotate: str = "count",
     prefix: str = S.ASSET_PREFIX,
+    letters: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(chunks, bundles) of long texture rows, worked out on lengths alone.
 
-    ``chunks`` has one row per material, ``bundles`` one per file with a dense ``bundle_no``.
+    ``chunks`` has one row per material, ``bundles`` one per file with a dense ``bundle_no``. With
+    ``letters`` groups beyond the limit are split by first letters, then rotated within these.
     """
     once = textures.groupBy(*C.GROUP, "id", "channel").agg(F.max("length").alias("length"))
     sizes = cut(C.material_sizes(once))
+    group = C.GROUP
+    if letters:
+        sizes, group = cut(C.split_by_letters(sizes, max_bytes=max_bytes)), [*C.GROUP, "letters"]
     if rotate == "count":
-        chunks = C.chunk_by_count(sizes, max_bytes=max_bytes)
+        chunks = C.chunk_by_count(sizes, group, max_bytes=max_bytes)
     else:
-        chunks = C.chunk_by_bytes(sizes, max_bytes=max_bytes)
+        chunks = C.chunk_by_bytes(sizes, group, max_bytes=max_bytes)
     chunks = cut(chunks)
     files = C.bundle_files(C.chunk_bounds(chunks), prefix, first_unnumbered=rotate != "count")
     return chunks, cut(numbered(files))
@@ -116,13 +121,20 @@ def with_bundle(rows: DataFrame, chunks: DataFrame, bundles: DataFrame) -> DataF
     the same rows.
     """
     named = ["parquet_file", "bundle_no"]
+    more = ["letters"] if "letters" in bundles.columns else []
     if bundles.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        b = bundles.select(*C.GROUP, "first_id", "last_id", *named).alias("b")
+        b = bundles.select(*C.GROUP, *more, "first_id", "last_id", *named).alias("b")
         inside = F.col("r.id").between(F.col("b.first_id"), F.col("b.last_id"))
         same = [F.col(f"r.{k}") == F.col(f"b.{k}") for k in C.GROUP]
+        if more:  # ids of other first letters may lie between those of a range
+            low, high = F.substring("b.letters", 1, 1), F.substring("b.letters", 3, 1)
+            letter = C.letter_of("r.id")
+            same.append(F.coalesce((letter == low) | ((letter > low) & (letter <= high) & (low >= "A")), F.lit(True)))
         joined = rows.alias("r").join(F.broadcast(b), [*same, inside])
         return joined.select("r.*", *[f"b.{c}" for c in named])
-    by_id = chunks.join(bundles.select(*C.GROUP, "chunk", *named), [*C.GROUP, "chunk"])
+    places = bundles.select(*[F.col(c).alias(f"_{c}") for c in (*C.GROUP, "chunk", *more)], *named)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*C.GROUP, "chunk", *more)]
+    by_id = chunks.join(places, same)
     return rows.join(by_id.select(*C.GROUP, "id", *named), [*C.GROUP, "id"])
 
 
@@ -137,6 +149,7 @@ def write_partitioned_bundle(
     prefix: str = S.ASSET_PREFIX,
     mode: str = "errorifexists",
     planned: DataFrame | None = None,
+    letters: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Write long texture rows as size-bounded bundles; returns (chunks, bundles).
 
@@ -146,10 +159,11 @@ def write_partitioned_bundle(
 
     Payloads are shuffled once, to the task that writes their file. The metadata of a material
     travels as one more row, and only materials that have such a row are written. Of a channel that
-    a material has twice, the longest payload is written.
+    a material has twice, the longest payload is written. ``letters`` names the files of groups beyond
+    the limit by ranges of first letters.
     """
     planned = textures.drop("payload") if planned is None else planned
-    chunks, bundles = plan_bundles(planned, max_bytes, rotate, prefix)
+    chunks, bundles = plan_bundles(planned, max_bytes, rotate, prefix, letters)
     n_bundles = bundles.count()
     if n_bundles == 0:
         raise ValueError("no successful records to write")

@@ -136,3 +136,50 @@ def test_blocks_with_zero_lengths_and_chunks_over_many_blocks(spark):
     for block, max_bytes in ((3, 40), (4, 1000), (5, 1)):
         got = C.chunk_by_bytes(df, max_bytes=max_bytes, block_rows=block).collect()
         assert {r["id"]: r["chunk"] for r in got} == greedy(rows, max_bytes)
+
+
+def test_letter_ranges(spark):
+    rnd = random.Random(7)
+    rows = [("s", "8k", "metal", f"{rnd.choice('aAbcCdmMnxyzZ9_é')}{i:04d}", rnd.randint(1, 50)) for i in range(300)]
+    rows += [("s", "8k", "wood", f"k{i}", 3) for i in range(5)]
+    df = spark.createDataFrame(rows, "source string, tier string, category string, id string, length bigint")
+    got = C.split_by_letters(df, max_bytes=1500).collect()
+    assert len(got) == len(rows) and {r["letters"] for r in got if r["category"] == "wood"} == {None}
+    labels = sorted({r["letters"] for r in got if r["category"] == "metal"} - {"0-9"})
+    assert labels[0][0] == "A" and labels[-1][2] == "Z"  # no letter is left out
+    assert all(ord(b[0]) == ord(a[2]) + 1 for a, b in zip(labels, labels[1:], strict=False))
+    total = sum(r[4] for r in rows[:300])
+    for r in got[:300]:
+        if r["category"] == "metal":
+            c = r["id"][0].upper()
+            assert r["letters"] == "0-9" if not "A" <= c <= "Z" else r["letters"][0] <= c <= r["letters"][2]
+    assert len(labels) > 1 and total > 1500
+
+
+def test_names_of_letter_bundles_parse_back(spark, tmp_path):
+    from assetlake import schemas as S
+    from assetlake.functions.names import parse_asset_name, rowmap_name
+    from assetlake.sinks import bundles as K
+
+    rows = [("s", "8k", c, f"{x}{i}", "color", S.PNG_MAGIC + bytes(i + 1)) for c in ("metal", "wood") for x in "aZbqB7" for i in range(4 if c == "metal" else 1)]
+    df = spark.createDataFrame(rows, "source string, tier string, category string, id string, channel string, payload binary")
+    df = df.withColumn("length", F.length("payload").cast("long"))
+    meta = df.select("source", "id", F.lit("u").alias("source_url"), F.lit("CC0-1.0").alias("source_license")).distinct()
+    path = str(tmp_path / "b")
+    chunks, bundles = K.write_partitioned_bundle(df, meta, path, "1", "now", max_bytes=90, letters=True)
+    names = {r["parquet_file"] for r in bundles.collect()}
+    written = spark.read.parquet(path).select(F.concat("bundle", F.lit(".parquet")).alias("f"), "category", "id")
+    parsed = written.select("*", parse_asset_name("f").alias("p"), rowmap_name("f").alias("r"))
+    parsed = parsed.select("*", parse_asset_name("r").alias("q")).collect()
+    assert len(parsed) == len(rows) and {r["f"] for r in parsed} == names
+    for r in parsed:
+        letters, c = r["p"]["letters"], r["id"][0].upper()
+        assert r["p"]["category"] == r["category"] and r["q"]["letters"] == letters and r["q"]["chunk"] == r["p"]["chunk"]
+        if r["category"] == "metal":
+            assert letters == "0-9" if c == "7" else letters[0] <= c <= letters[2]
+    by_id = K.with_bundle(df, chunks, bundles).select("category", "id", "parquet_file").collect()
+    K_rows, K.BROADCAST_ROWS = K.BROADCAST_ROWS, 0
+    try:
+        assert sorted(K.with_bundle(df, chunks, bundles).select("category", "id", "parquet_file").collect()) == sorted(by_id)
+    finally:
+        K.BROADCAST_ROWS = K_rows

@@ -103,9 +103,9 @@ def test_asset_names(spark):
         ("assetlake-a-1k-metal.parquet.part",), ("x-a-1k-metal.parquet",),
     ]
     got = [g[0] for g in values(spark, rows, "n string", p=A.parse_asset_name("n"))]
-    assert tuple(got[0]) == ("bundle", "ambientcg", "1k", "metal", None)
-    assert tuple(got[1]) == ("bundle", "ambientcg", "ktx2-128", "other", 7)
-    assert tuple(got[2]) == ("rowmap", "polyhaven", "mtlx-original", "wood", None)
+    assert tuple(got[0]) == ("bundle", "ambientcg", "1k", "metal", None, None)
+    assert tuple(got[1]) == ("bundle", "ambientcg", "ktx2-128", "other", 7, None)
+    assert tuple(got[2]) == ("rowmap", "polyhaven", "mtlx-original", "wood", None, None)
     assert got[3:] == [None] * 3
     got = values(spark, [("s", "1k", "metal", 1), ("s", "1k", "metal", 3)],
                  "s string, t string, c string, n int",
