@@ -30,6 +30,8 @@ from assetlake.queries.registry import (
 from assetlake.session import run_dir
 from assetlake.sinks.files import write_files
 from assetlake.sources import listings, metadata
+from assetlake.sources import pages as paged
+from assetlake.streaming.jobs import to_table
 
 RAW_MAPS = [
     "NormalGL", "Ambient Occlusion", "nor_gl", "Base_Color", "Rough", "opacity", "arm",
@@ -937,8 +939,12 @@ def check_index(spark, d):
 
 def listing_path(spark: SparkSession, d: str, kind: str) -> str:
     """Listing files of 100 entries each, as an upstream service would page them."""
-    p = table(spark, d, "part")
-    page = F.floor(F.col("p_partkey") / S.LISTING_PAGE_SIZE).alias("page")
+    return landed(run_dir(spark, "listing"), listing_pages(table(spark, d, "part"), kind))
+
+
+def listing_pages(p: DataFrame, kind: str, page: Column | None = None) -> DataFrame:
+    """(page, content) of a listing of parts."""
+    page = (F.floor(F.col("p_partkey") / S.LISTING_PAGE_SIZE) if page is None else page).alias("page")
     if kind == "foundAssets":
         item = F.struct(
             F.col("p_partkey").cast("string").alias("assetId"),
@@ -967,8 +973,7 @@ def listing_path(spark: SparkSession, d: str, kind: str) -> str:
             F.lit("2026-04-18").alias("updated_date"),
         )
     pages = p.select(page, item.alias("i")).groupBy("page").agg(F.collect_list("i").alias(kind))
-    path = run_dir(spark, "listing")
-    return landed(path, pages.select("page", F.to_json(F.struct(kind)).alias("content")))
+    return pages.select("page", F.to_json(F.struct(kind)).alias("content"))
 
 
 def landed(path: str, pages: DataFrame, name: str = "page") -> str:
@@ -992,6 +997,44 @@ def read_listing_pages(spark, d):
     )
 
 
+ASSET_ROWS_SQL = """
+    SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, replace(p_name, ' ', ',') AS tags,
+      'https://ambientcg.com/a/' || p_partkey AS source_url FROM part WHERE p_size >= 20"""
+PAGE_ITEMS = 70
+
+
+def numbered_pages(spark, d) -> DataFrame:
+    """Pages of 70 items from 0 on, and behind the short one a page that an older listing left."""
+    p = table(spark, d, "part")
+    pages = listing_pages(p, "foundAssets", F.floor(F.col("p_partkey") / PAGE_ITEMS))
+    behind = p.agg(F.max(F.floor(F.col("p_partkey") / PAGE_ITEMS)) + 1).first()[0]
+    return pages.unionByName(listing_pages(p.filter("p_partkey <= 9"), "foundAssets", F.lit(behind)))
+
+
+def asset_rows(items: DataFrame) -> DataFrame:
+    out = listings.paged_asset_records(items, "2k")
+    return out.select("id", "name", F.array_join("tags", ",").alias("tags"), "source_url")
+
+
+@query("listing_source", ASSET_ROWS_SQL)
+def listing_source(spark, d):
+    """Pages as partitions of a data source; the short page ends the listing."""
+    path = landed(run_dir(spark, "listing"), numbered_pages(spark, d))
+    return asset_rows(paged.read_pages(spark, path, page_size=PAGE_ITEMS))
+
+
+@query("listing_source_stream", ASSET_ROWS_SQL)
+def listing_source_stream(spark, d):
+    """Pages land in two rounds and out of order; each is taken once all before it are there."""
+    path, out, mark = (run_dir(spark, n) for n in ("listing", "listed", "mark"))
+    pages = numbered_pages(spark, d)
+    for part in (F.col("page") != 1, F.col("page") == 1):
+        landed(path, pages.filter(part))
+        stream = asset_rows(paged.stream_pages(spark, path, page_size=PAGE_ITEMS))
+        to_table(stream, out, mark).awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 @query(
     "read_listing_packages",
     """

@@ -178,3 +178,35 @@ def test_listing_window_and_limits(spark):
     assert [r[0] for r in P.listing_window(df, ["id"], 1, 2).collect()] == ["b", "c"]
     assert [r[0] for r in P.listing_window(df, ["id"], 2, 0).collect()] == ["c", "d"]
     assert [r[0] for r in P.first_ids(df, 0).collect()] == list("abcd")
+
+
+def test_listing_pages_end_with_a_short_page(spark, tmp_path):
+    import json
+
+    from assetlake.sources import pages as G
+    from assetlake.sources.listings import read_listing_pages
+    from assetlake.streaming.jobs import to_table
+
+    path = tmp_path / "listing"
+    path.mkdir()
+
+    def land(no, ids, name="page-%d.json"):
+        (path / (name % no)).write_text(json.dumps({"results": [{"id": i, "label": f"l{i}"} for i in ids]}))
+
+    def batch():
+        return sorted(r["id"] for r in G.read_pages(spark, str(path), "results", 2).collect())
+
+    def stream():
+        rows = G.stream_pages(spark, str(path), "results", 2)
+        to_table(rows, str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
+        return sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    land(0, "ab")
+    land(2, "ef")  # waits for page 1
+    assert batch() == stream() == ["a", "b"]
+    land(1, "cd", "%d.json")
+    assert batch() == stream() == list("abcdef")
+    assert batch() == sorted(r["id"] for r in read_listing_pages(spark, str(path), "results").collect())
+    land(3, [])  # an empty page ends the listing
+    land(4, "xy")
+    assert batch() == stream() == list("abcdef")
