@@ -48,7 +48,7 @@ def store(path: str) -> Store:
         texts = [p.decode() for p in pretokens]
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Store(encode, 300_000)
+    return Store(encode, 700_000)
 
 
 def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE, end_id: int = END_I
         known = store(path)
         whole, strings = tokenizer_of(path), special_strings(path)
         at = TaskContext.get().partitionId() << 40  # rows of the table of pieces are numbered
-        for part in slices(batches, 1, 1 << 19):
+        for part in slices(batches, 1):
             ids, bounds = known.encode_texts(part.column(1))
             offsets, raw = text_bytes(part.column(1))
             data = raw.tobytes()
