@@ -17,7 +17,7 @@ LETTERS = "[A-Z]-[A-Z]|0-9"
 
 def _pattern(head: str, tail: str, categories: list[str]) -> str:
     cats = "|".join(sorted(categories))
-    return rf"^{head}(\w+)-({S.TIER_IN_NAME})-({cats})(?:-({LETTERS}))?(?:-(\d+))?{tail}$"
+    return rf"^{head}(\w+)-({S.TIER_IN_NAME})-({cats})(?:-(?:{LETTERS}))?(?:-(\d+))?{tail}$"
 
 
 def bundle_pattern(prefix: str = S.ASSET_PREFIX, categories: list[str] | None = None) -> str:
@@ -48,8 +48,8 @@ def parse_asset_name(
             group(1).alias("source"),
             group(2).alias("tier"),
             group(3).alias("category"),
-            F.nullif(group(5), F.lit("")).cast("int").alias("chunk"),
-            F.nullif(group(4), F.lit("")).alias("letters"),
+            F.nullif(group(4), F.lit("")).cast("int").alias("chunk"),
+            F.nullif(F.regexp_extract(name, rf"-({LETTERS})(?:-\d+)?(?:-rowmap\.json|\.parquet)$", 1), F.lit("")).alias("letters"),
         )
 
     bundle, rowmap = bundle_pattern(prefix, categories), rowmap_pattern(categories)
