@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -42,3 +43,14 @@ def test_stages(spark):
 def test_registered():
     assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in E.queries()}
     assert "pipeline" in E.queries() and E.entry is not None
+
+
+def test_stages_on_an_empty_table_with_clashing_columns(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    for name in ("mark_", "score_", "k1_", "spans_"):
+        docs = docs.withColumn(name, F.lit(1))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = freeze(stage(spark, docs, DATA), name)
+        assert docs.columns == columns and docs.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == 0

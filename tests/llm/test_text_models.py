@@ -287,3 +287,43 @@ def test_pairs_tighten_bounds():
     assert block.units(np.array([1, 2])) == [(105, [1, 2])]
     score, found = block.search(np.array([0, 1, 2]), 70)
     assert (score.tolist(), found.tolist()) == ([105], [3])
+
+
+def test_quality_features_equal_plain_ones(spark, docs):  # noqa: F811
+    from assetlake.llm.quality_classifier import features
+    from assetlake.llm.quality_rules import STOP_WORDS, SYMBOLS
+
+    stop = {w for ws in STOP_WORDS.values() for w in ws}
+    ratio = lambda a, b: a / b if b else 0.0
+    for r in features(docs, "text", "x").collect():
+        t = r.text or ""
+        ws = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        n, chars, kinds = len(ws), len(t.replace(" ", "").replace("\n", "")), len(set(ws))
+        count = lambda cs: sum(c in cs for c in t)  # noqa: E731, B023
+        variety, stops = ratio(math.log(1 + kinds), math.log(1 + n)), len(set(ws) & stop)
+        want = [
+            math.log(1 + n) / 4, 1 / (1 + n), min(ratio(chars, n), 20) / 5, math.sqrt(ratio(count(SYMBOLS), chars)),
+            math.sqrt(ratio(count("!"), chars)), math.sqrt(ratio(count("0123456789"), chars)), variety, min(variety, 0.85) ** 2,
+            math.sqrt(ratio(kinds, n)), ratio(stops, math.sqrt(n)), min(stops, 4) / 4,
+            ratio(len(lines) - len(set(lines)), len(lines)), min(ratio(count(".,;:"), n), 2),
+        ]
+        assert np.allclose(r.x, want), t[:60]
+
+
+def test_pair_fit_equals_a_generic_minimum():
+    from assetlake.llm import quality_classifier
+
+    rng = np.random.default_rng(4)
+    y = np.array([0] * 20 + [1] * 20)
+    x = rng.normal(size=(40, 2)) + y[:, None] * [1.0, -0.5]
+    w = np.array(quality_classifier.fit_pairs(x, y).weights) * x.std(axis=0)
+    again = np.random.default_rng(7)  # the pairs it draws
+    bad, good = np.flatnonzero(y == 0), np.flatnonzero(y == 1)
+    a = np.concatenate([np.repeat(bad, 8), again.choice(bad, 20)])
+    b = np.concatenate([again.choice(good, 160), good])
+    d = (x[b] - x[a]) / x.std(axis=0)
+    loss = lambda v: np.mean(np.log1p(np.exp(-d @ v))) + 0.5e-3 * v @ v
+    for step in (1e-3, 1e-2, 0.1, 1.0):
+        for angle in np.linspace(0, 2 * math.pi, 24):
+            assert loss(w + step * np.array([math.cos(angle), math.sin(angle)])) >= loss(w) - 1e-12
