@@ -2,140 +2,110 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assetlake import schemas as S
-from assetlake.functions.normalize import release_tag_ok
+from assetlake.functions.json_schema import Rename, breaches, violations
 from assetlake.operators.rowmap import overlaps
-
-
-def _breaches(df: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
-    """(keys, rule): one row per rule whose expression is true."""
-    hits = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))
-    return df.select(*keys, F.explode(hits).alias("rule"))
-
-
-def _not_unique(x: str) -> Column:
-    return F.size(F.array_distinct(x)) < F.size(x)
+from assetlake.specs import index_schema, manifest_schema, rowmap_schema
+
+
+#: Names of broken rules in the index that differ from ``<property>.<keyword>``.
+INDEX_RULES = {
+    **{f"{c}.required": f"missing_{c}" for c in S.INDEX_REQUIRED},
+    **{f"{c}.minLength": f"empty_{c}" for c in ("id", "name", "source_license")},
+    **{f"{c}.enum": f"{c}_enum" for c in ("source", "category", "status")},
+    **{f"{c}.{k}": f"{c}_range" for c in ("roughness", "metalness", "ior") for k in ("minimum", "maximum")},
+    "color_hex.pattern": "color_pattern",
+    "available_tiers[].pattern": "tier_pattern",
+    "available_tiers.uniqueItems": "tiers_unique",
+    "maps[].enum": "maps_enum",
+    "maps.uniqueItems": "maps_unique",
+    "texture_hashes.propertyNames.enum": "hash_channel",
+    **{f"texture_hashes.*.{c}.{k}": "hash_shape" for c in ("sha256", "size") for k in ("required", "pattern", "minimum")},
+    "last_updated.format": "last_updated_date",
+}
+ROWMAP_RULES = {
+    **{f"{c}.required": f"missing_{c}" for c in ("source", "tier", "parquet_file")},
+    **{f"release_tag.{k}": "release_tag_pattern" for k in ("required", "pattern")},
+    "source.enum": "source_enum",
+    "materials.*.minProperties": "no_channel",
+    "materials.*.propertyNames.enum": "channel_enum",
+    **{f"materials.*.*.{c}.{k}": f"{c}_range" for c in ("offset", "length") for k in ("required", "minimum")},
+}
+MANIFEST_RULES = {
+    **{f"schema_version.{k}": "schema_version" for k in ("required", "enum")},
+    **{f"release_tag.{k}": "release_tag_pattern" for k in ("required", "pattern")},
+    "tiers.required": "missing_tiers",
+    **{f"tiers.*.base_url.{k}": "missing_base_url" for k in ("required", "minLength")},
+    **{f"tiers.*.sources.{k}": "missing_sources" for k in ("required", "minProperties")},
+    **{f"tiers.*.sources.*.parquet_files.{k}": "no_bundle" for k in ("required", "minItems")},
+    "tiers.*.sources.*.anyOf": "no_rowmap",
+}
+
+
+def _named(rules: dict[str, str]) -> Rename:
+    return lambda rule: rules.get(rule, rule)
+
+
+def _broken_rules(df: DataFrame, schema: dict, keys: list[str], rules: dict[str, str], columns: list[str]) -> DataFrame:
+    """(keys, rule), each rule once per row. ``columns`` are those that the schema speaks of."""
+    described = T.StructType([df.schema[c] for c in columns if c in df.columns])
+    found = F.transform(breaches(schema, described, _named(rules)), lambda b: b["rule"])
+    return df.select(*keys, F.explode(F.array_distinct(found)).alias("rule"))
 
 
 def check_index(
     index: DataFrame,
     sources: list[str] | None = None,
     categories: list[str] | None = None,
+    schema: dict | None = None,
 ) -> DataFrame:
-    """(source, id, rule, severity) of index entries that break the schema.
+    """(source, id, rule, severity) of index entries that break ``schema``, by default that of the index.
 
-    An empty or malformed ``last_updated`` is a warning, everything else an error.
+    A malformed ``last_updated`` is a warning, everything else an error. Names that are no string of
+    ``INDEX_RULES`` are those of the property and the keyword.
     """
-    sources, categories = sources or S.SOURCES, categories or S.CATEGORIES
-
-    def in_unit(name: str) -> Column:
-        return ~F.col(name).between(0.0, 1.0)
-
-    def unknown(x: Column, allowed: list[str]) -> Column:
-        return ~x.isin(allowed)
-
-    rules = {f"missing_{c}": F.col(c).isNull() for c in S.INDEX_REQUIRED}
-    for c in ("id", "name", "source_license"):
-        rules[f"empty_{c}"] = F.col(c) == ""
-    rules |= {
-        "source_enum": unknown(F.col("source"), sources),
-        "category_enum": unknown(F.col("category"), categories),
-        "color_pattern": ~F.col("color_hex").rlike(S.COLOR_PATTERN),
-        "roughness_range": in_unit("roughness"),
-        "metalness_range": in_unit("metalness"),
-        "ior_range": F.col("ior") < 0,
-        "tier_pattern": F.exists("available_tiers", lambda t: ~t.rlike(S.TIER_PATTERN)),
-        "tiers_unique": _not_unique("available_tiers"),
-        "maps_enum": F.exists("maps", lambda m: unknown(m, S.CHANNELS)),
-        "maps_unique": _not_unique("maps"),
-        "hash_channel": F.exists(F.map_keys("texture_hashes"), lambda k: unknown(k, S.CHANNELS)),
-        "hash_shape": F.exists(
-            F.map_values("texture_hashes"),
-            lambda h: ~F.coalesce(
-                h["sha256"].rlike(S.SHA256_PATTERN) & (h["size"] >= 1), F.lit(False)
-            ),
-        ),
-        "status_enum": unknown(F.col("status"), ["ok", "failed"]),
-        "last_updated_date": F.col("last_updated").isNotNull()
-        & (
-            ~F.col("last_updated").rlike(r"^\d{4}-\d{2}-\d{2}$")
-            | F.try_to_date("last_updated").isNull()
-        ),
-    }
-    breaches = _breaches(index, ["source", "id"], rules)
+    schema = schema or index_schema(sources, categories)
+    found = _broken_rules(index, schema, ["source", "id"], INDEX_RULES, index.columns)
     dup = index.groupBy("source", "id").count().filter("count > 1 and id is not null")
-    both = breaches.unionByName(dup.select("source", "id", F.lit("duplicate_id").alias("rule")))
+    both = found.unionByName(dup.select("source", "id", F.lit("duplicate_id").alias("rule")))
     severity = F.when(F.col("rule") == "last_updated_date", "warning").otherwise("error")
     return both.withColumn("severity", severity)
 
 
-def check_rowmap(rowmap: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """(parquet_file, id, channel, rule) of long rowmap rows that break the contract.
+def check_rowmap(rowmap: DataFrame, sources: list[str] | None = None, schema: dict | None = None) -> DataFrame:
+    """(parquet_file, id, channel, rule) of long rowmap rows that break the schema of rowmaps or overlap.
 
-    A material without a channel comes as a row with a null channel.
+    Each row is checked as a document of one material and one channel; a material without a channel
+    comes as a row with a null channel.
     """
-    sources = sources or S.SOURCES
-    rules = {f"missing_{c}": F.col(c).isNull() for c in ("source", "tier", "parquet_file")}
-    rules |= {
-        "release_tag_pattern": ~release_tag_ok("release_tag"),
-        "source_enum": ~F.col("source").isin(sources),
-        "no_channel": F.col("channel").isNull(),
-        "channel_enum": ~F.col("channel").isin(S.CHANNELS),
-        "offset_range": F.col("channel").isNotNull()
-        & ~F.coalesce(F.col("offset") >= 0, F.lit(False)),
-        "length_range": F.col("channel").isNotNull()
-        & ~F.coalesce(F.col("length") >= 1, F.lit(False)),
-    }
     keys = ["parquet_file", "id", "channel"]
-    broken = _breaches(rowmap, keys, rules)
+    place = F.struct("offset", "length")
+    channel = F.create_map(F.coalesce("channel", F.lit("")), place)
+    channels = F.when(F.col("channel").isNotNull(), channel).otherwise(F.map_filter(channel, lambda k, v: F.lit(False)))
+    documents = rowmap.withColumns(
+        {"version": F.lit(1), "materials": F.create_map(F.coalesce("id", F.lit("")), channels)}
+    )
+    described = ["version", "release_tag", "source", "tier", "parquet_file", "materials"]
+    broken = _broken_rules(documents, schema or rowmap_schema(sources), keys, ROWMAP_RULES, described)
     laid_out = rowmap.filter("offset is not null and length is not null")
     return broken.unionByName(
         overlaps(laid_out).select(*keys, F.lit("overlap").alias("rule"))
     )
 
 
-def check_manifest(manifest: DataFrame, known: tuple[int, ...] = (1,)) -> DataFrame:
-    """(release_tag, subject, rule) of nested manifests that break the contract."""
-    version_ok = F.coalesce(F.col("schema_version").isin(*known), F.lit(False))
-    top = _breaches(
-        manifest.withColumn("subject", F.lit("")),
-        ["release_tag", "subject"],
-        {
-            "schema_version": ~version_ok,
-            "release_tag_pattern": ~release_tag_ok("release_tag"),
-            "missing_tiers": F.col("tiers").isNull(),
-        },
-    )
-    tiers = manifest.select("release_tag", F.explode("tiers").alias("subject", "t"))
-    per_tier = _breaches(
-        tiers,
-        ["release_tag", "subject"],
-        {
-            "missing_base_url": F.coalesce(F.col("t.base_url"), F.lit("")) == "",
-            "missing_sources": F.coalesce(F.size("t.sources"), F.lit(0)) <= 0,
-        },
-    )
-    sources = tiers.select(
-        "release_tag", F.col("subject").alias("tier"), F.explode("t.sources").alias("source", "s")
-    ).withColumn("subject", F.concat_ws("/", "tier", "source"))
-
-    def none(files: str) -> Column:
-        return F.coalesce(F.size(files), F.lit(0)) <= 0
-
-    per_source = _breaches(
-        sources,
-        ["release_tag", "subject"],
-        {
-            "no_bundle": none("s.parquet_files"),
-            "no_rowmap": none("s.rowmap_files") & F.col("s.rowmap_file").isNull(),
-        },
-    )
-    return reduce(lambda a, b: a.unionByName(b), [top, per_tier, per_source])
+def check_rowmap_documents(documents: DataFrame, schema: dict | None = None) -> DataFrame:
+    """(parquet_file, subject, rule) of nested rowmaps as files hold them; ``subject`` is the material and channel."""
+    rules = {**ROWMAP_RULES, "version.required": "version", "version.const": "version"}
+    return violations(documents, schema or rowmap_schema(), ["parquet_file"], _named(rules))
+
+
+def check_manifest(manifest: DataFrame, known: tuple[int, ...] = (1,), schema: dict | None = None) -> DataFrame:
+    """(release_tag, subject, rule) of nested manifests that break their schema; ``subject`` is the tier and source."""
+    return violations(manifest, schema or manifest_schema(known), ["release_tag"], _named(MANIFEST_RULES))
 
 
 def status_summary(records: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake import schemas as S
+from assetlake import specs
 from assetlake.functions import names as A
 from assetlake.functions import normalize as N
 from assetlake.functions import payload as B
+from assetlake.functions.json_schema import load_schema
 from assetlake.operators import lookup as L
 from assetlake.operators import quality as Q
 from assetlake.operators import rowmap as M
@@ -931,7 +933,10 @@ def flawed_index(spark: SparkSession, d: str) -> DataFrame:
     "mat",
 )
 def check_index(spark, d):
-    return Q.check_index(flawed_index(spark, d))
+    """The rules are read from the schema document that was written."""
+    root = run_dir(spark, "schemas")
+    specs.write_schemas(spark, root)
+    return Q.check_index(flawed_index(spark, d), schema=load_schema(f"{root}/index-schema.json"))
 
 
 # --- landed JSON files, written from the tables and read back ------------------------------

@@ -184,6 +184,31 @@ def check_rowmap(spark, d):
     return Q.check_rowmap(bad)
 
 
+@query(
+    "check_rowmap_documents",
+    """
+    SELECT parquet_file, subject, rule FROM (
+      SELECT parquet_file, id || '/gloss' AS subject, 'channel_enum' AS rule FROM rowmap WHERE channel = 'ao'
+      UNION ALL SELECT parquet_file, id || '/' || CASE WHEN channel = 'ao' THEN 'gloss' ELSE channel END,
+        'length_range' FROM rowmap WHERE length < 500
+      UNION ALL SELECT DISTINCT parquet_file, '', 'release_tag_pattern' FROM rowmap)""",
+    "rowmap",
+)
+def check_rowmap_documents(spark, d):
+    """Documents read back from files: short payloads have lost their length, one channel and the tag are wrong."""
+    rows = rowmap(spark, d).withColumns(
+        {
+            "length": F.when(F.col("length") < 500, 0).otherwise(F.col("length")),
+            "channel": F.when(F.col("channel") == "ao", "gloss").otherwise(F.col("channel")),
+        }
+    )
+    path = run_dir(spark, "rowmaps")
+    files = rows.select("parquet_file", "source", "tier").distinct()
+    write_files(M.rowmap_documents(rows, files, "2026.4"), path)
+    documents = spark.read.schema(S.ROWMAP_SCHEMA).json(path, multiLine=True)
+    return Q.check_rowmap_documents(documents)
+
+
 @query(
     "rowmap_documents",
     """
