@@ -101,6 +101,28 @@ def rowmap_stats(rowmap: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def rowmap_pieces(rowmap: DataFrame) -> DataFrame:
+    """(parquet_file, id, piece): the JSON entry of every material."""
+    ranges = F.array_sort(F.collect_list(F.struct("channel", F.struct("offset", "length"))))
+    per_id = rowmap.groupBy("parquet_file", "id").agg(ranges.alias("ranges"))
+    entry = F.concat(json_text(F.col("id")), F.lit(":"), F.to_json(F.map_from_entries("ranges")))
+    return per_id.select("parquet_file", "id", entry.alias("piece"))
+
+
+def rowmap_frames(files: DataFrame, release_tag: str, prefix: str = S.ASSET_PREFIX) -> DataFrame:
+    """(parquet_file, file, head, tail): what stands around the entries of each bundle of ``files``."""
+    head = F.to_json(
+        F.struct(
+            F.lit(1).alias("version"), F.lit(release_tag).alias("release_tag"),
+            "source", "tier", "parquet_file",
+        )
+    )
+    opened = F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(',"materials":{'))
+    return files.select(
+        "parquet_file", rowmap_name("parquet_file", prefix).alias("file"), opened.alias("head"), F.lit("}}").alias("tail")
+    )
+
+
 def rowmap_documents(
     rowmap: DataFrame,
     files: DataFrame,
@@ -108,41 +130,39 @@ def rowmap_documents(
     prefix: str = S.ASSET_PREFIX,
     max_materials: int = 500_000,
 ) -> DataFrame:
-    """(file, content): one JSON rowmap per bundle of ``files``, also for an empty bundle.
+    """(file, content): one JSON rowmap per bundle of ``files`` in one row, also for an empty bundle.
 
-    ``files``: (parquet_file, source, tier). A document is gathered per bundle, whose bytes are
-    bounded when it is written; one with more than ``max_materials`` is refused.
+    ``files``: (parquet_file, source, tier). A row holds no more than ``max_materials``; a larger rowmap is
+    refused here and written by ``sinks.documents.write_rowmaps``, which has no limit.
     """
     big = rowmap_stats(rowmap, ["parquet_file"]).filter(F.col("materials") > max_materials).take(1)
     if big:
         raise ValueError(
-            f"{big[0]['parquet_file']} has {big[0]['materials']} materials, more than one JSON "
-            "document should hold; keep its rowmap as a table"
+            f"{big[0]['parquet_file']} has {big[0]['materials']} materials, more than one row "
+            "should hold; write_rowmaps writes it in parts"
         )
-    ranges = F.array_sort(F.collect_list(F.struct("channel", F.struct("offset", "length"))))
-    per_id = rowmap.groupBy("parquet_file", "id").agg(ranges.alias("ranges"))
-    entry = F.concat(_json_text(F.col("id")), F.lit(":"), F.to_json(F.map_from_entries("ranges")))
-    per_file = per_id.withColumn("entry", entry).groupBy("parquet_file").agg(
-        F.array_sort(F.collect_list(F.struct("id", "entry"))).alias("entries")
-    )
-    body = F.concat(
-        F.lit("{"), F.array_join(F.transform("entries", lambda e: e["entry"]), ","), F.lit("}")
+    per_file = rowmap_pieces(rowmap).groupBy("parquet_file").agg(
+        F.array_sort(F.collect_list(F.struct("id", "piece"))).alias("entries")
     )
-    head = F.to_json(
-        F.struct(
-            F.lit(1).alias("version"), F.lit(release_tag).alias("release_tag"),
-            "source", "tier", "parquet_file",
-        )
-    )
-    joined = files.select("parquet_file", "source", "tier").join(per_file, "parquet_file", "left")
-    content = F.concat(
-        F.substr(head, F.lit(1), F.length(head) - 1),
-        F.lit(',"materials":'), F.coalesce(body, F.lit("{}")), F.lit("}"),
-    )
-    return joined.select(rowmap_name("parquet_file", prefix).alias("file"), content.alias("content"))
+    body = F.coalesce(F.array_join(F.transform("entries", lambda e: e["piece"]), ","), F.lit(""))
+    joined = rowmap_frames(files, release_tag, prefix).join(per_file, "parquet_file", "left")
+    return joined.select("file", F.concat("head", body, "tail").alias("content"))
+
+
+def write_rowmap_table(rowmap: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """``rowmap`` as a table in buckets of (source, tier, id), sorted within them.
+
+    Look-ups by these keys (``rowmap_entry``, ``fetch_ranges``) then read the buckets as they lie: only the
+    requests are shuffled. Requests with a literal as source or tier are joined by the other keys alone, and
+    then both sides are shuffled. ``path`` is the folder of the table, by default below the warehouse.
+    """
+    keys = ["source", "tier", "id"]
+    writer = rowmap.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return rowmap.sparkSession.table(table)
 
 
-def _json_text(x):
+def json_text(x):
     """``x`` as a JSON string."""
     wrapped = F.to_json(F.array(x))
     return F.substr(wrapped, F.lit(2), F.length(wrapped) - 2)

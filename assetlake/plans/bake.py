@@ -17,7 +17,7 @@ from assetlake.operators.quality import require_success, safe_members
 from assetlake.plans.derive import Resampler, resized, rowmap_of
 from assetlake.session import cut, run_dir
 from assetlake.sinks.bundles import only_ok, write_partitioned_bundle
-from assetlake.sinks.documents import write_index
+from assetlake.sinks.documents import write_index, write_rowmaps
 from assetlake.sinks.files import write_files
 from assetlake.sources.bundles import archive_members, list_files, read_members
 
@@ -127,7 +127,7 @@ def bake(
     index = P.index_projection(checked.withColumn("available_tiers", has_tier))
     write_index(index, f"{path}/index")
 
-    write_files(M.rowmap_documents(rowmap, bundles, release_tag, prefix), f"{path}/rowmaps")
+    write_rowmaps(rowmap, bundles, release_tag, f"{path}/rowmaps", prefix)
     names = bundles.select(F.col("parquet_file").alias("file_name")).union(
         bundles.select(rowmap_name("parquet_file", prefix))
     )

@@ -267,6 +267,16 @@ def pack_documents(spark, d):
     return O.pack_documents(pages).select("source", "id", F.md5("xml").alias("digest"))
 
 
+def page_documents(spark, d):
+    """(source, id, path, xml): every page as the document of a material."""
+    return table(spark, d, "pages").select(
+        F.concat(F.lit("s"), (F.col("page_id") % 3).cast("string")).alias("source"),
+        F.col("page_id").cast("string").alias("id"),
+        F.col("url").alias("path"),
+        F.col("html").alias("xml"),
+    )
+
+
 @query(
     "document_map",
     """
@@ -274,17 +284,29 @@ def pack_documents(spark, d):
     FROM pages""",
 )
 def document_map(spark, d):
-    docs = table(spark, d, "pages").select(
-        F.concat(F.lit("s"), (F.col("page_id") % 3).cast("string")).alias("source"),
-        F.col("page_id").cast("string").alias("id"),
-        F.col("url").alias("path"),
-        F.col("html").alias("xml"),
-    )
     back = F.from_json("content", "map<string, string>")
-    rows = O.document_map(docs).select("file", F.explode(back).alias("id", "xml"))
+    rows = O.document_map(page_documents(spark, d)).select("file", F.explode(back).alias("id", "xml"))
     return rows.select("file", "id", F.sha2(F.encode("xml", "UTF-8"), 256).alias("sha256"))
 
 
+@query(
+    "document_files",
+    """
+    SELECT file, octet_length(encode(content)) AS length, sha256(content) AS sha256 FROM (
+      SELECT 's' || page_id % 3 || '-mtlx.json' AS file, '{' || string_agg(CAST(to_json(CAST(page_id AS VARCHAR))
+        AS VARCHAR) || ':' || CAST(to_json(html) AS VARCHAR), ',' ORDER BY CAST(page_id AS VARCHAR)) || '}' AS content
+      FROM pages GROUP BY 1)""",
+)
+def document_files(spark, d):
+    """One map per source, written in parts of some pages and joined, against the map as one value."""
+    path = run_dir(spark, "documents")
+    O.write_document_maps(page_documents(spark, d), path, part_bytes=20_000)
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "length", F.sha2("content", 256).alias("sha256")
+    )
+
+
 @query(
     "export_documents",
     """

@@ -15,6 +15,7 @@ from assetlake.operators.select import texture_hashes
 from assetlake.plans import bake as P
 from assetlake.plans import derive as D
 from assetlake.queries.registry import (
+    SQL,
     manifest_files,
     mat,
     query,
@@ -25,6 +26,7 @@ from assetlake.queries.registry import (
 )
 from assetlake.session import cut, run_dir
 from assetlake.sinks.bundles import write_partitioned_bundle
+from assetlake.sinks.documents import write_rowmaps
 from assetlake.sinks.files import inventory, write_files
 from assetlake.sources import bundles as R
 from assetlake.sources import metadata
@@ -227,6 +229,43 @@ def rowmap_documents(spark, d):
     return M.rowmap_documents(rows, files, "v2026.04.0")
 
 
+ROWMAP_TEXT = SQL["rowmap_documents"]
+
+
+@query(
+    "rowmap_files",
+    f"SELECT file, octet_length(encode(content)) AS length, sha256(content) AS sha256 FROM ({ROWMAP_TEXT})",
+    "rowmap",
+)
+def rowmap_files(spark, d):
+    """Rowmaps written in parts of a few kilobytes and joined, against the text as one value."""
+    rows = rowmap(spark, d)
+    path = run_dir(spark, "rowmaps")
+    write_rowmaps(rows, rows.select("parquet_file", "source", "tier").distinct(), "v2026.04.0", path, part_bytes=4096)
+    return written_files(spark, path)
+
+
+def written_files(spark, path):
+    """(file, length, sha256) of the JSON files below ``path``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "length", F.sha2("content", 256).alias("sha256")
+    )
+
+
+@query(
+    "rowmap_buckets",
+    """SELECT q.source, q.tier, q.id, r.channel, r."offset", r.length, r.parquet_file
+       FROM (SELECT DISTINCT source, tier, id FROM requests) q JOIN rowmap r USING (source, tier, id)""",
+    "requests", "rowmap",
+)
+def rowmap_buckets(spark, d):
+    """Look-ups in a rowmap stored in buckets of the keys, which is not shuffled for them."""
+    path = run_dir(spark, "rowmap")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    return M.rowmap_entry(requests(spark, d), M.write_rowmap_table(rowmap(spark, d), name, 8, path))
+
+
 @query(
     "read_rowmap",
     'SELECT source, tier, parquet_file, id, channel, "offset", length FROM rowmap',

@@ -9,7 +9,9 @@ from assetlake import schemas as S
 from assetlake.functions.normalize import _c
 from assetlake.functions.render import rewrite_texture_paths, to_mtlx
 from assetlake.operators.lookup import fill_scalars
+from assetlake.operators.rowmap import json_text, rowmap_frames, rowmap_pieces
 from assetlake.sinks.files import write_files
+from assetlake.sinks.ordered import PART_BYTES, ordered_parts, write_ordered
 
 
 def index_json(index: DataFrame) -> DataFrame:
@@ -65,18 +67,45 @@ class DocumentMapTooLarge(ValueError):
 
 
 def document_map(documents: DataFrame, max_bytes: int = 256 * 1024 * 1024) -> DataFrame:
-    """(file, content): one JSON map id -> xml per source, refused above ``max_bytes``."""
+    """(file, content): one JSON map id -> xml per source in one row, refused above ``max_bytes``.
+
+    ``write_document_maps`` writes the same bytes without a limit.
+    """
     packed = pack_documents(documents)
     size = F.sum(F.octet_length("xml") + F.octet_length("id"))
     big = packed.groupBy("source").agg(size.alias("b")).filter(F.col("b") > max_bytes).take(1)
     if big:
-        raise DocumentMapTooLarge(f"{big[0]['source']}: {big[0]['b']} bytes, use write_documents")
+        raise DocumentMapTooLarge(f"{big[0]['source']}: {big[0]['b']} bytes, use write_document_maps")
     entry = F.array_sort(F.collect_list(F.struct("id", "xml")))
     return packed.groupBy("source").agg(F.map_from_entries(entry).alias("m")).select(
         F.concat("source", F.lit("-mtlx.json")).alias("file"), F.to_json("m").alias("content")
     )
 
 
+def write_document_maps(documents: DataFrame, root: str, part_bytes: int = PART_BYTES) -> tuple[int, int]:
+    """Write ``<root>/<source>-mtlx.json``, one JSON map id -> xml per source of any size; (files, bytes)."""
+    file = F.concat("source", F.lit("-mtlx.json")).alias("file")
+    entry = F.concat(json_text(F.col("id")), F.lit(":"), json_text(F.col("xml")))
+    pieces = pack_documents(documents).select(file, F.col("id").alias("key"), entry.alias("piece"))
+    frames = documents.select(file, F.lit("{").alias("head"), F.lit("}").alias("tail")).distinct()
+    return write_ordered(ordered_parts(pieces, frames, part_bytes), root)
+
+
+def write_rowmaps(
+    rowmap: DataFrame,
+    files: DataFrame,
+    release_tag: str,
+    root: str,
+    prefix: str = S.ASSET_PREFIX,
+    part_bytes: int = PART_BYTES,
+) -> tuple[int, int]:
+    """Write the JSON rowmap of every bundle of ``files``, whatever its size, below ``root``; (files, bytes)."""
+    frames = rowmap_frames(files, release_tag, prefix)
+    pieces = rowmap_pieces(rowmap).join(frames.select("parquet_file", "file"), "parquet_file")
+    keyed = pieces.select("file", F.col("id").alias("key"), "piece")
+    return write_ordered(ordered_parts(keyed, frames, part_bytes), root)
+
+
 def payload_files(textures: DataFrame, by_source: bool = False) -> DataFrame:
     """(file, content): ``<id>/<channel>.png`` of long texture rows, below ``<source>/`` if asked."""
     folder = ["source", "id"] if by_source else ["id"]

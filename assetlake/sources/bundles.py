@@ -213,6 +213,22 @@ def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
 RANGE_KEYS = ["source", "tier", "id", "channel"]
 
 
+def located_ranges(requests: DataFrame, rowmap: DataFrame) -> DataFrame:
+    """Distinct requests with their (parquet_file, offset, length), null where the rowmap has none.
+
+    Rows of the rowmap meet requests by material, and channels are matched within it, so a rowmap in buckets of
+    (source, tier, id) is read as it lies.
+    """
+    keys = RANGE_KEYS[:3]
+    wanted = requests.select(*RANGE_KEYS).distinct()
+    place = F.struct("channel", "parquet_file", "offset", "length")
+    held = rowmap.join(requests.select(*keys).distinct(), keys, "left_semi").groupBy(*keys)
+    held = held.agg(F.collect_list(place).alias("places"))
+    own = F.filter("places", lambda p: p["channel"] == F.col("channel"))
+    found = wanted.join(held, keys, "left").select(*RANGE_KEYS, F.explode_outer(own).alias("p"))
+    return found.select(*RANGE_KEYS, "p.parquet_file", "p.offset", "p.length")
+
+
 def fetch_ranges(
     requests: DataFrame,
     rowmap: DataFrame,
@@ -226,10 +242,7 @@ def fetch_ranges(
     by offset, so a much-requested file is spread over tasks. Problems come as ``error_kind``.
     """
     spark = requests.sparkSession
-    wanted = requests.select(*RANGE_KEYS).distinct()
-    located = wanted.join(rowmap.select(*RANGE_KEYS, "parquet_file", "offset", "length"),
-                          RANGE_KEYS, "left")
-    located = located.join(files.select("parquet_file", "path"), "parquet_file", "left")
+    located = located_ranges(requests, rowmap).join(files.select("parquet_file", "path"), "parquet_file", "left")
     error = (
         F.when(F.col("offset").isNull(), "not_in_rowmap")
         .when(~length_ok("length", cap), "bad_length")
