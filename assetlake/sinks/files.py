@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.sources.bundles import list_files, n_tasks
+from assetlake.sources.walk import walk
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """(file, length) of the files below ``root``, named relative to it; empty if it is not there."""
-    fs, inner = pafs.FileSystem.from_uri(root)
-    if fs.get_file_info(inner).type != pafs.FileType.Directory:
-        return spark.createDataFrame([], "file string, length bigint")
-    folder = inner.rstrip("/") + "/"
-    at = F.locate(folder, "path") + F.lit(len(folder))
-    return list_files(spark, root).select(F.substr("path", at).alias("file"), "length")
+    """(file, length) of the files below ``root``, named relative to it; empty if it is not there.
+
+    Documents whose names begin with a point belong to an inventory, unfinished files below an underscore do not.
+    """
+    root = root.rstrip("/")
+    files = walk(spark, root, hidden=True, missing_ok=True)
+    return files.select(F.substr("path", F.lit(len(root) + 2)).alias("file"), "length")
 
 
 def write_files(files: DataFrame, root: str, skip_existing: bool = False) -> tuple[int, int]:

@@ -21,6 +21,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from assetlake import schemas as S
 from assetlake.functions.names import material_id_of_document
 from assetlake.functions.payload import length_ok, size
+from assetlake.sources.walk import walk
 
 Paths = str | list[str]
 SLAB = 256 * 1024 * 1024
@@ -74,18 +75,27 @@ def read_bundle(spark: SparkSession, paths: Paths, channels: list[str] | None =
 
 
 def read_texture_tree(spark: SparkSession, path: Paths, glob: str = "*.png") -> DataFrame:
-    """``<id>/<channel>.png`` files as (id, channel, payload, length)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(path)
+    """``<id>/<channel>.png`` files as (id, channel, payload, length); folders are listed and files read by tasks."""
+    files = walk(spark, path, glob)
+    arrow = pa.schema([("path", pa.string()), ("payload", pa.binary()), ("length", pa.int64())])
+
+    def contents(paths: Iterator[str]) -> Iterator[tuple]:
+        for name in paths:
+            with open_path(name) as fh:
+                data = fh.read()
+            yield name, data, len(data)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return record_batches(contents(p for b in batches for p in b.column(0).to_pylist()), arrow)
+
+    read = files.select("path").repartition(n_tasks(spark), "path").mapInArrow(
+        run, "path string, payload binary, length bigint"
     )
     parts = F.split("path", "/")
-    return files.select(
+    return read.select(
         F.element_at(parts, -2).alias("id"),
         F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "").alias("channel"),
-        F.col("content").alias("payload"),
+        "payload",
         "length",
     )
 
