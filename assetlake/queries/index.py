@@ -935,7 +935,7 @@ def flawed_index(spark: SparkSession, d: str) -> DataFrame:
 def check_index(spark, d):
     """The rules are read from the schema document that was written."""
     root = run_dir(spark, "schemas")
-    specs.write_schemas(spark, root)
+    specs.write_schemas(root)
     return Q.check_index(flawed_index(spark, d), schema=load_schema(f"{root}/index-schema.json"))
 
 

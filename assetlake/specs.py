@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import SparkSession
+import pyarrow.fs as pafs
 
 from assetlake import schemas as S
-from assetlake.sinks.files import write_files
 
 DRAFT = "https://json-schema.org/draft/2020-12/schema"
 
@@ -98,7 +97,10 @@ def manifest_schema(known: tuple[int, ...] = (1,)) -> dict:
     return {"$schema": DRAFT, "title": "manifest", **document}
 
 
-def write_schemas(spark: SparkSession, root: str) -> None:
+def write_schemas(root: str) -> None:
     """``<root>/<title>-schema.json`` of the three documents."""
-    rows = [(f"{s['title']}-schema.json", json.dumps(s, indent=2)) for s in (index_schema(), rowmap_schema(), manifest_schema())]
-    write_files(spark.createDataFrame(rows, "file string, content string").coalesce(1), root)
+    fs, inner = pafs.FileSystem.from_uri(root)
+    fs.create_dir(inner, recursive=True)
+    for schema in (index_schema(), rowmap_schema(), manifest_schema()):
+        with fs.open_output_stream(f"{inner}/{schema['title']}-schema.json") as out:
+            out.write(json.dumps(schema, indent=2).encode())

@@ -23,7 +23,7 @@ def found(df):
 
 
 def test_rules_come_from_the_schema_file(spark, tmp_path):
-    specs.write_schemas(spark, str(tmp_path))
+    specs.write_schemas(str(tmp_path))
     schema = load_schema(f"{tmp_path}/index-schema.json")
     assert schema == specs.index_schema()
     rows = index(spark, {}, {"id": "late", "last_updated": "2026-02-30"}, {"id": "rough", "roughness": 2.0})
