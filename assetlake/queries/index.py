@@ -490,10 +490,13 @@ def fmt_size(spark, d):
     factor = (
         F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 700)
     ).otherwise(60000)
-    rows = table(spark, d, "orders").select(
-        "o_orderkey", (k * k * (F.col("o_orderkey") % 1000) * factor).alias("n")
-    )
-    return rows.withColumn("size", B.fmt_size("n"))
+    last = F.col("o_orderkey") % 1000
+    long = F.try_multiply(F.try_multiply(F.try_multiply(k, k), last), factor.cast("long"))
+    # Sizes of 8 EB and more are no longs: their text comes from the decimal product, ``n`` is null.
+    wide = k.cast("decimal(19,0)") * k.cast("decimal(19,0)") * last.cast("decimal(4,0)") * factor
+    rows = table(spark, d, "orders").select("o_orderkey", long.alias("n"), "o_custkey", "o_orderstatus")
+    size = F.when(F.col("n").isNotNull(), B.fmt_size("n")).otherwise(B.fmt_size(wide))
+    return rows.select("o_orderkey", "n", size.alias("size"))
 
 
 @query(
