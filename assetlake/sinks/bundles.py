@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake import schemas as S
@@ -14,6 +14,9 @@ from assetlake.session import cut
 #: Rows of a bundle table that is broadcast; at 1.8 GB a bundle that is 360 TB.
 BROADCAST_ROWS = 200_000
 
+#: Payload bytes from which a bundle, or several small ones together, get a task of their own.
+TASK_BYTES = 128 * 1024 * 1024
+
 BUNDLE_OPTIONS = {
     "compression": "uncompressed",
     "parquet.block.row.count.limit": "1",
@@ -164,7 +167,7 @@ def write_partitioned_bundle(
     """
     planned = textures.drop("payload") if planned is None else planned
     chunks, bundles = plan_bundles(planned, max_bytes, rotate, prefix, letters)
-    n_bundles = bundles.count()
+    n_bundles, n_bytes = bundles.agg(F.count(F.lit(1)), F.sum("bytes")).first()
     if n_bundles == 0:
         raise ValueError("no successful records to write")
     meta = chunks.select(*C.GROUP, "id").join(
@@ -177,21 +180,33 @@ def write_partitioned_bundle(
         chunks,
         bundles,
     )
-    write_rows(rows, n_bundles, path, baker_version, baked_at, mode)
+    n_tasks = write_tasks(rows.sparkSession, n_bundles, n_bytes)
+    write_rows(rows, n_tasks, path, baker_version, baked_at, mode)
     return chunks, bundles
 
 
+def write_tasks(spark: SparkSession, n_bundles: int, n_bytes: int | None) -> int:
+    """Tasks that write so many bundles: one each where they are large, else each writes several.
+
+    Small bundles would otherwise be as many tasks as files, each with its block in every map output.
+    """
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(n_bytes or 0) // TASK_BYTES))
+    return max(1, min(n_bundles, wanted))
+
+
 def write_rows(
-    rows: DataFrame, n_bundles: int, path: str, baker_version: str, baked_at: str, mode: str
+    rows: DataFrame, n_tasks: int, path: str, baker_version: str, baked_at: str, mode: str
 ) -> None:
     """Write rows (group, id, channel, payload, source_url, source_license, planned, parquet_file,
     bundle_no) as one file per bundle, sorted by id; materials without a planned row are left out.
+
+    A bundle is written by one of ``n_tasks`` tasks.
     """
     stem = F.regexp_replace("parquet_file", r"\.parquet$", "").alias("bundle")
     wide = (
-        rows.select(stem, *rows.columns)
-        .repartitionById(n_bundles, "bundle_no")  # one task per file
-        .groupBy("bundle", "id", "bundle_no", *C.GROUP)
+        rows.select(stem, F.pmod("bundle_no", F.lit(n_tasks)).cast("int").alias("_task"), *rows.columns)
+        .repartitionById(n_tasks, "_task")  # one task per file
+        .groupBy("bundle", "id", "_task", *C.GROUP)
         .agg(
             *_longest("payload"),
             F.max("source_url").alias("source_url"),

@@ -16,7 +16,7 @@ from assetlake import schemas as S
 from assetlake.operators.chunking import GROUP, bundle_files, chunk_by_bytes
 from assetlake.plans.derive import rowmap_of_placed
 from assetlake.session import keep
-from assetlake.sinks.bundles import numbered, write_rows
+from assetlake.sinks.bundles import numbered, write_rows, write_tasks
 from assetlake.sources.bundles import list_files
 
 BATCH_FILES = 50
@@ -170,11 +170,13 @@ def rotating_sink(
     material that is met again while its chunk is open goes to that chunk; once it is closed, to the
     chunk that is open then, as a further row of which the last one counts.
 
-    Rows lie below ``<path>/rows/batch=<n>`` in files that hold one chunk of one group each, the state
-    below ``<path>/state/batch=<n>``, the files of all open chunks below ``<path>/open/batch=<n>``. With
-    ``seal`` the rows are textures (channel, payload), and a batch that closes chunks writes their
-    bundles below ``<path>/bundles/batch=<n>`` and the ranges in them below ``<path>/rowmap/batch=<n>``;
-    it reads the files of those chunks and no others. ``seal_open`` does so for the chunks still open.
+    Rows lie below ``<path>/rows/batch=<n>`` in files that hold a range of the chunks of one group each,
+    so there are as many files as tasks and groups call for, however small the chunks; a chunk that is
+    larger than a task's share spans several. The state lies below ``<path>/state/batch=<n>``, the files
+    of all open chunks below ``<path>/open/batch=<n>``. With ``seal`` the rows are textures (channel,
+    payload), and a batch that closes chunks writes their bundles below ``<path>/bundles/batch=<n>`` and
+    the ranges in them below ``<path>/rowmap/batch=<n>``; it reads the files of those chunks and no
+    others. ``seal_open`` does so for the chunks still open.
     """
     spark = stream.sparkSession
 
@@ -201,7 +203,9 @@ def rotating_sink(
         chunks = chunk_by_bytes(fresh, group, max_bytes, carry=begin if batch_id else None)
         places = chunks.select(*group, "id", "chunk").unionByName(known.select(*group, "id", "chunk"))
         rows = f"{path}/rows/batch={batch_id}"
-        batch.join(places, [*group, "id"]).write.mode("overwrite").partitionBy(*group, "chunk").parquet(rows)
+        by_chunk = [*group, "chunk"]
+        placed = batch.join(places, [*group, "id"]).repartitionByRange(*by_chunk, "id")
+        placed.sortWithinPartitions(*by_chunk).write.mode("overwrite").partitionBy(*group).parquet(rows)
         batch.unpersist()
         written = spark.read.schema(_row_schema(batch, group)).parquet(rows)
         used = written.groupBy(*group, "chunk", F.col("_metadata.file_path").alias("file")).agg(
@@ -243,8 +247,11 @@ def _row_schema(batch: DataFrame, group: list[str]) -> StructType:
 
 
 def chunk_rows(spark: SparkSession, path: str, files: DataFrame, schema: StructType) -> DataFrame:
-    """Rows of the chunks whose ``files`` (file) are given: these files and no others are read."""
-    paths = [unquote(r["file"]) for r in files.select("file").collect()]  # one per chunk, batch and writing task
+    """Rows of the chunks whose ``files`` (file) are given: these files and no others are read.
+
+    A file may hold rows of further chunks of its group; joining by (group, chunk) leaves them out.
+    """
+    paths = [unquote(r["file"]) for r in files.select("file").distinct().collect()]  # one per group, batch and task
     reader = spark.read.schema(schema)
     return reader.option("basePath", f"{path}/rows").parquet(*paths) if paths else spark.createDataFrame([], schema)
 
@@ -254,7 +261,8 @@ def _open_materials(
 ) -> DataFrame:
     """(group, id, chunk) of the materials in open chunks of the groups that ``batch`` has rows of."""
     files = still.join(batch.select(*group).distinct(), group)
-    return chunk_rows(spark, path, files, _row_schema(batch, group)).select(*group, "id", "chunk").distinct()
+    rows = chunk_rows(spark, path, files, _row_schema(batch, group)).select(*group, "id", "chunk")
+    return rows.join(files.select(*group, "chunk").distinct(), [*group, "chunk"], "left_semi").distinct()
 
 
 ROWMAP_ROWS = (
@@ -276,10 +284,11 @@ def _seal(
     bundles = keep(numbered(named).select(*GROUP, "chunk", "parquet_file", "bundle_no"), "bundles")
     rows = chunk_rows(spark, path, files, _row_schema(batch, GROUP))
     placed = rows.join(bundles, [*GROUP, "chunk"])
+    n_tasks = write_tasks(spark, bundles.count(), rows.agg(F.sum("length")).first()[0])
     null = F.lit(None).cast("string")
     write_rows(
         placed.withColumns({"source_url": null, "source_license": null, "planned": F.lit(True)}),
-        bundles.count(), f"{path}/bundles/batch={batch_id}", seal.baker_version, seal.baked_at, "overwrite",
+        n_tasks, f"{path}/bundles/batch={batch_id}", seal.baker_version, seal.baked_at, "overwrite",
     )
     located = rowmap_of_placed(spark, f"{path}/bundles/batch={batch_id}", placed.drop("payload"), bundles)
     located.select(*[f.split()[0] for f in ROWMAP_ROWS.split(", ")]).write.mode("overwrite").parquet(rowmap)
