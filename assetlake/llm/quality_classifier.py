@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetlake.llm.common import free_name
+from assetlake.llm.common import free_name, freeze
 from assetlake.llm.quality_rules import SEPARATORS, STOP_WORDS, SYMBOLS, without, words
+from assetlake.operators.ordered import running
 
 KEEP_SCORE = 0.7
-#: Bounds of the fit: labelled rows that are drawn by a hash of their id, pairs for each of them.
-MAX_LABELLED = 20_000
+#: Rows of the other class that each labelled row of the rarer class is compared with.
 PAIRS_PER_ROW = 8
+RIDGE = 1e-3
+#: Rows that are numbered in one task.
+RANKED_ROWS = 200_000
 
 
 def features(docs: DataFrame, text_col: str, into: str) -> DataFrame:
@@ -62,14 +67,33 @@ class Model:
     threshold: float
 
     def score(self, x: Column) -> Column:
-        raw = F.lit(0.0)
-        for i, w in enumerate(self.weights):
-            raw = raw + F.get(x, F.lit(i)) * F.lit(float(w))
+        raw = dot(x, self.weights)
         shift = float(np.log(KEEP_SCORE / (1 - KEEP_SCORE)))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-(raw - F.lit(self.threshold) + F.lit(shift))))
 
 
-def fit_pairs(x: np.ndarray, y: np.ndarray, pairs_per_row: int = PAIRS_PER_ROW, ridge: float = 1e-3) -> Model:
+def pair_sums(d: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Number, gradient and Hessian of the logistic loss of so many differences, one behind the other."""
+    p = 1 / (1 + np.exp(-np.clip(d @ w, -40, 40)))
+    hessian = (d * (p * (1 - p))[:, None]).T @ d
+    return np.concatenate([[len(d)], d.T @ (p - 1), hessian.ravel()])
+
+
+def newton(sums: Callable[[np.ndarray], np.ndarray], width: int, ridge: float) -> np.ndarray:
+    """Weights of the least mean loss plus ridge; ``sums`` gives :func:`pair_sums` over all differences."""
+    w = np.zeros(width)
+    for _ in range(30):
+        total = sums(w)
+        gradient = total[1 : width + 1] / total[0] + ridge * w
+        hessian = total[width + 1 :].reshape(width, width) / total[0] + ridge * np.eye(width)
+        step = np.linalg.solve(hessian, gradient)
+        w = w - step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def fit_pairs(x: np.ndarray, y: np.ndarray, pairs_per_row: int = PAIRS_PER_ROW, ridge: float = RIDGE) -> Model:
     """Bradley-Terry by Newton steps: P(a preferred to b) = sigmoid(w . (x_a - x_b)).
 
     Every row of the rarer class meets ``pairs_per_row`` rows of the other, and every row of the
@@ -89,15 +113,7 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, pairs_per_row: int = PAIRS_PER_ROW,
     scale = x.std(axis=0)
     scale[scale == 0] = 1.0
     d = (x[better] - x[worse]) / scale
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(d @ w, -40, 40)))
-        gradient = d.T @ (p - 1) / len(d) + ridge * w
-        hessian = (d * (p * (1 - p))[:, None]).T @ d / len(d) + ridge * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step
-        if np.abs(step).max() < 1e-6:
-            break
-    w = w / scale
+    w = newton(lambda at: pair_sums(d, at), x.shape[1], ridge) / scale
     scores = np.sort(x @ w)
     k = len(bad)
     return Model(w.tolist(), float((scores[k - 1] + scores[min(k, len(scores) - 1)]) / 2))
@@ -108,26 +124,70 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", max_labelled: int = MAX_LABELLED) -> Model:
-    """Fit on a bounded sample of the labelled rows: the ``max_labelled`` least hashes of their ids.
+def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", pairs_per_row: int = PAIRS_PER_ROW) -> Model:
+    """:func:`fit_pairs` of all labelled rows that are not held out, in the tasks.
 
-    Labels that are null, other than 0 and 1 or without a document teach nothing; an id labelled or
-    stored twice counts as often. What the driver gets is the features of the sample.
+    Rows of a class are numbered by a hash of their id. Each row of the rarer class meets the next
+    ``pairs_per_row`` of the other, each of the other one of the rarer. Labels that are null, other than
+    0 and 1 or without a document teach nothing; an id labelled or stored twice counts as often. The
+    driver gets sums over all pairs, one row per task and Newton step, and two scores for the threshold.
     """
-    rows = (
-        labels.select(F.col("doc_id").alias("labelled"), F.col("quality").cast("int").alias("y"))
-        .where("labelled is not null and y in (0, 1)").where(~held_out(F.col("labelled")))
-        .orderBy(F.xxhash64("labelled"), "labelled", "y").limit(max_labelled)
-    )
-    both = docs.select("doc_id", F.col(text_col).alias("text")).join(
-        F.broadcast(rows), F.col("doc_id") == F.col("labelled")
-    )
-    got = features(both, "text", "x").select("labelled", "y", "x").toPandas()
-    got = got.sort_values(["labelled", "y"], kind="stable")
-    if got.empty:
+    marks = labels.select(F.col("doc_id").alias("labelled"), F.col("quality").cast("int").alias("y"))
+    marks = marks.where("labelled is not null and y in (0, 1)").where(~held_out(F.col("labelled")))
+    both = docs.select("doc_id", F.col(text_col).alias("text")).join(marks, F.col("doc_id") == F.col("labelled"))
+    rows = features(both, "text", "x").select("labelled", "y", "x", F.xxhash64("labelled").alias("hash"))
+    rows = freeze(rows, "quality-features")
+    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    if not counts:
         return Model([], 0.0)
-    x = np.array(got["x"].tolist(), np.float64)
-    return fit_pairs(x, got["y"].to_numpy())
+    width = rows.select(F.max(F.size("x"))).first()[0]
+    if len(counts) < 2:
+        return Model([0.0] * width, 0.0)
+    ranked = running(rows, ["y"], ["hash", "labelled", "x"], max_window_rows=RANKED_ROWS)
+    ranked = freeze(ranked.select("y", (F.col("rn") - 1).alias("no"), "x"), "quality-ranks")
+    scale = np.array(ranked.agg(*[F.stddev_pop(F.get("x", F.lit(i))) for i in range(width)]).first(), np.float64)
+    scale[scale == 0] = 1.0
+    pairs = freeze(differences(ranked, counts, pairs_per_row), "quality-pairs")
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(1 + width + width * width)
+            for batch in batches:
+                d = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                total += pair_sums(d / scale, w)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
+
+        return np.sum([r["sums"] for r in pairs.mapInArrow(run, "sums array<double>").collect()], axis=0)
+
+    weights = (newton(sums, width, RIDGE) / scale).tolist()
+    n_bad, n = counts[0], sum(counts.values())
+    around = [n_bad - 1, min(n_bad, n - 1)]
+    values = ranked.select(dot(F.col("x"), weights).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("times"))
+    placed = running(values.withColumn("all", F.lit(1)), ["all"], ["s"], {"before": "times"}, max_window_rows=RANKED_ROWS)
+    here = [(F.col("before") <= k) & (F.col("before") + F.col("times") > k) for k in around]
+    got = placed.agg(*[F.max(F.when(h, F.col("s"))) for h in here]).first()
+    return Model(weights, (got[0] + got[1]) / 2)
+
+
+def differences(ranked: DataFrame, counts: dict[int, int], pairs_per_row: int) -> DataFrame:
+    """(d): features of the better row less those of the worse one, of the pairs of rows (y, no, x)."""
+    rare = 0 if counts[0] <= counts[1] else 1
+    n_rare, n_other = counts[rare], counts[1 - rare]
+    a = ranked.where(F.col("y") == rare).select(F.col("no").alias("a"), F.col("x").alias("x_a"))
+    b = ranked.where(F.col("y") != rare).select(F.col("no").alias("b"), F.col("x").alias("x_b"))
+    step = F.explode(F.sequence(F.lit(0), F.lit(pairs_per_row - 1))).alias("step")
+    met = a.select("a", "x_a", step).withColumn("b", F.pmod(F.col("a") * pairs_per_row + F.col("step"), F.lit(n_other)))
+    back = b.withColumn("a", F.pmod("b", F.lit(n_rare)))
+    both = met.join(b, "b").select("x_a", "x_b").unionByName(back.join(a, "a").select("x_a", "x_b"))
+    better, worse = ("x_b", "x_a") if rare == 0 else ("x_a", "x_b")
+    return both.select(F.zip_with(better, worse, lambda p, q: p - q).alias("d"))
+
+
+def dot(x: Column, weights: list[float]) -> Column:
+    raw = F.lit(0.0)
+    for i, w in enumerate(weights):
+        raw = raw + F.get(x, F.lit(i)) * F.lit(float(w))
+    return raw
 
 
 def score_documents(
