@@ -63,8 +63,12 @@ def breaches(schema: dict, columns: T.StructType, rename: Rename = lambda rule:
 
 def violations(df: DataFrame, schema: dict, keys: list[str], rename: Rename = lambda rule: rule) -> DataFrame:
     """(keys, subject, rule), one row per subject and broken rule."""
-    found = F.array_distinct(breaches(schema, df.schema, rename))
-    return df.select(*keys, F.explode(found).alias("b")).select(*keys, "b.subject", "b.rule")
+    # Texts, as only of these array_distinct keeps a hash set; structs it compares each with each.
+    text = F.transform(breaches(schema, df.schema, rename), lambda b: F.concat(b["rule"], F.lit("\0"), b["subject"]))
+    rule = F.substring_index("b", "\0", 1)
+    subject = F.substr("b", F.length(rule) + 2)
+    found = df.select(*keys, F.explode(F.array_distinct(text)).alias("b"))
+    return found.select(*keys, subject.alias("subject"), rule.alias("rule"))
 
 
 def _resolved(node: dict, root: dict) -> dict:
