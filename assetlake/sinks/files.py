@@ -34,7 +34,7 @@ def write_files(files: DataFrame, root: str, skip_existing: bool = False) -> tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, inner = pafs.FileSystem.from_uri(root)
-        n = total = 0
+        n, total, last = 0, 0, None
         for batch in batches:
             targets = [f"{inner}/{name.as_py()}" for name in batch.column(0)]
             known = fs.get_file_info(targets) if skip_existing else [None] * len(targets)
@@ -43,7 +43,10 @@ def write_files(files: DataFrame, root: str, skip_existing: bool = False) -> tup
                     continue
                 content = batch.column(1)[i].as_py()
                 data = content.encode() if isinstance(content, str) else content
-                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                folder = target.rsplit("/", 1)[0]
+                if folder != last:
+                    fs.create_dir(folder, recursive=True)
+                    last = folder
                 part = f"{target}.{uuid.uuid4().hex}.part"
                 with fs.open_output_stream(part) as out:
                     out.write(data)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 import pyarrow as pa
@@ -25,7 +26,9 @@ from assetlake.sources.walk import walk
 
 Paths = str | list[str]
 SLAB = 256 * 1024 * 1024
-BATCH_BYTES = 32 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
+#: Rows about archives and footers that leave a task together.
+FRAME_ROWS = 10_000
 
 
 def open_path(path: str):
@@ -120,17 +123,27 @@ MEMBER_SCHEMA = (
 
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = ["archive", "member_no", "member", "size", "compressed", "error"]
-    for batch in batches:
-        for path in batch["path"]:
-            try:
-                with open_path(path) as fh, zipfile.ZipFile(fh) as zf:
-                    rows = [
-                        (path, i, m.filename, m.file_size, m.compress_size, None)
-                        for i, m in enumerate(zf.infolist())
-                    ]
-            except Exception as exc:  # one unreadable archive must not fail the others
-                rows = [(path, None, None, None, None, f"{type(exc).__name__}: {exc}")]
-            yield pd.DataFrame(rows, columns=cols)
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for path in batch["path"]:
+                try:
+                    with open_path(path) as fh, zipfile.ZipFile(fh) as zf:
+                        infos = zf.infolist()
+                except Exception as exc:  # one unreadable archive must not fail the others
+                    yield path, None, None, None, None, f"{type(exc).__name__}: {exc}"
+                    continue
+                for i, m in enumerate(infos):
+                    yield path, i, m.filename, m.file_size, m.compress_size, None
+
+    for some in _slices(rows()):
+        yield pd.DataFrame(some, columns=cols).astype(object)
+
+
+def _slices(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows of many files in one frame, those of a large file in several."""
+    while some := list(islice(rows, FRAME_ROWS)):
+        yield some
 
 
 def _spread(files: DataFrame, *keys: str) -> DataFrame:
@@ -190,10 +203,10 @@ def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
     wanted = set(columns or S.CHANNELS)
     names = [c.split()[0] for c in FOOTER_SCHEMA.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for batch in batches:
             for path in batch["path"]:
-                rows = []
+                some = False
                 with open_path(path) as fh:
                     meta = pq.ParquetFile(fh).metadata
                     file = path.rsplit("/", 1)[-1]
@@ -209,13 +222,17 @@ def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
                             start = col.dictionary_page_offset or col.data_page_offset
                             length = col.total_compressed_size
                             nulls = col.statistics.null_count if col.is_stats_set else None
-                            rows.append(
-                                (path, file, n, g, col.path_in_schema, col.num_values, nulls,
-                                 col.compression, start, length, row_id)
+                            some = True
+                            yield (
+                                path, file, n, g, col.path_in_schema, col.num_values, nulls,
+                                col.compression, start, length, row_id,
                             )
-                    if not rows:
-                        rows.append((path, file, n, *[None] * (len(names) - 3)))
-                yield pd.DataFrame(rows, columns=names).astype(object)
+                if not some:
+                    yield path, file, n, *[None] * (len(names) - 3)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in _slices(rows(batches)):
+            yield pd.DataFrame(some, columns=names).astype(object)
 
     return _spread(files.select("path")).mapInPandas(run, FOOTER_SCHEMA)
 

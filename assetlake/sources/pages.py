@@ -1,4 +1,4 @@
-"""Paged listings as a data source: one partition per landed page, in batch and as a stream.
+"""Paged listings as a data source: a partition per run of landed pages, in batch and as a stream.
 
 Pages are JSON objects in files named by their number (``0.json``, ``listing-12.json``). A listing is
 read from page 0 on; it ends with the first page that has fewer items than a page holds, or before
@@ -27,12 +27,27 @@ ROWS = "page bigint, item_no int, n_items int, item string"
 _NUMBER = re.compile(r"(\d+)\.json$")
 
 
+#: Partitions with a page each before runs get longer, and pages of the longest run.
+PARTITIONS, RUN = 64, 64
+
+
 @dataclass
-class Page(InputPartition):
+class Page:
     number: int
     path: str
 
 
+@dataclass
+class Pages(InputPartition):
+    pages: list[Page]
+
+
+def in_runs(pages: list[Page]) -> list[Pages]:
+    """Pages one behind the other as partitions: few pages spread, many do not become as many tasks."""
+    run = max(1, min(RUN, len(pages) // PARTITIONS))
+    return [Pages(pages[at : at + run]) for at in range(0, len(pages), run)]
+
+
 def landed_pages(path: str) -> list[Page]:
     """Pages from 0 on, without a gap."""
     fs, inner = pafs.FileSystem.from_uri(path)
@@ -57,17 +72,18 @@ class _Pages:
         self.path, self.key = options["path"], options["items"]
         self.size = int(options.get("pagesize", S.LISTING_PAGE_SIZE))
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        items = page_items(self.path, partition.path, self.key)
-        if not items:  # an empty page ends the listing: it has a row, without an item
-            yield partition.number, None, 0, None
-        for no, item in enumerate(items):
-            yield partition.number, no, len(items), json.dumps(item)
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        for page in partition.pages:
+            items = page_items(self.path, page.path, self.key)
+            if not items:  # an empty page ends the listing: it has a row, without an item
+                yield page.number, None, 0, None
+            for no, item in enumerate(items):
+                yield page.number, no, len(items), json.dumps(item)
 
 
 class PagesReader(_Pages, DataSourceReader):
-    def partitions(self) -> list[Page]:
-        return landed_pages(self.path)
+    def partitions(self) -> list[Pages]:
+        return in_runs(landed_pages(self.path))
 
 
 class PagesStream(_Pages, DataSourceStreamReader):
@@ -85,8 +101,8 @@ class PagesStream(_Pages, DataSourceStreamReader):
         self._known = (at, ended)
         return {"pages": at, "ended": ended}
 
-    def partitions(self, start: dict, end: dict) -> list[Page]:
-        return landed_pages(self.path)[start["pages"] : end["pages"]]
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
+        return in_runs(landed_pages(self.path)[start["pages"] : end["pages"]])
 
     def commit(self, end: dict) -> None:
         pass
@@ -122,7 +138,7 @@ def _items(rows: DataFrame, items: str) -> DataFrame:
 def read_pages(
     spark: SparkSession, path: str, items: str = "foundAssets", page_size: int = S.LISTING_PAGE_SIZE
 ) -> DataFrame:
-    """Items of a landed listing up to its end; each page is read by a task of its own."""
+    """Items of a landed listing up to its end; tasks read runs of pages."""
     register(spark)
     rows = spark.read.format(FORMAT).option("items", items).option("pageSize", page_size).load(path)
     last = rows.filter(F.col("n_items") < page_size).agg(F.min("page")).first()[0]  # null: every page is full
