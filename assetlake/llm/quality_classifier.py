@@ -125,7 +125,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", pairs_per_row: int = PAIRS_PER_ROW) -> Model:
-    """:func:`fit_pairs` of all labelled rows that are not held out, in the tasks.
+    """:func:`fit_rows` on the features of the texts; the texts themselves are not shuffled."""
+    free = docs.select("doc_id", F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return fit_rows(features(free, "text", "x").select("doc_id", "x"), labels, pairs_per_row)
+
+
+def fit_rows(featured: DataFrame, labels: DataFrame, pairs_per_row: int = PAIRS_PER_ROW) -> Model:
+    """:func:`fit_pairs` of all labelled rows (doc_id, x) that are not held out, in the tasks.
 
     Rows of a class are numbered by a hash of their id. Each row of the rarer class meets the next
     ``pairs_per_row`` of the other, each of the other one of the rarer. Labels that are null, other than
@@ -134,9 +140,9 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", pairs_per_
     """
     marks = labels.select(F.col("doc_id").alias("labelled"), F.col("quality").cast("int").alias("y"))
     marks = marks.where("labelled is not null and y in (0, 1)").where(~held_out(F.col("labelled")))
-    both = docs.select("doc_id", F.col(text_col).alias("text")).join(marks, F.col("doc_id") == F.col("labelled"))
-    rows = features(both, "text", "x").select("labelled", "y", "x", F.xxhash64("labelled").alias("hash"))
-    rows = freeze(rows, "quality-features")
+    # labels grow with the documents: never broadcast
+    rows = featured.join(marks.hint("merge"), F.col("doc_id") == F.col("labelled"))
+    rows = freeze(rows.select("labelled", "y", "x", F.xxhash64("labelled").alias("hash")), "quality-labelled")
     counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     if not counts:
         return Model([], 0.0)
@@ -199,18 +205,25 @@ def score_documents(
     replaced; equal texts get equal scores whatever their other columns hold.
     """
     x = free_name(docs, "features_")
-    out = features(docs, text_col, x)
-    out = out.withColumn(score, model.score(F.col(x))).drop(x)
+    return score_rows(features(docs, text_col, x), model, x, score, predicted)
+
+
+def score_rows(rows: DataFrame, model: Model, x: str, score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """The same from features in column ``x``, which is dropped."""
+    out = rows.withColumn(score, model.score(F.col(x))).drop(x)
     return out.withColumn(predicted, (F.col(score) >= KEEP_SCORE).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents the classifier does not reject, with their own columns as they were."""
-    score, predicted = free_name(docs, "score_"), free_name(docs, "predicted_")
-    scored = score_documents(docs, train(docs, labels), "text", score, predicted)
+    """Documents the classifier does not reject, with their own columns as they were. Every text is read once, for its features."""
+    x, score, predicted = (free_name(docs, c) for c in ("features_", "score_", "predicted_"))
+    featured = freeze(features(docs, "text", x), "quality-documents")
+    scored = score_rows(featured, fit_rows(featured.select("doc_id", F.col(x).alias("x")), labels), x, score, predicted)
     return scored.where(F.col(predicted) == 1).select(*docs.columns)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    scored = score_documents(docs.select("doc_id", "text"), train(docs, labels))
+    """One row per document: doc_id, held_out, score, predicted. Every text is read once, for its features."""
+    featured = freeze(features(docs.select("doc_id", "text"), "text", "x").select("doc_id", "x"), "quality-features")
+    scored = score_rows(featured, fit_rows(featured, labels), "x")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
