@@ -33,6 +33,7 @@ from assetlake.session import run_dir
 from assetlake.sinks.files import write_files
 from assetlake.sources import listings, metadata
 from assetlake.sources import pages as paged
+from assetlake.sources.bundles import n_tasks
 from assetlake.streaming.jobs import to_table
 
 RAW_MAPS = [
@@ -986,7 +987,8 @@ def listing_pages(p: DataFrame, kind: str, page: Column | None = None) -> DataFr
 
 def landed(path: str, pages: DataFrame, name: str = "page") -> str:
     """Write ``content`` of every row as a file of its own, as a download would leave it."""
-    write_files(pages.select(F.concat(F.col(name).cast("string"), F.lit(".json")).alias("file"), "content"), path)
+    files = pages.select(F.concat(F.col(name).cast("string"), F.lit(".json")).alias("file"), "content")
+    write_files(files.repartition(n_tasks(files.sparkSession), "file"), path)
     return path
 
 

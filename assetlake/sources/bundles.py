@@ -60,9 +60,17 @@ def n_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def list_files(spark: SparkSession, paths: Paths, glob: str | None = None) -> DataFrame:
-    """(path, length) of files below the given folders; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+def list_files(spark: SparkSession, paths: Paths, glob: str | None = None, nested: bool = True) -> DataFrame:
+    """(path, length) of files with content below the given folders; contents are not read.
+
+    Folders are listed by tasks. Patterns among ``paths``, and a ``glob`` that is more than an ending, are left
+    to Spark's file index.
+    """
+    end = (glob or "*").removeprefix("*")
+    if not any(c in p for p in [end, *([paths] if isinstance(paths, str) else paths)] for c in "*?[{"):
+        files = walk(spark, paths, glob, nested=nested).filter("length > 0")
+        return files.filter(F.endswith("path", F.lit(end)))  # a file among the paths is not listed by its folder
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(nested).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(paths).select("path", "length")
@@ -77,9 +85,8 @@ def read_bundle(spark: SparkSession, paths: Paths, channels: list[str] | None =
     )
 
 
-def read_texture_tree(spark: SparkSession, path: Paths, glob: str = "*.png") -> DataFrame:
-    """``<id>/<channel>.png`` files as (id, channel, payload, length); folders are listed and files read by tasks."""
-    files = walk(spark, path, glob)
+def file_contents(files: DataFrame) -> DataFrame:
+    """(path, payload, length) of files, opened by the tasks; small files share tasks."""
     arrow = pa.schema([("path", pa.string()), ("payload", pa.binary()), ("length", pa.int64())])
 
     def contents(paths: Iterator[str]) -> Iterator[tuple]:
@@ -91,11 +98,13 @@ def read_texture_tree(spark: SparkSession, path: Paths, glob: str = "*.png") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return record_batches(contents(p for b in batches for p in b.column(0).to_pylist()), arrow)
 
-    read = files.select("path").repartition(n_tasks(spark), "path").mapInArrow(
-        run, "path string, payload binary, length bigint"
-    )
+    return _spread(files.select("path")).mapInArrow(run, "path string, payload binary, length bigint")
+
+
+def read_texture_tree(spark: SparkSession, path: Paths, glob: str = "*.png") -> DataFrame:
+    """``<id>/<channel>.png`` files as (id, channel, payload, length); folders are listed and files read by tasks."""
     parts = F.split("path", "/")
-    return read.select(
+    return file_contents(walk(spark, path, glob)).select(
         F.element_at(parts, -2).alias("id"),
         F.regexp_replace(F.element_at(parts, -1), r"\.[^.]*$", "").alias("channel"),
         "payload",
@@ -105,14 +114,8 @@ def read_texture_tree(spark: SparkSession, path: Paths, glob: str = "*.png") ->
 
 def read_documents(spark: SparkSession, path: Paths) -> DataFrame:
     """(id, path, xml) of every ``.mtlx`` file."""
-    docs = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.mtlx")
-        .text(path, wholetext=True)
-    )
-    file = F.col("_metadata.file_path")
-    return docs.select(
-        material_id_of_document(file).alias("id"), file.alias("path"), F.col("value").alias("xml")
+    return file_contents(list_files(spark, path, "*.mtlx")).select(
+        material_id_of_document(F.col("path")).alias("id"), "path", F.col("payload").cast("string").alias("xml")
     )
 
 
@@ -177,7 +180,8 @@ def read_members(members: DataFrame) -> DataFrame:
                     infos = zf.infolist()
                 yield (*row.values(), zf.read(infos[row["member_no"]]))
 
-    spread = members.repartition(n_tasks(members.sparkSession), "archive")
+    # not by the archive itself: rows that lie so already would be left in few tasks, as they are small
+    spread = members.repartition(n_tasks(members.sparkSession), F.xxhash64("archive"))
     return spread.sortWithinPartitions("archive", "member_no").mapInArrow(
         lambda batches: record_batches(rows(batches), arrow), schema
     )

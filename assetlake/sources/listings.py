@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assetlake import schemas as S
 from assetlake.functions import normalize as N
+from assetlake.sources.bundles import file_contents, list_files
 
 Paths = str | list[str]
 
@@ -58,9 +59,9 @@ def explode_file_tree(docs: DataFrame, key: str, column: str = "value") -> DataF
 
 def read_asset_files(spark: SparkSession, path: Paths) -> DataFrame:
     """File trees of assets, one JSON file per asset named ``<slug>.json``."""
-    docs = spark.read.text(path, wholetext=True)
-    slug = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
-    return explode_file_tree(docs.select(slug.alias("slug"), "value"), "slug")
+    docs = file_contents(list_files(spark, path, nested=False))
+    slug = F.regexp_extract("path", r"(?s)([^/]*)\.json$", 1)
+    return explode_file_tree(docs.select(slug.alias("slug"), F.col("payload").cast("string").alias("value")), "slug")
 
 
 def map_urls(tree: DataFrame, key: str, tier: str, source: str = "polyhaven") -> DataFrame:

@@ -23,6 +23,7 @@ def walk(
     glob: str | None = None,
     hidden: bool = False,
     missing_ok: bool = False,
+    nested: bool = True,
 ) -> DataFrame:
     """(path, length) of the files below ``roots``; paths begin with the root as it is given.
 
@@ -63,6 +64,8 @@ def walk(
         frontier = level.filter("folder").select("path").repartition(tasks, "path")
         level = cut(frontier.mapInArrow(children, ENTRIES))
         levels.append(level)
+        if not nested:
+            break
     files = reduce(DataFrame.unionByName, levels).filter(~F.col("folder"))
     return files.select("path", "length")
 
