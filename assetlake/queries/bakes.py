@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from assetlake import schemas as S
@@ -35,6 +37,7 @@ from assetlake.sinks.files import apply_renames, rename_plan, write_files
 from assetlake.sources import bundles as R
 from assetlake.sources import metadata
 
+ARCHIVE = pa.schema([("file", pa.string()), ("payload", pa.binary())])
 MEMBER_OF_NO = ["Color.png", "NormalGL.png", "Roughness.png", "AmbientOcclusion.png"]
 
 
@@ -50,18 +53,25 @@ def archive_path(spark, d) -> str:
         F.when(F.col("lang") == "fr", text).otherwise(framed).alias("payload"),
     )
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("no")
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
-            for name, data in zip(pdf["member"], pdf["payload"], strict=True):
-                zf.writestr(name, data)
-                zf.writestr(name.replace("maps/", "copy/"), b"second of its channel")
-            zf.writestr("readme.txt", "note")
-        return pd.DataFrame({"file": [pdf["id"].iat[0] + ".zip"], "content": [buf.getvalue()]})
-
+    def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+        members = (row for batch in batches for row in batch.to_pylist())
+        for id_, group in groupby(members, lambda row: row["id"]):
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+                for row in group:
+                    zf.writestr(row["member"], row["payload"])
+                    zf.writestr(row["member"].replace("maps/", "copy/"), b"second of its channel")
+                zf.writestr("readme.txt", "note")
+            yield id_ + ".zip", buf.getvalue()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return R.record_batches(archives(batches), ARCHIVE)
+
+    # as many tasks as asked for, however small the rows: a group is worth far more work than its bytes
+    together = rows.repartition(R.n_tasks(spark), "id").sortWithinPartitions("id", "no")
+    files = together.mapInArrow(pack, "file string, payload binary")
     path = run_dir(spark, "archives")
-    write_files(rows.groupBy("id").applyInPandas(pack, "file string, content binary"), path)
+    write_files(files.withColumnRenamed("payload", "content"), path)
     return path
 
 
