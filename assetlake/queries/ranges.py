@@ -415,15 +415,16 @@ def rowmap_retrofit(spark, d):
     """Ranges of bundles whose rowmap was never written: found from the files, then fetched and hashed."""
     path, *_ = written(spark, d)
     files = R.list_files(spark, path, "*.parquet")
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    # files that one task wrote for several bundles have the same name in each folder
+    name = F.concat(F.regexp_extract("path", r"/bundle=([^/]+)/", 1), F.lit(".parquet")).alias("parquet_file")
     tier = F.regexp_extract("bundle", r"^assetlake-\w+?-([^-]+)-", 1)
-    bundle = spark.read.parquet(path).withColumns({"parquet_file": name, "tier": tier})
+    named = {"parquet_file": F.concat("bundle", F.lit(".parquet")), "tier": tier}
+    bundle = spark.read.parquet(path).withColumns(named)
     placed = R.bundle_payloads(bundle).select("parquet_file", "source", "tier", "id", "channel", "length")
-    found = M.build_rowmap(R.footers(files), M.collector(placed))
+    found = M.build_rowmap(R.footers(files).withColumn("parquet_file", name), M.collector(placed))
     cells = placed.select("parquet_file", "source", "tier").distinct()
     rowmap = cut(found.join(cells, "parquet_file"))
-    parts = files.select(F.element_at(F.split("path", "/"), -1).alias("parquet_file"), "path")
-    got = R.fetch_ranges(rowmap, rowmap, parts)
+    got = R.fetch_ranges(rowmap, rowmap, files.select(name, "path"))
     return got.select(
         "source", "tier", "id", "channel", "length", B.sha256("payload").alias("sha256"), "error_kind"
     )
@@ -470,7 +471,7 @@ def read_documents(spark, d):
         F.concat(F.col("page_id").cast("string"), F.lit("/material.mtlx")).alias("file"),
         F.col("html").alias("content"),
     )
-    write_files(pages, path)
+    write_files(pages.repartition(R.n_tasks(spark), "file"), path)
     return R.read_documents(spark, path).select("id", F.md5("xml").alias("digest"))
 
 
