@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from assetlake.functions.names import asset_name, bundle_pattern, rowmap_pattern
 from assetlake.functions.payload import sha256, size
-from assetlake.session import ship_package
+from assetlake.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None, *views: str):
     def add(fn):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
