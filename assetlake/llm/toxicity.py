@@ -9,7 +9,8 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake.llm.common import free_name, freeze, slices, spread, text_bytes
@@ -118,6 +119,13 @@ class Model:
     values: DataFrame | None
     slope: float = 1.0
     cut: float = 0.0
+    sent: Broadcast | None = None
+
+    def shared(self, spark: SparkSession) -> Broadcast:
+        """The arrays for tasks, sent once."""
+        if self.sent is None:
+            self.sent = spark.sparkContext.broadcast(replace(self, values=None))
+        return self.sent
 
     def of_words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ratio of each word but for its open grams, first open gram of each word and the end, open grams)."""
@@ -332,7 +340,7 @@ def word_ratios(words: DataFrame, model: Model) -> DataFrame:
 
     Grams in frequent contexts are valued in the tasks, the others are joined to their estimates.
     """
-    shared = words.sparkSession.sparkContext.broadcast(replace(model, values=None))
+    shared = model.shared(words.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0, 1 << 18):
@@ -356,7 +364,7 @@ def word_ratios(words: DataFrame, model: Model) -> DataFrame:
 
 def known_words(words: DataFrame, model: Model) -> Model:
     """The model with the ratios of the most frequent of ``words`` that hold grams which tasks do not have."""
-    shared = words.sparkSession.sparkContext.broadcast(replace(model, values=None))
+    shared = model.shared(words.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0, 1 << 18):
@@ -368,6 +376,8 @@ def known_words(words: DataFrame, model: Model) -> Model:
     got = word_ratios(rows.where(top(rows, F.col("n"), F.lit(1), KNOWN)), model).toArrow()
     name, ratio = got.column("name").to_numpy().view(np.uint64), got.column("ratio").to_numpy()
     order = np.argsort(name)
+    shared.destroy()
+    model.sent = None
     return replace(model, words=name[order], of_word=ratio[order])
 
 
@@ -377,7 +387,7 @@ def mean_ratios(texts: DataFrame, model: Model) -> DataFrame:
     ``texts`` are (key, text), equal keys for equal texts; each key is there once in the result, with 0
     if it has no words. Most words are valued in the tasks, the others are joined to their ratios.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(replace(model, values=None))
+    shared = model.shared(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -431,22 +441,20 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> Model:
     """
     marks = labels.select(F.col("doc_id").alias("labelled"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where("labelled is not null and toxic in (0, 1)").where(~held_out(F.col("labelled")))
-    rows = docs.select("doc_id", F.col(text_col).cast("string").alias("text")).where(
+    rows = docs.select("doc_id", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS))
     # labels grow with the documents: never broadcast
-    rows = rows.join(marks.hint("merge"), F.col("doc_id") == F.col("labelled")).select(
-        F.col("toxic").cast("long").alias("toxic"), F.coalesce("text", F.lit("")).alias("text"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"),
-    )
-    rows = freeze(rows, "toxicity-texts")
-    words = freeze(class_words(rows.where("fold > 0")), "toxicity-words")
+    texts = rows.where(fold > 0).join(marks.hint("merge"), F.col("doc_id") == F.col("labelled"))
+    texts = freeze(texts.select(F.col("toxic").cast("long").alias("toxic"), "text"), "toxicity-texts")
+    words = freeze(class_words(texts), "toxicity-words")
     counts = freeze(gram_counts(words), "toxicity-grams")
     model = known_words(words, hot(freeze(estimates(counts), "toxicity-values")))
-    return scaled(model, rows.where("fold = 0"))
+    return scaled(model, rows.where(fold == 0), marks)
 
 
-def scaled(model: Model, rows: DataFrame) -> Model:
+def scaled(model: Model, rows: DataFrame, marks: DataFrame) -> Model:
     """Fit slope and cut on the histogram of mean ratios by class, both classes weighing the same.
 
     The cut, which gets the score 0.3, is the middle of where the least share of both classes is on the
@@ -454,8 +462,11 @@ def scaled(model: Model, rows: DataFrame) -> Model:
     classes all scores are below the cut.
     """
     low = math.log1p(-RATE)
-    rows = rows.select("toxic", "text", key_of(F.col("text")).alias("key"))
-    rows = rows.select("toxic", "key").join(mean_ratios(rows, model).hint("merge"), "key")
+    rows = rows.select("doc_id", "text", key_of(F.col("text")).alias("key"))
+    ratios = mean_ratios(rows, model)
+    # labels meet the digests of the texts, not the texts
+    rows = rows.select("doc_id", "key").join(marks.hint("merge"), F.col("doc_id") == F.col("labelled"))
+    rows = rows.select("toxic", "key").join(ratios.hint("merge"), "key")
     bins = F.floor((F.col("ratio") - low) / (HIGH - low) * BINS)
     bins = F.greatest(F.least(bins, F.lit(BINS - 1)), F.lit(0))
     n = np.zeros((2, BINS))
