@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ from assetlake.llm.pretokens import Store
 
 SEQUENCE = 1024
 END_ID = 2
+#: Pre-tokens that the library encodes at a time; what it tells of each is many times its ids.
+PORTION = 4096
 #: Rows that share a rank window: small, so that a length of many pieces is ranked by many tasks.
 RANK_ROWS = 128
 #: Salts whose counts are summed in one window; their totals are summed in another one.
@@ -27,7 +30,12 @@ PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32
 
 @functools.lru_cache(maxsize=2)
 def tokenizer_of(path: str):
-    """The tokenizer of a file, loaded once by a worker."""
+    """The tokenizer of a file, loaded once by a worker.
+
+    Tasks are what runs side by side: threads of the library's own, one for each core of the machine
+    in every worker, would each keep a heap.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -45,8 +53,11 @@ def store(path: str) -> Store:
     tokenizer = tokenizer_of(path)
 
     def encode(pretokens: list[bytes], _hashes: np.ndarray) -> list[list[int]]:
-        texts = [p.decode() for p in pretokens]
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[list[int]] = []
+        for at in range(0, len(pretokens), PORTION):
+            texts = [p.decode() for p in pretokens[at : at + PORTION]]
+            out += [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return out
 
     return Store(encode, 700_000)
 
