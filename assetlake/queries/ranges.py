@@ -358,7 +358,7 @@ def validate_bytes(spark, d):
     located = cut(D.rowmap_of(spark, path, placed, chunks, bundles))
     parts = R.footers(R.list_files(spark, path, "*.parquet"))
     name = F.concat(F.regexp_extract("path", r"/bundle=([^/]+)/", 1), F.lit(".parquet"))
-    parts = parts.withColumn("parquet_file", name)
+    parts = cut(parts.withColumn("parquet_file", name))
     shifted = F.col("offset") + F.when(F.col("length") % 7 == 0, 1).otherwise(0)
     flawed = located.filter("cast(id AS bigint) % 11 <> 0").withColumn("offset", shifted)
     hashes = rows.withColumn("sha256", B.sha256("payload")).withColumn(

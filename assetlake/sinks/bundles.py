@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlake import schemas as S
 from assetlake.functions.normalize import tier_px
+from assetlake.functions.parquet import RowGroupWriter
 from assetlake.operators import chunking as C
 from assetlake.operators.ordered import running
 from assetlake.session import cut
@@ -217,4 +224,74 @@ def write_rows(
     )
     px = F.coalesce(tier_px("tier"), F.lit(0))
     out = bundle_projection(wide, px, baker_version, baked_at, "bundle").sortWithinPartitions("bundle", "id")
-    out.write.mode(mode).partitionBy("bundle").options(**BUNDLE_OPTIONS).parquet(path)
+    write_sorted(out, path, mode)
+
+
+def write_sorted(bundles: DataFrame, path: str, mode: str) -> None:
+    """Write wide rows, sorted by ``bundle`` and all rows of a bundle in one partition, as ``bundle=<name>/<file>``.
+
+    Spark's own writer keeps values and entries of every row group until a file is closed, so the memory of a task
+    would grow with its bundle. Files appear under their name only when complete, ``_SUCCESS`` when all are there.
+    """
+    fs, inner = pafs.FileSystem.from_uri(path)
+    if mode == "ignore" and fs.get_file_info(inner).type != pafs.FileType.NotFound:
+        return
+    spark = bundles.sparkSession
+    # Makes or clears the folder, or refuses to, as ``mode`` says.
+    empty = spark.createDataFrame([], bundles.schema).write.mode(mode).partitionBy("bundle")
+    empty.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    fields = S.BUNDLE_SCHEMA.fields
+    names, file = [f.name for f in fields], f"part-{uuid.uuid4().hex}.parquet"
+    about = {"org.apache.spark.version": spark.version, "org.apache.spark.sql.parquet.row.metadata": S.BUNDLE_SCHEMA.json()}
+    ranked = set(names) - set(S.CHANNELS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(path)
+        bundle = out = writer = folder = part = None
+        n = 0
+
+        def finish():
+            writer.close()
+            out.close()
+            fs.move(part, f"{folder}/{file}")
+
+        try:
+            for batch in batches:
+                columns = [batch.column("bundle"), *(batch.column(c) for c in names)]
+                for i in range(batch.num_rows):
+                    stem, *row = (c[i].as_py() for c in columns)
+                    if writer is None or stem != bundle:
+                        if writer is not None:
+                            finish()
+                        bundle, folder = stem, f"{root}/bundle={folder_name(stem)}"
+                        fs.create_dir(folder, recursive=True)
+                        part = f"{folder}/_{uuid.uuid4().hex}"
+                        out = fs.open_output_stream(part)
+                        writer = RowGroupWriter(out, S.BUNDLE_SCHEMA, ranked, about)
+                    writer.write(row)
+                    n += 1
+            if writer is not None:
+                finish()
+        except BaseException:
+            if writer is not None:
+                writer.discard()
+                out.close()
+                if fs.get_file_info(part).type == pafs.FileType.File:
+                    fs.delete_file(part)
+            raise
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    try:
+        bundles.select("bundle", *names).mapInArrow(run, "n bigint").agg(F.sum("n")).first()
+    except BaseException:
+        if mode != "append":
+            fs.delete_dir_contents(inner, missing_dir_ok=True)
+        raise
+    fs.open_output_stream(f"{inner}/_SUCCESS").close()
+
+
+def folder_name(value: str | None) -> str:
+    """``value`` as Spark writes it into the name of a partition's folder."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)

@@ -13,7 +13,6 @@ from itertools import islice
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -21,6 +20,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from assetlake import schemas as S
 from assetlake.functions.names import material_id_of_document
+from assetlake.functions.parquet import footer_portions
 from assetlake.functions.payload import length_ok, size
 from assetlake.sources.walk import walk
 
@@ -202,7 +202,7 @@ def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per row group and column of each Parquet file, from the footers alone.
 
     ``row_id`` is the id of the row group by its statistics, null where there are none. An empty
-    file gives one row without a column.
+    file gives one row without a column. Large footers are read in portions, whatever their number of row groups.
     """
     wanted = set(columns or S.CHANNELS)
     names = [c.split()[0] for c in FOOTER_SCHEMA.split(", ")]
@@ -212,25 +212,24 @@ def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
             for path in batch["path"]:
                 some = False
                 with open_path(path) as fh:
-                    meta = pq.ParquetFile(fh).metadata
                     file = path.rsplit("/", 1)[-1]
-                    n = meta.num_row_groups
-                    for g in range(n):
-                        group = meta.row_group(g)
-                        columns_ = [group.column(c) for c in range(group.num_columns)]
-                        ids = [c.statistics for c in columns_ if c.path_in_schema == "id"]
-                        row_id = ids[0].min if ids and ids[0] and ids[0].has_min_max else None
-                        for col in columns_:
-                            if col.path_in_schema not in wanted:
-                                continue
-                            start = col.dictionary_page_offset or col.data_page_offset
-                            length = col.total_compressed_size
-                            nulls = col.statistics.null_count if col.is_stats_set else None
-                            some = True
-                            yield (
-                                path, file, n, g, col.path_in_schema, col.num_values, nulls,
-                                col.compression, start, length, row_id,
-                            )
+                    for n, first, meta in footer_portions(fh):
+                        for g in range(meta.num_row_groups):
+                            group = meta.row_group(g)
+                            columns_ = [group.column(c) for c in range(group.num_columns)]
+                            ids = [c.statistics for c in columns_ if c.path_in_schema == "id"]
+                            row_id = ids[0].min if ids and ids[0] and ids[0].has_min_max else None
+                            for col in columns_:
+                                if col.path_in_schema not in wanted:
+                                    continue
+                                start = col.dictionary_page_offset or col.data_page_offset
+                                length = col.total_compressed_size
+                                nulls = col.statistics.null_count if col.is_stats_set else None
+                                some = True
+                                yield (
+                                    path, file, n, first + g, col.path_in_schema, col.num_values, nulls,
+                                    col.compression, start, length, row_id,
+                                )
                 if not some:
                     yield path, file, n, *[None] * (len(names) - 3)
 
