@@ -17,7 +17,8 @@ def collector(placed: DataFrame) -> DataFrame:
     The row order of a bundle is the order of its ids; it is kept as data. Of a channel that a
     material has twice, the longest payload is the one that is written.
     """
-    placed = placed.groupBy("parquet_file", "id", "channel").agg(F.max("length").alias("length"))
+    # Used several times, and what places the textures may be a search among all bundles.
+    placed = cut(placed.groupBy("parquet_file", "id", "channel").agg(F.max("length").alias("length")))
     ids = placed.select("parquet_file", "id").distinct()
     order = running(ids, ["parquet_file"], ["id"]).select(
         "parquet_file", "id", (F.col("rn") - 1).cast("int").alias("row_idx")
@@ -60,7 +61,7 @@ def locate(footers: DataFrame, recorded: DataFrame) -> DataFrame:
 
 def build_rowmap(footers: DataFrame, recorded: DataFrame) -> DataFrame:
     """Long rowmap of written bundles; a count mismatch or a payload without place is an error."""
-    footers = cut(footers)
+    footers, recorded = cut(footers), cut(recorded)
     bad = rowmap_mismatch(footers, recorded).take(1)
     if bad:
         raise ValueError(

@@ -57,7 +57,7 @@ def archive_path(spark, d) -> str:
         members = (row for batch in batches for row in batch.to_pylist())
         for id_, group in groupby(members, lambda row: row["id"]):
             buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
                 for row in group:
                     zf.writestr(row["member"], row["payload"])
                     zf.writestr(row["member"].replace("maps/", "copy/"), b"second of its channel")

@@ -15,12 +15,15 @@ from assetlake import schemas as S
 from assetlake.functions.normalize import tier_px
 from assetlake.functions.parquet import RowGroupWriter
 from assetlake.operators import chunking as C
-from assetlake.operators.ordered import running
+from assetlake.operators.ordered import largest_group, running
 from assetlake.session import cut
 
 #: Rows of a bundle table that is broadcast; at 1.8 GB a bundle that is 360 TB.
 BROADCAST_ROWS = 200_000
 
+#: Ranges of ids that a row is compared with on each level of a search.
+FAN_OUT = 32
+
 #: Payload bytes from which a bundle, or several small ones together, get a task of their own.
 TASK_BYTES = 128 * 1024 * 1024
 
@@ -133,21 +136,53 @@ def with_bundle(rows: DataFrame, chunks: DataFrame, bundles: DataFrame) -> DataF
     named = ["parquet_file", "bundle_no"]
     more = ["letters"] if "letters" in bundles.columns else []
     if bundles.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        b = bundles.select(*C.GROUP, *more, "first_id", "last_id", *named).alias("b")
-        inside = F.col("r.id").between(F.col("b.first_id"), F.col("b.last_id"))
-        same = [F.col(f"r.{k}") == F.col(f"b.{k}") for k in C.GROUP]
-        if more:  # ids of other first letters may lie between those of a range
-            low, high = F.substring("b.letters", 1, 1), F.substring("b.letters", 3, 1)
-            letter = C.letter_of("r.id")
-            same.append(F.coalesce((letter == low) | ((letter > low) & (letter <= high) & (low >= "A")), F.lit(True)))
-        joined = rows.alias("r").join(F.broadcast(b), [*same, inside])
-        return joined.select("r.*", *[f"b.{c}" for c in named])
+        ranges = bundles.select(*C.GROUP, *more, "first_id", "last_id", *named)
+        if not more:
+            return _in_ranges(rows, ranges, C.GROUP, named)
+        # ids of other first letters may lie between those of a range
+        spans = cut(ranges.select(*[F.col(k).alias(f"_{k}") for k in C.GROUP], F.col("letters").alias("_letters")).distinct())
+        low, high = F.substring("_letters", 1, 1), F.substring("_letters", 3, 1)
+        letter = C.letter_of("id")
+        lettered = F.coalesce((letter == low) | ((letter > low) & (letter <= high) & (low >= "A")), F.lit(True))
+        spanned = rows.join(F.broadcast(spans), [*[F.col(k) == F.col(f"_{k}") for k in C.GROUP], lettered])
+        spanned = spanned.select(*rows.columns, "_letters")
+        found = _in_ranges(spanned, ranges.withColumnRenamed("letters", "_letters"), [*C.GROUP, "_letters"], named)
+        return found.drop("_letters")
     places = bundles.select(*[F.col(c).alias(f"_{c}") for c in (*C.GROUP, "chunk", *more)], *named)
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*C.GROUP, "chunk", *more)]
     by_id = chunks.join(places, same)
     return rows.join(by_id.select(*C.GROUP, "id", *named), [*C.GROUP, "id"])
 
 
+def _in_ranges(rows: DataFrame, ranges: DataFrame, keys: list[str], found: list[str]) -> DataFrame:
+    """``rows`` with the columns ``found`` of the range (keys, first_id, last_id) that their id lies in.
+
+    The ranges of a key do not overlap; null keys match only beyond those of the group. Ranges are the leaves of a
+    tree, which rows descend by broadcast joins: a row is compared with ``FAN_OUT`` ranges of every level, not with
+    all of its key.
+    """
+    levels, largest = 1, largest_group(ranges, keys)
+    while FAN_OUT**levels < largest:
+        levels += 1
+    if levels > 1:
+        ranges = cut(running(ranges, keys, ["first_id"], largest=largest).withColumn("_at", F.col("rn") - 1).drop("rn", "n"))
+    for level in reversed(range(levels)):
+        nodes, up, down = ranges, [], found
+        if levels > 1:
+            nodes = nodes.withColumn("_node", F.floor(F.col("_at") / FAN_OUT**level))
+        if level:
+            nodes = nodes.groupBy(*keys, "_node").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"))
+            nodes, down = cut(nodes), ["_node"]
+        if level < levels - 1:
+            nodes = nodes.withColumn("_parent", F.floor(F.col("_node") / FAN_OUT))
+            up = [F.col("r._node") == F.col("b._parent")]
+        same = [F.col(f"r.{k}") == F.col(f"b.{k}") if k in C.GROUP else F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+        inside = F.col("r.id").between(F.col("b.first_id"), F.col("b.last_id"))
+        joined = rows.alias("r").join(F.broadcast(nodes.alias("b")), [*same, *up, inside])
+        rows = joined.select(*[f"r.{c}" for c in rows.columns if c != "_node"], *[f"b.{c}" for c in down])
+    return rows
+
+
 def write_partitioned_bundle(
     textures: DataFrame,
     records: DataFrame,
